@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from certflow.functions.text import BLANK, DIGIT, SPACE, strip
+from certflow.functions.scalars import bind
+from certflow.functions.text import DIGIT, SPACE, strip
 
 # Fixed values of the answer format.
 SECTIONS = ["AboutEstate", "Positives", "Evaluation"]
@@ -95,7 +96,7 @@ def fallback_sections(c: Column) -> Column:
         return F.when(x["header"] != "", opened).otherwise(grown)
 
     folded = F.aggregate(entries, start, step, lambda acc: F.struct(*store(acc)))
-    return F.struct(*[strip_markdown(folded[s]).alias(s) for s in SECTIONS])
+    return bind(folded, lambda f: F.struct(*[strip_markdown(f[s]).alias(s) for s in SECTIONS]))
 
 
 def fill_and_cut(c: Column) -> Column:
@@ -110,9 +111,14 @@ def fill_and_cut(c: Column) -> Column:
 def parse_answer(c: Column) -> Column:
     """Struct of the three final sections; the fold runs only where all are empty."""
     labelled = F.struct(*[section(c, s).alias(s) for s in SECTIONS])
-    none = (labelled["AboutEstate"] == "") & (labelled["Positives"] == "") & (labelled["Evaluation"] == "")
-    return F.when(none, fallback_sections(strip(c))).otherwise(labelled)
 
+    def choose(found: Column) -> Column:
+        none = (found["AboutEstate"] == "") & (found["Positives"] == "") & (found["Evaluation"] == "")
+        return F.when(none, fallback_sections(strip(c))).otherwise(found)
 
-def finished(parsed: Column) -> list[Column]:
-    return [fill_and_cut(parsed[s]).alias(s) for s in SECTIONS]
+    return finished(bind(labelled, choose))
+
+
+def finished(sections: Column) -> Column:
+    """X16, X17 on a struct of sections."""
+    return bind(sections, lambda p: F.struct(*[fill_and_cut(p[s]).alias(s) for s in SECTIONS]))

@@ -199,19 +199,22 @@ def drop_repeated_lines(c: Column, threshold: float = 0.9) -> Column:
     )
 
     def step(acc: Column, x: Column) -> Column:
-        repeated = F.exists(
-            acc["window"],
-            lambda seen: F.when(F.size(seen) == 0, F.lit(False)).otherwise(
-                jaccard(x["tokens"], seen) > threshold
-            ),
-        )
+        n = F.size(x["tokens"])
+
+        def similar(seen: Column) -> Column:
+            # the share is at most the ratio of the sizes, so most pairs need no intersection
+            m = F.size(seen)
+            possible = (m > 0) & (F.least(n, m) >= F.greatest(n, m) * threshold)
+            return F.when(possible, jaccard(x["tokens"], seen) > threshold).otherwise(F.lit(False))
+
+        repeated = F.exists(acc["window"], similar)
         window = F.concat(acc["window"], F.array(x["tokens"]))
         first = F.greatest(F.size(acc["window"]) + 2 - DUPLICATE_WINDOW, F.lit(1))
         grown = F.struct(
             F.concat(acc["kept"], F.array(x["line"])).alias("kept"),
             F.slice(window, first, DUPLICATE_WINDOW).alias("window"),
         )
-        return F.when((F.size(x["tokens"]) > 0) & repeated, acc).otherwise(grown)
+        return F.when((n > 0) & repeated, acc).otherwise(grown)
 
     return F.array_join(F.aggregate(entries, start, step, lambda acc: acc["kept"]), "\n")
 

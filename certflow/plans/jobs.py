@@ -12,13 +12,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from certflow.functions.answers import finished, parse_answer
+from certflow.functions.answers import parse_answer
 from certflow.functions.text import clean_text
 from certflow.operators.conform import conform, keep_first
 from certflow.operators.lifecycle import PENDING, expire_pending, log_pending, purge_gone, resolve_pending
 from certflow.operators.outcomes import cleaning_outcome, download_outcome, extraction_outcome, reduction_pct
 from certflow.operators.reports import import_summary, stage_report, status_breakdown
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
+from certflow.operators.spread import spread
 from certflow.operators.worklists import (
     api_worklist, clean_worklist, extract_worklist, new_files, new_records, prompt_worklist, url_worklist,
 )
@@ -151,7 +152,7 @@ def record_extracts(
 def cleaned_rows(extracts: DataFrame, aggressive: bool = False, patterns: list[str] | None = None) -> DataFrame:
     """X12 and P17 on each extract, with both lengths and the reduction."""
     clean = clean_text(F.col("extracted_text"), aggressive, patterns)
-    rows = extracts.select("file_id", "extracted_text", clean.alias("clean_text"))
+    rows = spread(extracts.select("file_id", "extracted_text"), "file_id").withColumn("clean_text", clean)
     before, after = F.length("extracted_text"), F.length("clean_text")
     return rows.select(
         "file_id", "clean_text",
@@ -183,10 +184,10 @@ def parse_answers(
     spark = prompts.sparkSession
     done = read_batches(spark, root, "answers", ANSWERS, skip=batch)
     work = prompt_worklist(prompts, done, version, n).select("file_id", "prompt_version")
-    tried = work.join(responses, ["file_id", "prompt_version"], "left")
+    tried = spread(work, "file_id").join(responses, ["file_id", "prompt_version"], "left")
     parsed = tried.withColumn("parsed", parse_answer(F.col("response_text"))).select(
         F.xxhash64("file_id", "prompt_version").alias("openAIAnswerID"), "file_id",
-        F.col("prompt_version").alias("PromptVersion"), *finished(F.col("parsed")),
+        F.col("prompt_version").alias("PromptVersion"), "parsed.*",
         F.lit(batch_time).alias("Created"), F.col("response_text").isNotNull().alias("answered"),
     )
     results = append_batch(parsed, root, "answer_results", batch)

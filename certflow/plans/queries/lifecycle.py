@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from certflow.operators.lifecycle import archive, expire_pending, log_pending, resolve_pending
 from certflow.operators.reports import status_breakdown
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
+from certflow.operators.spread import spread
 from certflow.operators.worklists import api_worklist
 from certflow.plans.queries.joins import CALLS
 from certflow.plans.queries.registry import query, table
@@ -20,7 +21,8 @@ def order_calls(spark, sf):
 
     The second object has no `enhet`; orders of low priority have no `registering`.
     """
-    rows = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = spread(table(spark, sf, "orders"), "o_orderkey")
+    rows = orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     low = F.col("o_orderpriority") == "5-LOW"
     registering = F.when(~low, F.struct(
         F.col("o_orderpriority").alias("type"),

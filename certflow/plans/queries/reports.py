@@ -319,10 +319,10 @@ def answers_by_month(spark, sf):
 
 
 @query(VIEW_SQL + """SELECT file_id, PromptVersion, ProcessedDate FROM bi
-WHERE ProcessedDate >= TIMESTAMP '2024-05-01 00:00:00' - INTERVAL 3 MONTH ORDER BY ProcessedDate DESC, file_id LIMIT 100""")
+WHERE ProcessedDate >= TIMESTAMP '2024-04-05 00:00:00' - INTERVAL 3 MONTH ORDER BY ProcessedDate DESC, file_id LIMIT 100""")
 def topk_last_months(spark, sf):
     """T7."""
-    as_of = F.lit("2024-05-01 00:00:00").cast("timestamp_ntz")
+    as_of = F.lit("2024-04-05 00:00:00").cast("timestamp_ntz")
     return R.last_months(R.answers_view(_answers(spark, sf)), as_of).select("file_id", "PromptVersion", "ProcessedDate")
 
 

@@ -13,6 +13,7 @@ from certflow.functions.answers import (
 from certflow.operators.prompts import PROMPT_END, PROMPT_PARTS, extract_facts, render_prompt
 from certflow.operators.reports import compression
 from certflow.operators.worklists import not_done
+from certflow.operators.spread import spread
 from certflow.plans.jobs import cleaned_rows
 from certflow.plans.queries.registry import query, table
 
@@ -68,10 +69,15 @@ def _clean_sql(x: str, minimum: int = 3, keep_blank: bool = True) -> str:
     return _strip(rf"regexp_replace({joined}, '[{_B}]+(\n|$)', '\1', 'g')")
 
 
+def _documents(spark, sf, *columns: str):
+    """Documents, spread over the cores for text work."""
+    return spread(table(spark, sf, "documents").select("doc_id", *(columns or ("text", "source", "lang"))), "doc_id")
+
+
 @query(f"SELECT doc_id, length(c) AS chars, md5(c) AS clean_md5 FROM (SELECT doc_id, {_clean_sql('t')} AS c FROM (SELECT doc_id, {DIRTY_TEXT} AS t FROM documents))")
 def clean_lines(spark, sf):
     """X2-X8 on documents with artefact lines."""
-    rows = table(spark, sf, "documents").select("doc_id", X.clean_lines(F.expr(DIRTY_TEXT)).alias("c"))
+    rows = _documents(spark, sf).select("doc_id", X.clean_lines(F.expr(DIRTY_TEXT)).alias("c"))
     return rows.select("doc_id", F.length("c").cast("long").alias("chars"), F.md5("c").alias("clean_md5"))
 
 
@@ -112,19 +118,22 @@ def _tokens_sql(x: str) -> str:
 
 
 def _dedupe_sql(x: str) -> str:
-    """X9 as a fold: kept lines and the token sets of the last ten of them."""
-    entry = f"list_transform(string_split({x}, chr(10)), lambda l: {{'kept': [l], 'win': [{_tokens_sql('l')}]}})"
+    """X9 as a fold: places of the kept lines and the token sets of the last ten of them."""
+    lines = f"string_split({x}, chr(10))"
+    entry = f"list_transform({lines}, lambda l, i: {{'kept': [i], 'win': [{_tokens_sql('l')}]}})"
     inter = "len(list_intersect(w, e.win[1]))"
-    similar = f"len(w) > 0 AND len(e.win[1]) > 0 AND {inter} / (len(w) + len(e.win[1]) - {inter}) > 0.9"
-    seen = f"len(list_filter(list_slice(acc.win, -10, -1), lambda w: {similar})) > 0"
-    step = f"lambda acc, e: CASE WHEN {seen} THEN acc ELSE {{'kept': list_concat(acc.kept, e.kept), 'win': list_concat(acc.win, e.win)}} END"
-    return f"array_to_string(list_reduce({entry}, {step}).kept, chr(10))"
+    sizes = "least(len(w), len(e.win[1])) * 10 >= greatest(len(w), len(e.win[1])) * 9 AND len(w) > 0"
+    similar = f"CASE WHEN {sizes} THEN {inter} / (len(w) + len(e.win[1]) - {inter}) > 0.9 ELSE false END"
+    seen = f"len(e.win[1]) > 0 AND len(list_filter(acc.win, lambda w: {similar})) > 0"
+    grown = "{'kept': list_concat(acc.kept, e.kept), 'win': list_concat(list_slice(acc.win, -9, -1), e.win)}"
+    kept = f"list_reduce({entry}, lambda acc, e: CASE WHEN {seen} THEN acc ELSE {grown} END).kept"
+    return f"array_to_string(list_select({lines}, {kept}), chr(10))"
 
 
 @query(f"SELECT doc_id, length(c) AS chars, md5(c) AS lines_md5 FROM (SELECT doc_id, {_dedupe_sql('t')} AS c FROM (SELECT doc_id, {DIRTY_TEXT} AS t FROM documents))")
 def dedupe_lines(spark, sf):
     """Near-duplicate lines of each document, which here hold their text twice."""
-    rows = table(spark, sf, "documents").select("doc_id", X.drop_repeated_lines(F.expr(DIRTY_TEXT)).alias("c"))
+    rows = _documents(spark, sf).select("doc_id", X.drop_repeated_lines(F.expr(DIRTY_TEXT)).alias("c"))
     return rows.select("doc_id", F.length("c").cast("long").alias("chars"), F.md5("c").alias("lines_md5"))
 
 
@@ -140,7 +149,7 @@ SELECT doc_id, length(c) AS chars, md5(c) AS clean_md5 FROM (SELECT doc_id, arra
 """)
 def clean_aggressive(spark, sf):
     """X12 in aggressive mode."""
-    rows = table(spark, sf, "documents").select("doc_id", X.clean_text(F.expr(DIRTY_TEXT), aggressive=True).alias("c"))
+    rows = _documents(spark, sf).select("doc_id", X.clean_text(F.expr(DIRTY_TEXT), aggressive=True).alias("c"))
     return rows.select("doc_id", F.length("c").cast("long").alias("chars"), F.md5("c").alias("clean_md5"))
 
 
@@ -151,7 +160,7 @@ SELECT doc_id, n AS block, md5(b) AS block_md5, length(b) AS chars FROM (
 """)
 def content_blocks(spark, sf):
     """X11: one row per paragraph."""
-    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(X.content_blocks(F.expr(DIRTY_TEXT))).alias("n", "b"))
+    rows = _documents(spark, sf).select("doc_id", F.posexplode(X.content_blocks(F.expr(DIRTY_TEXT))).alias("n", "b"))
     return rows.select(
         "doc_id", F.col("n").cast("long").alias("block"), F.md5("b").alias("block_md5"), F.length("b").cast("long").alias("chars")
     )
@@ -167,7 +176,7 @@ SELECT doc_id, i AS line, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0
 def line_similarity(spark, sf):
     """X10 of each line with the next; the pairs are made inside the row."""
     lines = F.transform(F.split("text", "\n"), X.line_tokens)
-    rows = table(spark, sf, "documents").select("doc_id", lines.alias("ls")).filter(F.size("ls") > 1)
+    rows = _documents(spark, sf).select("doc_id", lines.alias("ls")).filter(F.size("ls") > 1)
     pairs = F.arrays_zip(
         F.slice("ls", F.lit(1), F.size("ls") - 1).alias("a"), F.slice("ls", F.lit(2), F.size("ls") - 1).alias("b")
     )
@@ -184,7 +193,7 @@ FROM (SELECT lang, length(text) AS b, length({_clean_sql(_nfkd_sql('text'))}) AS
 """)
 def text_compression(spark, sf):
     """A12 per language."""
-    rows = table(spark, sf, "documents").select("lang", F.length("text").alias("b"), F.length(X.clean_text(F.col("text"))).alias("a"))
+    rows = _documents(spark, sf).select("lang", F.length("text").alias("b"), F.length(X.clean_text(F.col("text"))).alias("a"))
     return compression(rows, "lang", F.col("b"), F.col("a"))
 
 
@@ -200,7 +209,7 @@ def clean_report(spark, sf):
     """C4 in one plan, the flagship: uncleaned documents, cleaned, judged and summed per source."""
     docs = table(spark, sf, "documents").select("source", F.col("doc_id").alias("file_id"), F.col("text").alias("extracted_text"))
     done = table(spark, sf, "labels").select(F.col("doc_id").alias("file_id"))
-    work = not_done(docs, done, ["file_id"])
+    work = spread(not_done(docs, done, ["file_id"]), "file_id")
     clean = work.withColumn("clean_text", X.clean_text(F.col("extracted_text")))
     raw_ok = F.length(X.strip(F.col("extracted_text"))) >= X.MIN_RAW_CHARS
     ok = raw_ok & (F.length("clean_text") >= X.MIN_CLEAN_CHARS)
@@ -249,7 +258,7 @@ def _cut_sql(x: str) -> str:
 )
 def answer_sections(spark, sf):
     """X13, X15-X17."""
-    rows = table(spark, sf, "documents").select("doc_id", F.expr(ANSWER_TEXT).alias("r"))
+    rows = _documents(spark, sf).select("doc_id", F.expr(ANSWER_TEXT).alias("r"))
     rows = rows.select("doc_id", *[section(F.col("r"), s).alias(s) for s in SECTIONS])
     return rows.select("doc_id", *[fill_and_cut(F.col(s)).alias(s) for s in SECTIONS])
 
@@ -279,15 +288,15 @@ SELECT doc_id, {", ".join(f"{_cut_sql(s)} AS {s}" for s in SECTIONS)} FROM d
 """)
 def answer_fallback(spark, sf):
     """X14, X16, X17."""
-    rows = table(spark, sf, "documents").select("doc_id", fallback_sections(X.strip(F.expr(LOOSE_TEXT))).alias("p"))
-    return rows.select("doc_id", *finished(F.col("p")))
+    rows = _documents(spark, sf).select("doc_id", finished(fallback_sections(X.strip(F.expr(LOOSE_TEXT)))).alias("p"))
+    return rows.select("doc_id", "p.*")
 
 
 def answers_parsed(spark, sf):
     """X13-X17 as the job runs them, on a mix of both kinds; tested against plain Python."""
     mixed = F.when(F.col("doc_id") % 2 == 0, F.expr(ANSWER_TEXT)).otherwise(F.expr(LOOSE_TEXT))
-    rows = table(spark, sf, "documents").select("doc_id", parse_answer(mixed).alias("p"))
-    return rows.select("doc_id", *finished(F.col("p")))
+    rows = _documents(spark, sf).select("doc_id", parse_answer(mixed).alias("p"))
+    return rows.select("doc_id", "p.*")
 
 
 query()(answers_parsed)
@@ -298,7 +307,7 @@ MARKED = """concat('# ', role, chr(10), '- **', text, '** and __b__ *c* _d_ `e`'
 @query(f"SELECT conv_id, turn, {_markdown_sql('m')} AS plain FROM (SELECT conv_id, turn, {MARKED} AS m FROM conversations)")
 def markdown_strip(spark, sf):
     """X15."""
-    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.expr(MARKED).alias("m"))
+    rows = spread(table(spark, sf, "conversations"), "conv_id").select("conv_id", "turn", F.expr(MARKED).alias("m"))
     return rows.select("conv_id", "turn", strip_markdown(F.col("m")).alias("plain"))
 
 
@@ -328,7 +337,8 @@ PROMPT_SQL = f"SELECT o_orderkey, {_prompt_sql()} AS prompt FROM orders JOIN cus
 
 
 def _order_prompts(spark, sf):
-    rows = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = spread(table(spark, sf, "orders"), "o_orderkey")
+    rows = orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     prompt = render_prompt({k: F.expr(v) for k, v in FACTS.items()}, F.col("o_orderpriority"))
     return rows.select("o_orderkey", prompt.alias("prompt"))
 
