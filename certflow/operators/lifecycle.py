@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from certflow.operators.conform import keep_first
+from certflow.operators.skew import SALTS, salted_join
 from certflow.operators.worklists import not_done
 from certflow.schemas import API_LOG
 
@@ -33,7 +34,7 @@ def resolve_pending(log: DataFrame, outcomes: DataFrame, order: list[str] | None
         "CertificateID", F.col("records_returned").alias("_records"), F.col("status_message").alias("_status")
     )
     hit = (F.col("status_message") == PENDING) & F.col("_status").isNotNull()
-    return log.join(first, "CertificateID", "left").select(
+    return salted_join(log, first, ["CertificateID"], "left").select(
         *[
             F.when(hit, F.col(new)).otherwise(F.col(c)).alias(c) if new else F.col(c)
             for c, new in ((c, {"records_returned": "_records", "status_message": "_status"}.get(c)) for c in log.columns)
@@ -58,16 +59,15 @@ def purge_gone(inventory: DataFrame, listing: DataFrame) -> DataFrame:
 def append_new(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """The incoming rows to add, and the counts of added and skipped ones.
 
-    Only the keys are used for the counts.
+    Only the keys are used for the counts, with copies merged map-side.
     """
-    added = not_done(incoming, stored, keys)
-    marked = incoming.select(*keys).join(
-        stored.select(*keys).distinct().withColumn("_stored", F.lit(True)), keys, "left"
-    )
+    added = not_done(incoming, stored, keys, SALTS)
+    copies = incoming.groupBy(*keys).agg(F.count("*").alias("copies"))
+    marked = copies.join(stored.select(*keys).distinct().withColumn("_stored", F.lit(True)), keys, "left")
     counts = marked.agg(
-        F.count("*").alias("processed"),
-        F.count(F.when(F.col("_stored").isNull(), 1)).alias("added"),
-        F.count("_stored").alias("skipped"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("processed"),
+        F.coalesce(F.sum(F.when(F.col("_stored").isNull(), F.col("copies"))), F.lit(0)).alias("added"),
+        F.coalesce(F.sum(F.when(F.col("_stored").isNotNull(), F.col("copies"))), F.lit(0)).alias("skipped"),
     )
     return added, counts
 

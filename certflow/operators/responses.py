@@ -62,7 +62,8 @@ def flatten(parsed: DataFrame, batch_time: Column) -> DataFrame:
     A null sub-object gives null columns and the row stays. Booleans are stored as
     'True' and 'False'.
     """
-    rows = parsed.withColumn("c", F.explode("certificates"))
+    # an inner explode makes Spark infer filters on the array, which parses the body again
+    rows = parsed.withColumn("c", F.explode_outer("certificates")).filter(F.col("c").isNotNull())
     out = [batch_time.alias("ImportDate"), F.col("CertificateID")]
     out += [F.col(p).alias(name) for name, p in PARAMETERS.items()]
     for name, field in RESPONSE_FIELDS.items():

@@ -23,6 +23,10 @@ DIRTY_TEXT = """concat('Page ', cast(doc_id AS string), chr(10), '  12 / 7  ', c
   'hello  worldAgain.Next', chr(10), ' - ', chr(10), 'ab', chr(10), 'DRAFT', chr(10), '31-12-24', chr(10),
   'me@x.no tail', chr(10), '© 2024 x', chr(10), '•▪', chr(10), 'Ø ★ ok', chr(10), text, chr(10), lang, ' a.b.c')"""
 
+# Documents whose last lines repeat, on top of the repeats they hold anyway.
+REPEATED_TEXT = """concat(text, chr(10), 'the last line of ', source, ' ', lang, chr(10), chr(10), 'The LAST  line of ',
+  source, ' ', lang, chr(10), lang)"""
+
 # The SQL side of the cleaning rules, on lists of lines. RE2 knows the same classes.
 _B = r"\p{Z}\t\x0b\x0c\r\x1c-\x1f\x{85}"
 _S = rf"[\n{_B}]"
@@ -130,10 +134,10 @@ def _dedupe_sql(x: str) -> str:
     return f"array_to_string(list_select({lines}, {kept}), chr(10))"
 
 
-@query(f"SELECT doc_id, length(c) AS chars, md5(c) AS lines_md5 FROM (SELECT doc_id, {_dedupe_sql('t')} AS c FROM (SELECT doc_id, {DIRTY_TEXT} AS t FROM documents))")
+@query(f"SELECT doc_id, length(c) AS chars, md5(c) AS lines_md5 FROM (SELECT doc_id, {_dedupe_sql('t')} AS c FROM (SELECT doc_id, {REPEATED_TEXT} AS t FROM documents))")
 def dedupe_lines(spark, sf):
-    """Near-duplicate lines of each document, which here hold their text twice."""
-    rows = _documents(spark, sf).select("doc_id", X.drop_repeated_lines(F.expr(DIRTY_TEXT)).alias("c"))
+    """Near-duplicate lines of each document."""
+    rows = _documents(spark, sf).select("doc_id", X.drop_repeated_lines(F.expr(REPEATED_TEXT)).alias("c"))
     return rows.select("doc_id", F.length("c").cast("long").alias("chars"), F.md5("c").alias("lines_md5"))
 
 
@@ -144,12 +148,12 @@ def _blocks_sql(x: str) -> str:
 
 
 @query(f"""
-WITH s AS (SELECT doc_id, {_dedupe_sql(_clean_sql(_nfkd_sql('t'), 10, False))} AS c FROM (SELECT doc_id, {DIRTY_TEXT} AS t FROM documents))
+WITH s AS (SELECT doc_id, {_dedupe_sql(_clean_sql(_nfkd_sql('t'), 10, False))} AS c FROM (SELECT doc_id, {REPEATED_TEXT} AS t FROM documents))
 SELECT doc_id, length(c) AS chars, md5(c) AS clean_md5 FROM (SELECT doc_id, array_to_string({_blocks_sql('c')}, chr(10) || chr(10)) AS c FROM s)
 """)
 def clean_aggressive(spark, sf):
     """X12 in aggressive mode."""
-    rows = _documents(spark, sf).select("doc_id", X.clean_text(F.expr(DIRTY_TEXT), aggressive=True).alias("c"))
+    rows = _documents(spark, sf).select("doc_id", X.clean_text(F.expr(REPEATED_TEXT), aggressive=True).alias("c"))
     return rows.select("doc_id", F.length("c").cast("long").alias("chars"), F.md5("c").alias("clean_md5"))
 
 
@@ -160,7 +164,8 @@ SELECT doc_id, n AS block, md5(b) AS block_md5, length(b) AS chars FROM (
 """)
 def content_blocks(spark, sf):
     """X11: one row per paragraph."""
-    rows = _documents(spark, sf).select("doc_id", F.posexplode(X.content_blocks(F.expr(DIRTY_TEXT))).alias("n", "b"))
+    rows = _documents(spark, sf).select("doc_id", F.posexplode_outer(X.content_blocks(F.expr(DIRTY_TEXT))).alias("n", "b"))
+    rows = rows.filter(F.col("b").isNotNull())
     return rows.select(
         "doc_id", F.col("n").cast("long").alias("block"), F.md5("b").alias("block_md5"), F.length("b").cast("long").alias("chars")
     )
@@ -176,11 +181,11 @@ SELECT doc_id, i AS line, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0
 def line_similarity(spark, sf):
     """X10 of each line with the next; the pairs are made inside the row."""
     lines = F.transform(F.split("text", "\n"), X.line_tokens)
-    rows = _documents(spark, sf).select("doc_id", lines.alias("ls")).filter(F.size("ls") > 1)
+    rows = _documents(spark, sf).select("doc_id", lines.alias("ls"))
     pairs = F.arrays_zip(
         F.slice("ls", F.lit(1), F.size("ls") - 1).alias("a"), F.slice("ls", F.lit(2), F.size("ls") - 1).alias("b")
     )
-    rows = rows.select("doc_id", F.posexplode(pairs).alias("i", "p"))
+    rows = rows.select("doc_id", F.posexplode_outer(pairs).alias("i", "p")).filter(F.col("p").isNotNull())
     return rows.select(
         "doc_id", (F.col("i") + 1).cast("long").alias("line"), F.round(X.jaccard(F.col("p")["a"], F.col("p")["b"]), 4).alias("similarity")
     )

@@ -48,9 +48,10 @@ def probe(spark: SparkSession, path: str | list[str]) -> DataFrame:
     down inside each task before the exchange.
     """
     lines = _lines(spark, path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     sums = lines.groupBy("path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.max(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("multi_line"),
+        F.bool_or(quotes % 2 == 1).alias("multi_line"),
         F.count(F.when(F.length(F.trim("value")) > 0, 1)).alias("physical_lines"),
     )
     order = Window.partitionBy("path").orderBy("block", "row")

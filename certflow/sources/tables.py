@@ -80,11 +80,14 @@ def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def object_counts(spark: SparkSession) -> DataFrame:
-    """Tables and columns per database of the session's catalog."""
+    """Tables and columns per database of the session's catalog; views of the session count as 'temporary'."""
     rows = [
-        (db.name, t.name, len(spark.catalog.listColumns(t.name, db.name)))
+        (db.name, t.name, len(spark.catalog.listColumns(f"`{db.name}`.`{t.name}`")))
         for db in spark.catalog.listDatabases()
         for t in spark.catalog.listTables(db.name)
+        if not t.isTemporary
     ]
+    views = [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    rows += [("temporary", name, len(spark.catalog.listColumns(f"`{name}`"))) for name in views]
     found = spark.createDataFrame(rows, "schema_name string, table_name string, n int")
     return found.groupBy("schema_name").agg(F.count("*").alias("tables"), F.sum("n").alias("columns"))
