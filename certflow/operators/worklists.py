@@ -28,6 +28,19 @@ def top(rows: DataFrame, order: list[str | Column], n: int | None) -> DataFrame:
     return rows.orderBy(*order).limit(n) if n is not None else rows
 
 
+def next_rows(rows: DataFrame, done: DataFrame, keys: list[str], n: int | None) -> DataFrame:
+    """The first n rows by key that are not done, for rows that carry long texts.
+
+    With a limit only the keys go through the anti join; the n keys picked then select
+    the whole rows, so texts that are not wanted never reach an exchange. The last cut
+    keeps the list at n rows where a key occurs more than once.
+    """
+    if n is None:
+        return not_done(rows, done, keys)
+    picked = top(not_done(rows.select(*keys), done, keys), keys, n).distinct()
+    return top(rows.join(picked, keys, "left_semi").select(*rows.columns), keys, n)
+
+
 def new_records(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows that are not stored yet."""
     return not_done(rows, stored, [key])
@@ -47,7 +60,7 @@ def prompt_worklist(
         F.col("FILE_ID").alias("file_id"), "prompt_text", "prompt_version"
     )
     done = answers.select("file_id", F.col("PromptVersion").alias("prompt_version"))
-    return top(not_done(wanted, done, ["file_id", "prompt_version"]), ["file_id", "prompt_version"], n)
+    return next_rows(wanted, done, ["file_id", "prompt_version"], n)
 
 
 def api_worklist(certificates: DataFrame, log: DataFrame, n: int | None = None) -> DataFrame:
@@ -82,7 +95,7 @@ def extract_worklist(inventory: DataFrame, extracts: DataFrame, n: int | None =
 
 def clean_worklist(extracts: DataFrame, cleaned: DataFrame, n: int | None = None) -> DataFrame:
     """Extracts without a cleaned text."""
-    return top(not_done(extracts, cleaned, ["file_id"]), ["file_id"], n)
+    return next_rows(extracts, cleaned, ["file_id"], n)
 
 
 def new_files(listing: DataFrame, inventory: DataFrame, skip_existing: bool = True) -> DataFrame:

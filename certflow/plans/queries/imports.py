@@ -12,6 +12,7 @@ from certflow.operators.worklists import new_records
 from certflow.plans.queries.registry import query, table
 from certflow.session import scratch_dir
 from certflow.sources.landing import landed_files, latest_per_year, probe, profile, scan
+from certflow.sources.tables import append_batch
 
 # Input of the conform query: customers spelled as dirty text, read alike by both engines.
 DIRTY_CUSTOMERS = [
@@ -89,7 +90,8 @@ FROM orders GROUP BY 1, 2, 3
 def csv_profile(spark, sf):
     """Files of both dialects found again, rows counted per year and dialect."""
     root = land_orders(spark, sf)
-    dialects = probe(spark, root)
+    # the probe reads all files, so its result is stored before it is used twice
+    dialects = append_batch(probe(spark, root), scratch_dir(spark, "probe"), "dialects", "b1")
     files = profile(dialects, scan(spark, dialects))
     return files.groupBy("year", "encoding", "separator", "n_columns").agg(F.sum("total_rows").alias("total_rows"))
 
@@ -148,11 +150,15 @@ SELECT doc_id, source, length(k) AS key_chars FROM (
 QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1
 """)
 def dedupe_keep_first(spark, sf):
-    """First document of each text; short ones have no key and collapse to one row."""
+    """First document of each text; short ones have no key and collapse to one row.
+
+    The key is a digest of the whole text, so texts stay out of the exchange.
+    """
+    long = F.col("n_chars") >= 200
     docs = table(spark, sf, "documents").select(
-        "doc_id", "source", F.when(F.col("n_chars") >= 200, F.col("text")).alias("k")
+        "doc_id", "source", F.when(long, F.sha2("text", 256)).alias("k"), F.when(long, F.length("text")).alias("key_chars")
     )
-    return keep_first(docs, ["k"], ["doc_id"]).select("doc_id", "source", F.length("k").alias("key_chars"))
+    return keep_first(docs, ["k"], ["doc_id"]).select("doc_id", "source", "key_chars")
 
 
 @query("""
