@@ -123,6 +123,13 @@ def directory_stats(listing: DataFrame) -> DataFrame:
     )
 
 
+def sample_files(listing: DataFrame, extension: str = ".pdf", n: int = 5) -> DataFrame:
+    """The first files of one suffix by name, with their size in MB."""
+    rows = listing.filter(F.col("file_extension") == extension)
+    mb = F.round(F.col("file_size") / 1024 / 1024, 1)
+    return top(rows, ["filename", "full_path"], n).select("filename", mb.alias("mb"))
+
+
 def import_summary(staged: DataFrame, stored: DataFrame, key: str, failed: Column | None = None) -> DataFrame:
     """A10: totals of an import, from the keys alone and in one job.
 

@@ -17,7 +17,7 @@ from certflow.functions.text import clean_text
 from certflow.operators.conform import conform, keep_first
 from certflow.operators.lifecycle import PENDING, expire_pending, log_pending, purge_gone, resolve_pending
 from certflow.operators.outcomes import cleaning_outcome, download_outcome, extraction_outcome, reduction_pct
-from certflow.operators.reports import import_summary, stage_report, status_breakdown
+from certflow.operators.reports import import_summary, stage_report, status_breakdown, year_summary
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
 from certflow.operators.spread import spread
 from certflow.operators.worklists import (
@@ -27,7 +27,7 @@ from certflow.schemas import (
     ANSWERS, API_LOG, CERTIFICATE_KEY, CLEANED_TEXT, DOWNLOAD_LOG, FILE_EXTRACT,
     FILE_INVENTORY, IMPORTED,
 )
-from certflow.sources.landing import POSITION, probe, scan
+from certflow.sources.landing import POSITION, has_known_column, probe, scan
 from certflow.sources.tables import append_batch, read_batches, read_version, write_version
 
 
@@ -39,23 +39,36 @@ def _as(df: DataFrame, schema) -> DataFrame:
     ])
 
 
-def import_certificates(spark: SparkSession, path: str | list[str], root: str, batch: str) -> DataFrame:
-    """Landed CSV files to new certificate rows; gives the import summary.
+def import_certificates(
+    spark: SparkSession, path: str | list[str], root: str, batch: str, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Landed CSV files, of all years or of an inclusive range, to new certificate rows; gives A10.
 
     The conformed rows are staged with their place in the file, so 'first' means the
-    same in every later read. Rows with too many fields stay in the staged table.
+    same in every later read: by year, then by place. Rows with too many fields stay in
+    the staged table. A file without any known column is skipped and stops nothing else.
     """
-    scanned = scan(spark, probe(spark, path))
-    staged = append_batch(conform(scanned, [*POSITION, "year", "overflow"]), root, "staged", batch)
+    dialects = probe(spark, path)
+    if years:
+        dialects = dialects.filter(F.col("year").between(*years))
+    dialects = append_batch(dialects, root, "dialects", batch)
+    staged = append_batch(conform(scan(spark, dialects), [*POSITION, "year", "overflow"]), root, "staged", batch)
     if CERTIFICATE_KEY not in staged.columns:
         staged = staged.withColumn(CERTIFICATE_KEY, F.lit(None).cast("string"))
     stored = read_batches(spark, root, "imported", IMPORTED, skip=batch)
     good = staged.filter(F.col("overflow").isNull())
-    first = keep_first(good, [CERTIFICATE_KEY], POSITION)
+    first = keep_first(good, [CERTIFICATE_KEY], ["year", *POSITION])
     append_batch(_as(new_records(first, stored, CERTIFICATE_KEY), IMPORTED), root, "imported", batch)
     return import_summary(staged, stored, CERTIFICATE_KEY, F.col("overflow").isNotNull())
 
 
+def imported_years(spark: SparkSession, root: str, batch: str, years: tuple[int, int]) -> DataFrame:
+    """A14 after an import: a year failed when it has no file or one without any known column."""
+    wanted = spark.range(years[0], years[1] + 1).select(F.col("id").cast("int").alias("year"))
+    files = spark.read.parquet(f"{root}/dialects/batch={batch}").select("year", has_known_column().alias("ok"))
+    return year_summary(wanted.join(files, "year", "left"), F.coalesce("ok", F.lit(False)))
+
+
 def process_responses(
     certificates: DataFrame, responses: DataFrame, root: str, batch: str,
     batch_time: datetime, n: int | None = None, stale_hours: int = 1,

@@ -87,6 +87,12 @@ def probe(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def has_known_column() -> Column:
+    """Whether the header of a probed file names any expected column."""
+    names = F.transform(F.split("header", F.col("separator")), lambda n: F.btrim(n, F.lit('"')))
+    return F.arrays_overlap(names, F.array(*[F.lit(c) for c in CERTIFICATE_COLUMNS]))
+
+
 def scan(spark: SparkSession, dialects: DataFrame) -> DataFrame:
     """Read probed files as strings, one read per group of equal dialect and header.
 
@@ -172,8 +178,8 @@ def landed_files(files: DataFrame) -> DataFrame:
 def latest_per_year(files: DataFrame, year: Column) -> DataFrame:
     """Newest file of each year and how many there are.
 
-    `max_by` is merged map-side; the full list of matches stays a filter on the
-    listing and is never gathered into one row.
+    `max_by` is merged map-side. The list of all matches is never gathered into one
+    row: see `mark_latest`.
     """
     return (
         files.withColumn("year", year)
@@ -184,3 +190,11 @@ def latest_per_year(files: DataFrame, year: Column) -> DataFrame:
             F.count("*").alias("matching_files"),
         )
     )
+
+
+def mark_latest(files: DataFrame, year: Column) -> DataFrame:
+    """Every matching file with its year and whether it is the newest one."""
+    latest = latest_per_year(files, year).select("year", "latest_path")
+    return files.withColumn("year", year).join(latest, "year", "left").withColumn(
+        "is_latest", F.col("full_path") == F.col("latest_path")
+    ).drop("latest_path")

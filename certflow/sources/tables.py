@@ -79,6 +79,19 @@ def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
     return described.join(row_counts(tables), "table_name")
 
 
+def dictionary_markdown(dictionary: DataFrame) -> DataFrame:
+    """The dictionary as Markdown lines, one table per heading, ready for `write.text`."""
+    mark = F.when(F.col("nullable"), "yes").otherwise("no")
+    cells = F.concat_ws(" | ", F.lit("").alias("x"), "column_name", "data_type", mark)
+    heads = dictionary.select("table_name", "row_count").distinct().select(
+        "table_name", F.lit(0).alias("position"),
+        F.concat(F.lit("\n## "), "table_name", F.lit("\n\nRows: "), F.col("row_count").cast("string"),
+                 F.lit("\n\n | Column | Type | Nullable |\n | --- | --- | --- |")).alias("value"),
+    )
+    lines = dictionary.select("table_name", "position", F.concat(cells, F.lit(" |")).alias("value"))
+    return heads.unionByName(lines).orderBy("table_name", "position").select("value")
+
+
 def object_counts(spark: SparkSession) -> DataFrame:
     """Tables and columns per database of the session's catalog; views of the session count as 'temporary'."""
     rows = [

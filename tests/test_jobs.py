@@ -3,11 +3,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from certflow.operators.reports import sample_files
 from certflow.plans import jobs
 from certflow.schemas import ANSWERS, API_LOG, CLEANED_TEXT, FILE_EXTRACT, FILE_INVENTORY, IMPORTED
 from certflow.sources.files import list_files
-from certflow.sources.landing import probe, profile, sample_records, scan
-from certflow.sources.tables import data_dictionary, object_counts, read_batches, read_version
+from certflow.sources.landing import mark_latest, probe, profile, sample_records, scan
+from certflow.sources.tables import data_dictionary, dictionary_markdown, object_counts, read_batches, read_version
 
 T1, T2 = datetime(2025, 1, 1, 10), datetime(2025, 1, 1, 12)
 
@@ -48,6 +49,22 @@ def test_import_twice_adds_nothing(spark, landed, root):
     assert read_batches(spark, root, "imported", IMPORTED).count() == 7
 
 
+def test_import_of_a_year_range(spark, landed, root):
+    report = jobs.import_certificates(spark, landed, root, "b1", (2021, 2024)).head()
+    assert report.inserted_rows == 4
+    years = jobs.imported_years(spark, root, "b1", (2021, 2024)).head()
+    assert tuple(years) == ([2021, 2022], [2023, 2024], False)
+
+
+def test_latest_files(spark):
+    files = spark.createDataFrame([("/a_2020.csv", 1), ("/b_2020.csv", 2), ("/c_2021.csv", 1)], "full_path string, modified int")
+    year = F.regexp_extract("full_path", r"_(\d{4})", 1)
+    got = {(r.full_path, r.year, r.is_latest) for r in mark_latest(files, year).collect()}
+    assert got == {("/a_2020.csv", "2020", False), ("/b_2020.csv", "2020", True), ("/c_2021.csv", "2021", True)}
+    listing = spark.createDataFrame([("b.pdf", "/b.pdf", 1048576, ".pdf"), ("a.txt", "/a.txt", 1, ".txt")], "filename string, full_path string, file_size long, file_extension string")
+    assert [tuple(r) for r in sample_files(listing).collect()] == [("b.pdf", 1.0)]
+
+
 def _calls(spark):
     calls = spark.createDataFrame([(i, "A%d" % i) for i in range(1, 5)], "CertificateID long, Attestnummer string")
     for c in ("kommunenummer", "gardsnummer", "bruksnummer", "seksjonsnummer", "bruksenhetnummer", "bygningsnummer"):
@@ -142,4 +159,6 @@ def test_catalog(spark):
     df.createOrReplaceTempView("catalog_probe")
     got = data_dictionary({"t": df}).orderBy("position").collect()
     assert [(r.table_name, r.column_name, r.data_type, r.row_count) for r in got] == [("t", "n", "int", 1), ("t", "s", "string", 1)]
+    lines = [r.value for r in dictionary_markdown(data_dictionary({"t": df})).collect()]
+    assert lines[0].startswith("\n## t\n\nRows: 1") and lines[1:] == [" | n | int | yes |", " | s | string | yes |"]
     assert object_counts(spark).filter("schema_name = 'temporary' AND columns >= 2").count() == 1
