@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from certflow.functions.scalars import bind
+from certflow.functions.binding import bind
 from certflow.functions.text import DIGIT, SPACE, strip
 
 # Fixed values of the answer format.

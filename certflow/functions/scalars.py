@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, SparkSession, functions as F
 
+from certflow.functions.binding import bind
+
 # Score per rating letter, anything else is 0.
 ENERGY_SCORES = {"A": 100, "B": 85, "C": 70, "D": 55, "E": 40, "F": 25, "G": 10}
 # Characters not allowed in file names, and the query keys that may hold one.
@@ -70,15 +70,6 @@ def certificate_number(url: Column) -> Column:
     return F.split_part(F.element_at(F.split(url, "/"), -1), F.lit(".pdf"), F.lit(1))
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Name an intermediate value inside an expression.
-
-    A value used several times would be written out, and computed, at each use; and
-    the optimizer may inline projections again when it pushes a filter down.
-    """
-    return F.transform(F.array(value), lambda x: body(x))[0]
-
-
 def file_name_from_url(url: Column) -> Column:
     """File name of a download URL.
 

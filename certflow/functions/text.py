@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
+from certflow.functions.binding import bind
+
 # The white space that Python's str.strip and `\s` know, without
 # and with the newline. Java's own classes are narrower.
 BLANK_CHARS = (
@@ -59,6 +61,7 @@ MIN_LINE_BASIC = 3
 MIN_LINE_AGGRESSIVE = 10
 MIN_BLOCK_CHARS = 20
 DUPLICATE_WINDOW = 10
+LINES_PER_CHUNK = 256
 
 
 def strip(c: Column) -> Column:
@@ -186,17 +189,14 @@ def jaccard(a: Column, b: Column) -> Column:
 def drop_repeated_lines(c: Column, threshold: float = 0.9) -> Column:
     """Drop a line too similar to one of the last ten kept lines.
 
-    Blank lines are kept and take a place in the window. The fold carries the
-    kept lines and the token sets of the window, so its state is bounded by the
-    text itself plus ten sets.
+    Blank lines are kept and take a place in the window. The fold carries the kept
+    lines and the token sets of the window. Each step copies the lines kept so far,
+    so lines are folded in chunks and the work stays linear for very long texts.
     """
     entries = F.transform(
         F.split(c, "\n"), lambda x: F.struct(x.alias("line"), line_tokens(x).alias("tokens"))
     )
-    start = F.struct(
-        F.array().cast("array<string>").alias("kept"),
-        F.array().cast("array<array<string>>").alias("window"),
-    )
+    no_lines = F.array().cast("array<string>")
 
     def step(acc: Column, x: Column) -> Column:
         n = F.size(x["tokens"])
@@ -207,16 +207,31 @@ def drop_repeated_lines(c: Column, threshold: float = 0.9) -> Column:
             possible = (m > 0) & (F.least(n, m) >= F.greatest(n, m) * threshold)
             return F.when(possible, jaccard(x["tokens"], seen) > threshold).otherwise(F.lit(False))
 
-        repeated = F.exists(acc["window"], similar)
         window = F.concat(acc["window"], F.array(x["tokens"]))
         first = F.greatest(F.size(acc["window"]) + 2 - DUPLICATE_WINDOW, F.lit(1))
         grown = F.struct(
             F.concat(acc["kept"], F.array(x["line"])).alias("kept"),
             F.slice(window, first, DUPLICATE_WINDOW).alias("window"),
         )
-        return F.when((n > 0) & repeated, acc).otherwise(grown)
+        return F.when((n > 0) & F.exists(acc["window"], similar), acc).otherwise(grown)
+
+    def fold_chunk(acc: Column, chunk: Column) -> Column:
+        begin = F.struct(no_lines.alias("kept"), acc["window"].alias("window"))
+        return bind(
+            F.aggregate(chunk, begin, step),
+            lambda r: F.struct(F.concat(acc["kept"], F.array(r["kept"])).alias("kept"), r["window"].alias("window")),
+        )
+
+    def fold(lines: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(lines), F.lit(LINES_PER_CHUNK))
+        chunks = F.transform(starts, lambda i: F.slice(lines, i, LINES_PER_CHUNK))
+        begin = F.struct(
+            F.array().cast("array<array<string>>").alias("kept"),
+            F.array().cast("array<array<string>>").alias("window"),
+        )
+        return F.aggregate(chunks, begin, fold_chunk, lambda acc: F.flatten(acc["kept"]))
 
-    return F.array_join(F.aggregate(entries, start, step, lambda acc: acc["kept"]), "\n")
+    return F.array_join(bind(entries, fold), "\n")
 
 
 def content_blocks(c: Column) -> Column:

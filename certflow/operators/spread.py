@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 
 BYTES_PER_TASK = 128 * 1024 * 1024
 TASKS_PER_CORE = 2
+MIN_GAIN = 4
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
     """Give every core work when a small input comes in a few row groups.
 
-    Heavy per-row work on one row group would run in one task. An input below one
-    full split per core (by Spark's own size estimate) is hashed by its unique key
-    over all cores; that exchange is bounded by the estimate. A larger input has
-    enough splits of its own and is left alone, so nothing big is ever shuffled here.
+    Heavy per-row work on one row group would run in one task. An input with full
+    splits for less than a quarter of the cores (by Spark's own size estimate) is hashed
+    by its unique key over all of them; that exchange is bounded by the estimate. A
+    larger input has splits enough and is left alone, so nothing big is shuffled here.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) >= cores * BYTES_PER_TASK:
+    if int(str(estimate)) * MIN_GAIN >= cores * BYTES_PER_TASK:
         return rows
     return rows.repartition(cores * TASKS_PER_CORE, key)

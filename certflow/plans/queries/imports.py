@@ -156,7 +156,7 @@ def dedupe_keep_first(spark, sf):
     """
     long = F.col("n_chars") >= 200
     docs = table(spark, sf, "documents").select(
-        "doc_id", "source", F.when(long, F.sha2("text", 256)).alias("k"), F.when(long, F.length("text")).alias("key_chars")
+        "doc_id", "source", F.when(long, F.sha2("text", 256)).alias("k"), F.when(long, F.length("text").cast("long")).alias("key_chars")
     )
     return keep_first(docs, ["k"], ["doc_id"]).select("doc_id", "source", "key_chars")
 

@@ -130,7 +130,7 @@ def clean_next(spark, sf):
     """J6."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), "text")
     done = table(spark, sf, "labels").select(F.col("doc_id").alias("file_id"))
-    return clean_worklist(docs, done, 100).select("file_id", F.length("text").alias("chars"))
+    return clean_worklist(docs, done, 100).select("file_id", F.length("text").cast("long").alias("chars"))
 
 
 def _inventory(spark, sf):

@@ -71,6 +71,12 @@ def test_window_of_ten_kept_lines(spark):
     assert one(spark, X.drop_repeated_lines(F.col("v0")), "a b c\na b c\n\nx y\na b c") == "a b c\n\nx y"
 
 
+def test_very_long_text(spark):
+    lines = [f"row {i} of {i // 3 % 7}" if i % 5 else "same line" for i in range(30000)]
+    text = "\n".join(lines)
+    assert one(spark, X.drop_repeated_lines(F.col("v0")), text) == plain.drop_repeated(text)
+
+
 def test_extra_patterns_and_flags(spark):
     c = F.col("v0")
     assert one(spark, X.clean_lines(c, extra_patterns=["foo", r"bar\d"]), "Foo x\nkeep\n bar1\nabar1") == "keep\nabar1"
