@@ -66,8 +66,8 @@ def request_payload(columns: dict[str, Column]) -> Column:
 
 
 def certificate_number(url: Column) -> Column:
-    """P10: last path part up to the first `.pdf`."""
-    return F.split_part(F.element_at(F.split(url, "/"), -1), F.lit(".pdf"), F.lit(1))
+    """P10: last path part up to the first `.pdf`, null for an empty URL."""
+    return F.when(url != "", F.split_part(F.element_at(F.split(url, "/"), -1), F.lit(".pdf"), F.lit(1)))
 
 
 def file_name_from_url(url: Column) -> Column:

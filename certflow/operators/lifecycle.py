@@ -79,7 +79,7 @@ def merge(stored: DataFrame, incoming: DataFrame, keys: list[str], newest_first:
     is broadcast by Spark when its measured size allows and the large table stays put.
     """
     latest = keep_first(incoming, keys, newest_first)
-    return not_done(stored, latest, keys).unionByName(latest)
+    return not_done(stored, incoming, keys).unionByName(latest)
 
 
 def archive(answers: DataFrame, before: Column) -> tuple[DataFrame, DataFrame]:

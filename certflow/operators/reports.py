@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from certflow.functions.answers import PLACEHOLDER, SECTIONS
 from certflow.functions.scalars import not_blank, preview, whole_mb
+from certflow.operators.skew import salted_join
 from certflow.operators.worklists import top
 
 
@@ -130,17 +131,20 @@ def sample_files(listing: DataFrame, extension: str = ".pdf", n: int = 5) -> Dat
     return top(rows, ["filename", "full_path"], n).select("filename", mb.alias("mb"))
 
 
-def import_summary(staged: DataFrame, stored: DataFrame, key: str, failed: Column | None = None) -> DataFrame:
+def import_summary(
+    staged: DataFrame, stored: DataFrame, key: str, failed: Column | None = None, within: list[str] | None = None
+) -> DataFrame:
     """A10: totals of an import, from the keys alone and in one job.
 
-    Copies of a key are counted map-side; null keys count as one key, which is
-    always new. `stored_matches` counts stored rows, `skipped_rows` incoming keys.
+    Copies of a key are counted map-side; rows without a key count as one, or as one
+    per value of the `within` columns, and are always new. `stored_matches` counts
+    stored rows, `skipped_rows` incoming keys.
     """
     bad = F.coalesce(failed, F.lit(False)) if failed is not None else F.lit(False)
-    keys = staged.groupBy(key).agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+    keys = staged.groupBy(key, *(within or [])).agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
     have = stored.groupBy(key).agg(F.count("*").alias("matches"))
     usable = F.col("good") > 0
-    totals = keys.join(have, key, "left").agg(
+    totals = salted_join(keys, have, [key], "left", 1).agg(
         F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("failed_rows"),
         F.count_if(usable).alias("distinct_rows"),

@@ -42,8 +42,8 @@ def next_rows(rows: DataFrame, done: DataFrame, keys: list[str], n: int | None)
 
 
 def new_records(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows that are not stored yet."""
-    return not_done(rows, stored, [key])
+    """Rows that are not stored yet; many of them may have no key."""
+    return not_done(rows, stored, [key], 1)
 
 
 def prompts_long(prompts: DataFrame, versions: list[str]) -> DataFrame:

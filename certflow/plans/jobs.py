@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from certflow.functions.answers import parse_answer
 from certflow.functions.text import clean_text
@@ -52,14 +52,22 @@ def import_certificates(
     if years:
         dialects = dialects.filter(F.col("year").between(*years))
     dialects = append_batch(dialects, root, "dialects", batch)
-    staged = append_batch(conform(scan(spark, dialects), [*POSITION, "year", "overflow"]), root, "staged", batch)
-    if CERTIFICATE_KEY not in staged.columns:
-        staged = staged.withColumn(CERTIFICATE_KEY, F.lit(None).cast("string"))
+    rows = conform(scan(spark, dialects), [*POSITION, "year", "overflow", "keyed"])
+    if CERTIFICATE_KEY not in rows.columns:
+        rows = rows.withColumn(CERTIFICATE_KEY, F.lit(None).cast("string"))
+    staged = append_batch(rows.withColumn("unit", _unit_without_key()), root, "staged", batch)
     stored = read_batches(spark, root, "imported", IMPORTED, skip=batch)
     good = staged.filter(F.col("overflow").isNull())
-    first = keep_first(good, [CERTIFICATE_KEY], ["year", *POSITION])
+    first = keep_first(good, [CERTIFICATE_KEY, "unit"], ["year", *POSITION])
     append_batch(_as(new_records(first, stored, CERTIFICATE_KEY), IMPORTED), root, "imported", batch)
-    return import_summary(staged, stored, CERTIFICATE_KEY, F.col("overflow").isNotNull())
+    return import_summary(staged, stored, CERTIFICATE_KEY, F.col("overflow").isNotNull(), ["unit"])
+
+
+def _unit_without_key() -> Column:
+    """What a row without a key is a copy within: its year's file, or nothing if that file has no key column."""
+    year = F.coalesce(F.col("year").cast("string"), F.col("source_path"))
+    return F.when(F.col(CERTIFICATE_KEY).isNull(), F.when(F.col("keyed"), year).otherwise(
+        F.concat_ws("/", "source_path", "source_block", "source_row")))
 
 
 def imported_years(spark: SparkSession, root: str, batch: str, years: tuple[int, int]) -> DataFrame:
@@ -113,8 +121,11 @@ def record_downloads(
         *download_outcome(*[F.col(c) for c in (
             "exists", "existing_size", "http_status", "http_error", "error", "content_length", "content_head", "size",
         )]),
-        F.col("http_status").alias("http_status_code"), F.lit(batch_time).alias("created"),
+        "http_status", F.lit(batch_time).alias("created"),
     )
+    # no request was answered where the file was there already or the client failed
+    code = F.when(~F.col("status").isin("Already Exists", "Error"), F.col("http_status"))
+    rows = rows.withColumn("http_status_code", code)
     written = append_batch(_as(rows, DOWNLOAD_LOG), root, "download_log", batch)
     return stage_report(written, "download", F.col("status").isin("Success", "Already Exists"))
 

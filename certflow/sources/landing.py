@@ -6,7 +6,7 @@ import csv
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from certflow.schemas import CERTIFICATE_COLUMNS
+from certflow.schemas import CERTIFICATE_COLUMNS, CERTIFICATE_KEY
 
 # Name of a yearly file, the separators to try in order, and the sample size.
 YEAR_PATTERN = r"enova_data_(\d{4})"
@@ -98,7 +98,8 @@ def scan(spark: SparkSession, dialects: DataFrame) -> DataFrame:
 
     Only paths and dialects reach the driver, which Spark's own file listing holds
     anyway. Unknown columns are left out (P1); a file without any known column is not
-    read. `overflow` is set where a row has more fields than the header.
+    read. `overflow` is set where a row has more fields than the header, `keyed` where the
+    file has the key column.
     """
     groups = (
         dialects.groupBy("encoding", "separator", "multi_line", "header")
@@ -127,6 +128,7 @@ def scan(spark: SparkSession, dialects: DataFrame) -> DataFrame:
             raw.select(
                 *known,
                 "overflow",
+                F.lit(CERTIFICATE_KEY in known).alias("keyed"),
                 F.col("_metadata.file_path").alias("source_path"),
                 F.col("_metadata.file_block_start").alias("source_block"),
                 F.monotonically_increasing_id().alias("source_row"),

@@ -9,10 +9,10 @@ from certflow.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session("tests", "local[8]", **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8",
-        "spark.driver.memory": "8g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.driver.memory": "8g",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -49,6 +49,17 @@ def test_import_twice_adds_nothing(spark, landed, root):
     assert read_batches(spark, root, "imported", IMPORTED).count() == 7
 
 
+def test_rows_without_keys(spark, tmp_path, root):
+    (tmp_path / "enova_data_2018.csv").write_text("Knr,Gnr\n1,2\n1,2\n")
+    (tmp_path / "enova_data_2019.csv").write_text("Knr,Attestnummer\n1,\n2,\n3,A\n")
+    (tmp_path / "enova_data_2020.csv").write_text("Knr,Attestnummer\n4,\n5,A\n")
+    got = jobs.import_certificates(spark, str(tmp_path), root, "b1").head()
+    # both rows of the file without the key column, one row without a key per other file, one A
+    assert (got.total_rows, got.duplicate_rows, got.inserted_rows) == (7, 2, 5)
+    stored = read_batches(spark, root, "imported", IMPORTED)
+    assert sorted(((r.Knr, r.Attestnummer) for r in stored.collect()), key=str) == [(1.0, None), (1.0, None), (1.0, None), (3.0, "A"), (4.0, None)]
+
+
 def test_import_of_a_year_range(spark, landed, root):
     report = jobs.import_certificates(spark, landed, root, "b1", (2021, 2024)).head()
     assert report.inserted_rows == 4
