@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from certflow.llm import bpe, language_id
 from certflow.llm.near_dedup import near_duplicates
+from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, judge_quality
+
+# Folder of the public tokenizer files; a cluster sets it to where its nodes hold them.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +57,58 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(k.component_id
   coalesce(k.component_id, d.doc_id) = d.doc_id AS kept
 FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN component k ON k.id = c.id
 """
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("clean_text")
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+SQL["op5_quality"] = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents
+), windows AS (
+  SELECT k, i, w[i:i + 4] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM base)
+), often AS (SELECT k, i FROM windows QUALIFY count(*) OVER (PARTITION BY k, g) > 1
+), repeated AS (
+  SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 5)) AS p FROM often) GROUP BY k
+), lines AS (
+  SELECT k, i, line, trim(line, E' \t\x0b\f\r') AS bare, {_WORDS.format("line")} AS lw
+  FROM (SELECT k, unnest(t) AS line, generate_subscripts(t, 1) AS i FROM (SELECT k, string_split(text, E'\n') AS t FROM base))
+), judged AS (
+  SELECT k, line, i, len(array_to_string(lw, '')) AS chars,
+    NOT regexp_matches(bare, {_sql(LINE_END)})
+    OR len(regexp_extract_all(bare, {_sql(PUNCTUATION)})) > greatest(3, len(lw))
+    OR len(regexp_extract_all(bare, {_sql(NAVIGATION)})) > 1
+    OR regexp_matches(translate(bare, {_UPPER}, {_LOWER}), {_sql(BOILERPLATE)}) AS failed
+  FROM lines WHERE len(lw) > 0
+), line_sums AS (
+  SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (failed) AS n_failed,
+    coalesce(sum(chars) FILTER (failed), 0) AS lost FROM judged GROUP BY k
+), measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+    coalesce(r.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(r.n, 0) > 20 * len(w) AS base_failed,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_failed, 0) AS n_failed_lines, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
+  FROM base LEFT JOIN repeated r USING (k) LEFT JOIN line_sums USING (k)
+)
+SELECT *, NOT base_failed AND 100 * lost_chars <= 40 * word_chars AS kept FROM measured
+"""
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = f"{TOKENIZERS}/word_bpe_49k.json"
+    encoded = bpe.encode_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), file)
+    return bpe.digests(bpe.decode_ids(encoded, file))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
