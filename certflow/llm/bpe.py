@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from certflow.llm.tasks import groups
 
@@ -20,6 +22,11 @@ WORD_CACHE = 200_000
 _word = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file; TOKENIZER_DIR names the folder where a cluster's nodes hold them."""
+    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)
+
+
 def tokenizer(file: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -87,8 +94,6 @@ def _agreed(one: Tokens, two: Tokens, low: int, high: int, last: bool) -> tuple[
 
 
 def _range(part: Tokens, low: int, high: int) -> tuple[int, int]:
-    from bisect import bisect_left
-
     return (bisect_left(part.spans, low, key=lambda s: s[0]), bisect_left(part.spans, high, key=lambda s: s[0]))
 
 
@@ -179,8 +184,6 @@ def encode_texts(
             made = tree(encoder, "".join(r["text"] for r in rows), leaves, cuts)
             yield pa.RecordBatch.from_arrays([pa.array([rows[0]["doc_id"]], id_type), pa.array([made.ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     id_type = to_arrow_type(source.schema["doc_id"].dataType)
     short = source.where(~long).mapInArrow(encode, f"doc_id {kind}, ids array<int>")
     leaf = f"row long, doc_id {kind}, leaf int, text string"

@@ -104,8 +104,14 @@ class Scorer:
         self.table = np.empty((0, len(self.model.langs)))
 
     def entropies(self, texts: list[str | None]) -> list[tuple[np.ndarray, int] | None]:
-        """Nats per character under each language and the number of characters, or None without letters."""
+        """Nats per character under each language and the number of characters, or None without letters or languages."""
+        return [one for _, one in self.scored(texts)]
+
+    def scored(self, texts: list[str | None]) -> list[tuple[bool, tuple[np.ndarray, int] | None]]:
+        """Whether a text has letters, and its entropies."""
         split = [words_of(x) for x in texts]
+        if not self.model.langs:
+            return [(bool(words), None) for words in split]
         new = list({w for words in split for w in words if w not in self.known})
         if len(self.known) + len(new) > WORD_CACHE:
             self._clear()
@@ -114,11 +120,11 @@ class Scorer:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             parts = [self.model.word_scores(new[k:k + 20_000]) for k in range(0, len(new), 20_000)]
             self.table = np.concatenate([self.table, *parts])
-        out: list[tuple[np.ndarray, int] | None] = []
+        out: list[tuple[bool, tuple[np.ndarray, int] | None]] = []
         for words in split:
             n = sum(map(len, words)) + len(words)
             rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            out.append((-self.table[rows].sum(0) / n, n) if words else None)
+            out.append((bool(words), (-self.table[rows].sum(0) / n, n) if words else None))
         return out
 
 
@@ -251,7 +257,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     lang_pred is the language of the lowest cross-entropy per character (the first by name at a
     tie), or `und` where the text is null or holds no letter, or nothing was learned. score is
     the share of that language in exp(-10 * entropy) over all, 0 for `und`. accepted is false for
-    `und` and where the entropy lies farther above the language's mean than the calibrated
+    `und` (but true where nothing was learned and the text has letters) and where the entropy lies farther above the language's mean than the calibrated
     limit allows for the text's length. Whole texts are read. A column of `docs` with the name of a new
     one is replaced.
     """
@@ -266,9 +272,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             rows = []
             texts = batch.column(at).to_pylist()
-            for one in scorer.entropies(texts) if model.langs else [None] * len(texts):
+            for words, one in scorer.scored(texts):
                 if one is None:
-                    rows.append((UNKNOWN, 0.0, False))
+                    rows.append((UNKNOWN, 0.0, words and not model.langs))
                     continue
                 entropy, n = one
                 best = int(np.argmin(entropy))

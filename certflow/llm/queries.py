@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from certflow.llm import bpe, language_id
+from certflow.llm import bpe, language_id, mixing
 from certflow.llm.near_dedup import near_duplicates
 from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, judge_quality
 
-# Folder of the public tokenizer files; a cluster sets it to where its nodes hold them.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -59,6 +55,11 @@ FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN component k ON
 """
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("clean_text")
@@ -104,7 +105,7 @@ SELECT *, NOT base_failed AND 100 * lost_chars <= 40 * word_chars AS kept FROM m
 
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    file = f"{TOKENIZERS}/word_bpe_49k.json"
+    file = bpe.tokenizer_file("word_bpe_49k.json")
     encoded = bpe.encode_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), file)
     return bpe.digests(bpe.decode_ids(encoded, file))
 
