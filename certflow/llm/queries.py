@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from certflow.llm import bpe, language_id, mixing
+from certflow.llm import bpe, embeddings, language_id, lm_scoring, mixing, preference, url_filter, warc_zip
 from certflow.llm.near_dedup import near_duplicates
 from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, judge_quality
+from certflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,6 +62,79 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def _node(url: str) -> str:
+    bare = f"regexp_extract({url}, '(?s)^([^#]*)', 1)"
+    head = f"regexp_extract({bare}, '(?s)^(.*?://[^/?#]*)', 1)"
+    return f"CASE WHEN {head} <> '' THEN translate({head}, {_UPPER}, {_LOWER}) || substr({bare}, len({head}) + 1) END"
+
+
+def _rule(host: str, path: str, what: int) -> str:
+    values = (("'net/'", "'block'"), ("'org/fr/'", "'allow'"), ("'example.com/de/'", "'block'"), ("'example.net/en/'", "'allow'"))
+    found = "NULL"
+    for rule, verdict in values:
+        name, prefix = rule.strip("'").split("/", 1)
+        fits = f"({host} = '{name}' OR {host} LIKE '%.{name}') AND {path} LIKE '/{prefix}%'"
+        found = f"CASE WHEN {fits} THEN {(rule, verdict)[what]} ELSE {found} END"
+    return found
+
+
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_HOST = f"translate(coalesce(regexp_extract({{0}}, '(?s)^.*?://([^/?#]*)', 1), ''), {_UPPER}, {_LOWER})"
+_PATH = "coalesce(regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+SQL["op3_url_filter"] = rf"""
+WITH RECURSIVE found AS (
+  SELECT url, unnest([
+    regexp_extract(regexp_extract(html, '(?i)<link\s[^>]*rel\s*=\s*["'']?canonical["''\s>/][^>]*>?'), '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?i)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh["''\s>/][^>]*>?'), '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)]) AS raw
+  FROM pages WHERE contains(url, '://')
+), targets AS (
+  SELECT url, replace(raw, '&amp;', '&') AS t, regexp_extract(url, '(?s)^.*?://[^/?#]*(/(?:[^?#]*/)?)', 1) AS folder,
+    regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root FROM found WHERE raw <> ''
+), full_targets AS (
+  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN t LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || t WHEN t LIKE '/%' THEN root || t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE root || CASE WHEN folder = '' THEN '/' ELSE folder END || t END AS target FROM targets
+), edges AS (SELECT {_node("url")} AS a, {_node("target")} AS b FROM full_targets WHERE target IS NOT NULL
+), both_ways AS (SELECT a, b FROM edges WHERE b IS NOT NULL UNION SELECT b, a FROM edges WHERE b IS NOT NULL
+), bad AS (
+  SELECT a AS node FROM both_ways WHERE {_rule(_HOST.format("a"), _PATH.format("a"), 1)} = 'block'
+  UNION SELECT e.b FROM bad JOIN both_ways e ON e.a = bad.node
+), page AS (SELECT page_id, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path, {_node("url")} AS node FROM pages
+)
+SELECT page_id, host, path, {_rule("host", "path", 0)} AS rule, node IN (SELECT node FROM bad) IS TRUE AS alias_blocked,
+  coalesce({_rule("host", "path", 1)}, CASE WHEN (node IN (SELECT node FROM bad)) IS TRUE THEN 'block' ELSE 'allow' END) AS verdict
+FROM page
+"""
+
+
+@query
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    warc_zip.write_archives(warc_zip.planned(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder)
+    return warc_zip.read_records(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op4_warc_zip"] = """
+WITH base AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), first AS (SELECT html, min(page_id) AS first_id FROM base GROUP BY html
+), hashed AS (
+  SELECT page_id, octet_length(encode(b.html)) AS n, sha1(b.html) AS h, first_id FROM base b JOIN first f ON b.html = f.html
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM hashed
+"""
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("clean_text")
@@ -70,7 +145,6 @@ def _sql(pattern: str) -> str:
 
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
-_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 SQL["op5_quality"] = rf"""
 WITH base AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents
@@ -110,6 +184,96 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded, file))
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scored.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+SQL["op7_lm_scoring"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    {_WORDS.format("translate(coalesce(text, ''), " + _UPPER + ", " + _LOWER + ")")} AS w FROM documents
+), tokens AS (
+  SELECT k, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS u, len(w) AS n FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM docs)
+), counted AS (
+  SELECT *, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY w, k) AS c1,
+    count(*) OVER (PARTITION BY u, w) - count(*) OVER (PARTITION BY u, w, k) AS c2, count(*) OVER () - n AS others FROM tokens
+), with_context AS (SELECT *, lag(c1) OVER (PARTITION BY k ORDER BY i) AS context FROM counted
+), scored AS (
+  SELECT k, CASE WHEN c1 > 0 THEN ln(c1) - ln(others) ELSE -ln(others + 1) END AS s1, u, c2, context FROM with_context
+), summed AS (
+  SELECT k, sum(CASE WHEN u IS NULL THEN s1 WHEN c2 > 0 THEN ln(c2) - ln(context) ELSE ln(0.4) + s1 END) AS s FROM scored GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(s / len(w), 6) AS mean_log_score FROM docs LEFT JOIN summed USING (k)
+"""
+
+
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL["op8_embeddings"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), fit AS (
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM vectors
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(v, v) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    AND list_inner_product(a.v, b.v) >= 0.9 * a.norm * b.norm
+), reach AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counts USING (vec_id)
+"""
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    made = preference.preference_pairs(
+        turns.withColumnRenamed("conv_id", "pair_id"), preference.swapped_answers(turns).withColumnRenamed("conv_id", "pair_id"))
+    return made.withColumns({c: F.to_json(c) for c in ("chosen_mask", "rejected_mask")})
+
+
+_PLAIN = r"regexp_replace(coalesce({}, ''), '<\|(im_start|im_end)\|>', '<\1>', 'g')"
+SQL["op10_preference"] = rf"""
+WITH last AS (
+  SELECT conv_id, max(turn) AS last_turn, max_by(text, (turn, text)) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), ends AS (SELECT a.conv_id, a.last_turn, b.answer FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)
+), sides AS (
+  SELECT conv_id AS p, true AS good, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT c.conv_id, false, turn, role, CASE WHEN role = 'assistant' AND turn = last_turn THEN answer ELSE text END
+  FROM conversations c LEFT JOIN ends e ON c.conv_id = e.conv_id WHERE c.conv_id IS NOT NULL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY p, good ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,
+    '<|im_start|>' || {_PLAIN.format("role")} || chr(10) AS head, {_PLAIN.format("text")} || '<|im_end|>' || chr(10) AS tail FROM sides
+), matched AS (
+  SELECT coalesce(a.p, b.p) AS p, coalesce(a.i, b.i) AS i, a.i IS NOT NULL AND b.i IS NOT NULL AND a.role IS NOT DISTINCT FROM b.role
+    AND a.text IS NOT DISTINCT FROM b.text AS same
+  FROM (SELECT * FROM placed WHERE good) a FULL JOIN (SELECT * FROM placed WHERE NOT good) b ON a.p = b.p AND a.i = b.i
+), prefix AS (SELECT p, coalesce(min(i) FILTER (NOT same) - 1, count(*)) AS n FROM matched GROUP BY p
+), rest AS (
+  SELECT l.*, n, coalesce(sum(len(head) + len(tail)) OVER (PARTITION BY p, good ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM placed l JOIN prefix USING (p) WHERE i > n
+), completions AS (
+  SELECT p, good, string_agg(head || tail, '' ORDER BY i) AS text, bool_or(role = 'assistant') AS trained,
+    string_agg('{{"begin":' || (pos + len(head))::BIGINT || ',"end":' || (pos + len(head) + len(tail) - 1)::BIGINT || '}}', ',' ORDER BY i)
+      FILTER (role = 'assistant') AS mask FROM rest GROUP BY p, good
+), prompts AS (
+  SELECT p, any_value(n) AS n, coalesce(string_agg(head || tail, '' ORDER BY i) FILTER (i <= n AND good), '') AS prompt
+  FROM placed JOIN prefix USING (p) GROUP BY p
+)
+SELECT x.p AS pair_id, CAST(x.n AS BIGINT) AS n_prompt_turns, prompt, coalesce(c.text, '') AS chosen, '[' || coalesce(c.mask, '') || ']' AS chosen_mask,
+  coalesce(r.text, '') AS rejected, '[' || coalesce(r.mask, '') || ']' AS rejected_mask,
+  coalesce(c.trained, false) AND coalesce(r.trained, false) AS is_pair
+FROM prompts x LEFT JOIN completions c ON c.p = x.p AND c.good LEFT JOIN completions r ON r.p = x.p AND NOT r.good
+"""
