@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from certflow.llm.tasks import groups
 LEAF_CHARS = 1 << 16
 FIRST_WINDOW = 32
 WORD_CACHE = 200_000
+STEP_WORDS = 4096
+STEP_ROWS = 256
 
 # Runs of ASCII white space part words, which the pre-tokenizer never joins.
 _word = re.compile(r"[^\x20\x09-\x0D]+")
@@ -51,23 +55,45 @@ class Encoder:
 
     def __init__(self, file: str):
         self.model = tokenizer(file)
-        self.words: dict[str, list[int]] = {}
-
-    def ids(self, text: str) -> list[int]:
-        words = _word.findall(text)
-        new = list({w for w in words if w not in self.words})
-        if new:
-            if len(self.words) + len(new) > WORD_CACHE:
-                self.words.clear()
-                new = list(set(words))
-            for word, made in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                self.words[word] = made.ids
-        out: list[int] = []
-        for word in words:
-            out.extend(self.words[word])
+        marks = [(t.content, k) for k, t in self.model.get_added_tokens_decoder().items()
+                 if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.mark = marks[0] if marks else None
+        # words met since the last turn of the cache, and those of the turn before, from which used ones come back
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text."""
+        split = [_word.findall(x) for x in texts]
         if len(self.words) > WORD_CACHE:
-            self.words.clear()
-        return out
+            self.older, self.words = self.words, {}
+        new = []
+        for word in set().union(*split).difference(self.words):
+            if word in self.older:
+                self.words[word] = self.older[word]
+            else:
+                new.append(word)
+        self._learn(new)
+        return [np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32) for words in split]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode words many at a time: parted by a special token, which cuts a text before all other rules."""
+        odd = new
+        if self.mark:
+            text, mark = self.mark
+            plain = [w for w in new if text[0] not in w and text[-1] not in w]
+            odd = [w for w in new if text[0] in w or text[-1] in w]
+            for k in range(0, len(plain), STEP_WORDS):
+                step = plain[k:k + STEP_WORDS]
+                made = np.array(self.model.encode_batch_fast([text.join(step)], add_special_tokens=False)[0].ids, np.int32)
+                ends = np.flatnonzero(made == mark).tolist()
+                data = made.tobytes()
+                for word, a, b in zip(step, [-1, *ends], [*ends, len(made)], strict=True):
+                    self.words[word] = data[4 * a + 4:4 * b]
+        for k in range(0, len(odd), STEP_WORDS):
+            step = odd[k:k + STEP_WORDS]
+            for word, made in zip(step, self.model.encode_batch_fast(step, add_special_tokens=False)):
+                self.words[word] = array("i", made.ids).tobytes()
 
     def part(self, text: str, start: int, end: int) -> Tokens:
         made = self.model.encode(text[start:end], add_special_tokens=False)
@@ -77,6 +103,13 @@ class Encoder:
         return self.model.decode(ids, skip_special_tokens=False)
 
 
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in steps of a few rows, which bound what Python holds at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, STEP_ROWS):
+            yield batch.slice(k, STEP_ROWS)
+
+
 def _clean(part: Tokens, k: int) -> bool:
     """The token covers whole characters: no neighbour shares its span."""
     a, b = part.spans[k]
@@ -134,8 +167,9 @@ def tree(encoder: Encoder, text: str, leaves: list[Tokens], cuts: list[int]) ->
 
 def encode_texts(
     docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "text", *, leaf_chars: int = LEAF_CHARS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """Token ids of each whole text: columns doc_id, ids (array of int).
+    """Token ids of each whole text: columns doc_id, ids (array of int) and, if asked for, decoded.
 
     Texts up to leaf_chars code points are encoded where they lie. Longer ones are cut into
     leaves of that size, which are dealt over all tasks and encoded there; a text's leaves then
@@ -151,9 +185,9 @@ def encode_texts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file)
-        for batch in batches:
-            ids = [encoder.ids(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for step in steps(batches):
+            ids = encoder.ids(step.column("text").to_pylist())
+            yield finished(step.column("doc_id"), ids, encoder)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,16 +216,26 @@ def encode_texts(
                 leaves.append(Tokens(r["ids"], [(a + cuts[-1], b + cuts[-1]) for a, b in zip(r["starts"], r["ends"])]))
                 cuts.append(cuts[-1] + len(r["text"]))
             made = tree(encoder, "".join(r["text"] for r in rows), leaves, cuts)
-            yield pa.RecordBatch.from_arrays([pa.array([rows[0]["doc_id"]], id_type), pa.array([made.ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
+            yield finished(pa.array([rows[0]["doc_id"]], id_type), [np.array(made.ids, np.int32)], encoder)
+
+    def finished(keys: pa.Array, ids: list[np.ndarray], encoder: Encoder) -> pa.RecordBatch:
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        columns = [keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))]
+        names = ["doc_id", "ids"]
+        if decoded:
+            columns.append(pa.array([encoder.decode(x.tolist()) for x in ids], pa.string()))
+            names.append("decoded")
+        return pa.RecordBatch.from_arrays(columns, names)
 
     id_type = to_arrow_type(source.schema["doc_id"].dataType)
-    short = source.where(~long).mapInArrow(encode, f"doc_id {kind}, ids array<int>")
+    result = f"doc_id {kind}, ids array<int>" + ", decoded string" * decoded
+    short = source.where(~long).mapInArrow(encode, result)
     leaf = f"row long, doc_id {kind}, leaf int, text string"
     whole = (source.where(long).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
              .mapInArrow(cut, leaf).repartition("row", "leaf")
              .mapInArrow(encode_leaves, f"{leaf}, ids array<int>, starts array<int>, ends array<int>")
              .repartition("row").sortWithinPartitions("row", "leaf")
-             .mapInArrow(join_leaves, f"doc_id {kind}, ids array<int>"))
+             .mapInArrow(join_leaves, result))
     return short.union(whole)
 
 
@@ -202,9 +246,9 @@ def decode_ids(encoded: DataFrame, file: str) -> DataFrame:
     """
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tokenizer(file)
-        for batch in batches:
-            texts = [model.decode(x or [], skip_special_tokens=False) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        for step in steps(batches):
+            texts = [model.decode(x or [], skip_special_tokens=False) for x in step.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*step.columns, pa.array(texts, pa.string())], [*step.schema.names, "decoded"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(decode, f"{kinds}, decoded string")

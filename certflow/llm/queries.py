@@ -180,8 +180,7 @@ SELECT *, NOT base_failed AND 100 * lost_chars <= 40 * word_chars AS kept FROM m
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = bpe.tokenizer_file("word_bpe_49k.json")
-    encoded = bpe.encode_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), file)
-    return bpe.digests(bpe.decode_ids(encoded, file))
+    return bpe.digests(bpe.encode_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), file, decoded=True))
 
 
 @query
