@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from certflow.llm.tasks import groups
+from certflow.llm.tasks import groups, steps
 
 LEAF_CHARS = 1 << 16
 FIRST_WINDOW = 32
 WORD_CACHE = 200_000
 STEP_WORDS = 4096
-STEP_ROWS = 256
 
 # Runs of ASCII white space part words, which the pre-tokenizer never joins.
 _word = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,13 +102,6 @@ class Encoder:
         return self.model.decode(ids, skip_special_tokens=False)
 
 
-def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in steps of a few rows, which bound what Python holds at a time."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, STEP_ROWS):
-            yield batch.slice(k, STEP_ROWS)
-
-
 def _clean(part: Tokens, k: int) -> bool:
     """The token covers whole characters: no neighbour shares its span."""
     a, b = part.spans[k]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from certflow.llm.tasks import stored
+from certflow.llm.tasks import steps, stored
 
 UNKNOWN = "und"
 WORD_CACHE = 200_000
@@ -128,30 +128,35 @@ class Scorer:
         return out
 
 
+def _fold(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string")) % 5
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0. False for a null id, which is not learned from either."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
+    return F.coalesce(_fold(doc_id) == 0, F.lit(False))
 
 
-def _sample(labelled: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows first < rank <= last of each language, by a hash of the id: at most last - first a language."""
+def _sample(labelled: DataFrame, docs_per_lang: int) -> DataFrame:
+    """The first docs_per_lang rows of each language by a hash of the id."""
     window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(window))
-           .where((F.col("rank") <= last) & (F.col("rank") > first)).select("doc_id").distinct())
-    # at most (last - first) ids a language, so small enough to send to every executor
+           .where(F.col("rank") <= docs_per_lang).select("doc_id").distinct())
+    # at most docs_per_lang ids a language, so small enough to send to every executor
     return labelled.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
 def train(labelled: DataFrame, *, order: int = 5, docs_per_lang: int = 1000, calibration_docs: int = 500) -> Model:
-    """Fit the models on at most docs_per_lang documents a language, and the rejection on the next calibration_docs.
+    """Fit the models on at most docs_per_lang documents a language, and the rejection on at most calibration_docs others.
 
-    `labelled` has doc_id, lang (neither null) and text. N-grams are counted in the tasks and
+    `labelled` has doc_id, lang (neither null) and text. Documents whose crc32 of the id modulo 5
+    is 1 calibrate, the others fit. N-grams are counted in the tasks and
     merged by Spark; lower orders count distinct left neighbours; discounts are n1 / (n1 + 2 n2)
     for each language and order. The finished arrays, whose size the sample bounds, come to
     the driver.
     """
     spark = labelled.sparkSession
-    sample = _sample(labelled, 0, docs_per_lang)
+    sample = _sample(labelled.where(_fold(F.col("doc_id")) != 1), docs_per_lang)
     suffixes, contexts = [f"s{n}" for n in range(1, order + 1)], [f"x{n}" for n in range(1, order + 1)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +206,7 @@ def train(labelled: DataFrame, *, order: int = 5, docs_per_lang: int = 1000, cal
         table = table.union(part)
     floors = dict(floor.collect())
     model = _arrays(table.toArrow(), sorted(floors), floors, order)
-    _calibrate(model, _sample(labelled, docs_per_lang, docs_per_lang + calibration_docs))
+    _calibrate(model, _sample(labelled.where(_fold(F.col("doc_id")) == 1), calibration_docs))
     return model
 
 
@@ -226,14 +231,14 @@ def _arrays(table: pa.Table, langs: list[str], floors: dict[str, float], order:
 def _calibrate(model: Model, docs: DataFrame) -> None:
     """Mean and spread of the cross-entropy per language, and the largest deviation that is not rejected.
 
-    A document's deviation is (entropy - mean) * sqrt(characters) / spread. The limit is 1.5
-    times the largest deviation among documents predicted as labelled, and 6 at least.
+    A document's deviation is (entropy - mean) * sqrt(characters) / spread. The limit is 2
+    times the largest deviation among documents predicted as labelled, and 12 at least.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in steps(batches):
             made = []
             for lang, one in zip(batch.column("lang").to_pylist(), scorer.entropies(batch.column("text").to_pylist())):
                 if one and shared.value.langs[int(np.argmin(one[0]))] == lang:
@@ -248,7 +253,7 @@ def _calibrate(model: Model, docs: DataFrame) -> None:
     worst = seen.join(spread, "lang").agg(F.max(off * F.sqrt("n") / F.greatest("spread", F.lit(1e-6)))).first()[0]
     model.mean = np.array([rows.get(x, (np.inf, 1.0))[0] for x in model.langs])
     model.spread = np.array([rows.get(x, (np.inf, 1.0))[1] for x in model.langs])
-    model.limit = max(6.0, 1.5 * worst) if worst is not None else float("inf")
+    model.limit = max(12.0, 2.0 * worst) if worst is not None else float("inf")
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -269,7 +274,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in steps(batches):
             rows = []
             texts = batch.column(at).to_pylist()
             for words, one in scorer.scored(texts):

@@ -16,13 +16,15 @@ WINDOW = 5
 
 # Fixed rules on a line without white space at its ends. The SQL twin uses the same patterns.
 LINE_END = r"[.!?…:;\"'”’»)\]。！？]$"
+SENTENCE = r"[.!?…] "
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 NAVIGATION = r"[|»›•>]"
 BOILERPLATE = (
-    r"cookie|javascript|lorem ipsum|privacy policy|terms of (use|service)|all rights reserved|licensed under"
-    r"|copyright|subscribe|click here|sign in|log in|read more|powered by"
+    r"cookie|javascript|lorem ipsum|privacy policy|terms of (use|service)|all rights reserved"
+    r"|subscribe|click here|sign in|log in|read more|powered by"
 )
-_line_end, _punctuation, _navigation, _boilerplate = map(re.compile, (LINE_END, PUNCTUATION, NAVIGATION, BOILERPLATE))
+_line_end, _sentence, _punctuation, _navigation, _boilerplate = map(
+    re.compile, (LINE_END, SENTENCE, PUNCTUATION, NAVIGATION, BOILERPLATE))
 _lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
@@ -32,7 +34,8 @@ RESULT = f"{MEASURES}, n_lines long, n_failed_lines long, lost_chars long, kept
 def line_failure(line: str, n_words: int, max_marks: int, max_separators: int) -> str | None:
     """The rule that a line with words fails: punctuation, navigation, boilerplate or none."""
     line = line.strip(SPACE)
-    if not _line_end.search(line) or len(_punctuation.findall(line)) > max(max_marks, n_words):
+    closed = _line_end.search(line) or _sentence.search(line)
+    if not closed or len(_punctuation.findall(line)) > max(max_marks, n_words):
         return "punctuation"
     if len(_navigation.findall(line)) > max_separators:
         return "navigation"
@@ -101,8 +104,9 @@ def judge_quality(
 ) -> DataFrame:
     """Measures and verdict per row: doc_id and the columns of RESULT.
 
-    A line with words fails if it doesn't end in a punctuation mark that closes a sentence or
-    quotation or holds more ASCII punctuation than words (and than max_marks); if it holds more
+    A line with words fails if it neither ends in a punctuation mark that closes a sentence or
+    quotation nor holds the end of a sentence, or if it holds more ASCII punctuation than words
+    (and than max_marks); if it holds more
     than max_separators menu separators; or if it holds a boilerplate phrase. Failed lines are
     left out of clean_text. A document is kept unless base_failed (fewer than 10 words, or over
     20 % of them in repeated five-word windows) or unless its failed lines hold over

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from certflow.llm import bpe, embeddings, language_id, lm_scoring, mixing, preference, url_filter, warc_zip
 from certflow.llm.near_dedup import near_duplicates
-from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, judge_quality
+from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, SENTENCE, judge_quality
 from certflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,7 +158,7 @@ WITH base AS (
   FROM (SELECT k, unnest(t) AS line, generate_subscripts(t, 1) AS i FROM (SELECT k, string_split(text, E'\n') AS t FROM base))
 ), judged AS (
   SELECT k, line, i, len(array_to_string(lw, '')) AS chars,
-    NOT regexp_matches(bare, {_sql(LINE_END)})
+    NOT (regexp_matches(bare, {_sql(LINE_END)}) OR regexp_matches(bare, {_sql(SENTENCE)}))
     OR len(regexp_extract_all(bare, {_sql(PUNCTUATION)})) > greatest(3, len(lw))
     OR len(regexp_extract_all(bare, {_sql(NAVIGATION)})) > 1
     OR regexp_matches(translate(bare, {_UPPER}, {_LOWER}), {_sql(BOILERPLATE)}) AS failed

@@ -25,6 +25,13 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def steps(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in steps of a few rows, which bound what Python holds at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
     """Rows of neighbouring equal `key`, gathered over batch borders; the input is sorted by it."""
     held: list[dict] = []
