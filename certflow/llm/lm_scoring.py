@@ -91,7 +91,7 @@ def scores(grams: Grams, totals: list[np.ndarray], n_docs: int, corpus_words: in
             log = np.where(count > 0, np.log(np.maximum(count, 1)) - np.log(np.maximum(context, 1)),
                            np.where(ranks >= 0, np.log(backoff), 0.0) + log)
         before = count
-    return np.bincount(grams.doc, log, n_docs)
+    return np.bincount(grams.doc, log, n_docs).astype(np.float64)
 
 
 def score_documents(

@@ -103,9 +103,9 @@ def members_of(read, length: int) -> list[dict]:
     """
     tail_at = max(0, length - 65_557 - 20)
     tail = read(tail_at, length - tail_at)
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, len(tail) - 18)
     while at >= 0 and tail_at + at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != length:
-        at = tail.rfind(END, 0, at)
+        at = tail.rfind(END, 0, at + 3)
     if at < 0:
         raise ValueError("not a ZIP file")
     count, size, start = struct.unpack_from("<HII", tail, at + 10)
