@@ -44,19 +44,6 @@ def fallback_sections(c: Column) -> Column:
     text without a header counts as the first section.
     """
     lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != "")
-    start = F.struct(
-        F.lit("").alias("current"),
-        F.array().cast("array<string>").alias("buffer"),
-        *[F.lit("").alias(s) for s in SECTIONS],
-    )
-
-    def store(acc: Column) -> list[Column]:
-        joined = F.array_join(acc["buffer"], " ")
-        full = F.size(acc["buffer"]) > 0
-        return [
-            F.when((acc["current"] == s) & full, joined).otherwise(acc[s]).alias(s)
-            for s in SECTIONS
-        ]
 
     def header(line: Column) -> Column:
         low = F.lower(line)
@@ -80,23 +67,32 @@ def fallback_sections(c: Column) -> Column:
         ),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        opened = F.struct(
-            x["header"].alias("current"),
-            F.when(x["rest"] != "", F.array(x["rest"]))
-            .otherwise(F.array().cast("array<string>"))
-            .alias("buffer"),
-            *store(acc),
-        )
-        grown = F.struct(
-            F.when(acc["current"] == "", F.lit("AboutEstate")).otherwise(acc["current"]).alias("current"),
-            F.concat(acc["buffer"], F.array(x["line"])).alias("buffer"),
-            *[acc[s].alias(s) for s in SECTIONS],
-        )
-        return F.when(x["header"] != "", opened).otherwise(grown)
+    def blocks(e: Column) -> Column:
+        """Header and lines of each block in order; every line lies in one block, so the work is linear."""
+        n = F.size(e)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        heads = F.filter(places, lambda i: e[i]["header"] != "")
+
+        def between(start: Column, stop: Column) -> Column:
+            return F.transform(F.slice(e, start + 1, stop - start), lambda x: x["line"])
+
+        def block(i: Column, stop: Column) -> Column:
+            rest = F.filter(F.array(e[i]["rest"]), lambda x: x != "")
+            return F.struct(e[i]["header"].alias("header"), F.concat(rest, between(i + 1, stop)).alias("lines"))
+
+        def with_bounds(bounds: Column) -> Column:
+            opened = F.transform(F.slice(bounds, 1, F.size(bounds) - 1), lambda i, k: block(i, bounds[k + 1]))
+            first = F.struct(F.lit("AboutEstate").alias("header"), between(F.lit(0), bounds[0]).alias("lines"))
+            return F.filter(F.concat(F.array(first), opened), lambda b: F.size(b["lines"]) > 0)
+
+        return bind(F.concat(heads, F.array(n)), with_bounds)
+
+    def last(found: Column, name: str) -> Column:
+        same = F.filter(found, lambda b: b["header"] == name)
+        text = F.array_join(F.try_element_at(same, F.lit(-1))["lines"], " ")
+        return strip_markdown(F.coalesce(text, F.lit("")))
 
-    folded = F.aggregate(entries, start, step, lambda acc: F.struct(*store(acc)))
-    return bind(folded, lambda f: F.struct(*[strip_markdown(f[s]).alias(s) for s in SECTIONS]))
+    return bind(bind(entries, blocks), lambda f: F.struct(*[last(f, s).alias(s) for s in SECTIONS]))
 
 
 def fill_and_cut(c: Column) -> Column:
@@ -109,7 +105,7 @@ def fill_and_cut(c: Column) -> Column:
 
 
 def parse_answer(c: Column) -> Column:
-    """Struct of the three final sections; the fold runs only where all are empty."""
+    """Struct of the three final sections; the line reading runs only where all are empty."""
     labelled = F.struct(*[section(c, s).alias(s) for s in SECTIONS])
 
     def choose(found: Column) -> Column:

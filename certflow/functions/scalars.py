@@ -74,8 +74,7 @@ def file_name_from_url(url: Column) -> Column:
     """File name of a download URL.
 
     The parts are taken by pattern and not by a URI parser, so that odd URLs
-    still give a name. Without any name a stable hash stands in for it, long
-    enough to stay unique over very many URLs.
+    still give a name. Without any name the SHA-256 of the URL stands in for it.
     """
     uri = r"(?s)\A(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)(?:\?([^#]*))?"
 
@@ -100,7 +99,7 @@ def file_name_from_url(url: Column) -> Column:
 
     last = F.regexp_extract(F.regexp_extract(url, uri, 1), r"([^/;]*)(?:;[^/]*)?\z", 1)
     name = bind(F.struct(last.alias("path"), F.regexp_extract(url, uri, 2).alias("query")), name_of)
-    hashed = F.concat(F.lit(FALLBACK_NAME_PREFIX), F.left(F.md5(url), F.lit(16)), F.lit(".pdf"))
+    hashed = F.concat(F.lit(FALLBACK_NAME_PREFIX), F.sha2(url, 256), F.lit(".pdf"))
     final = bind(name, lambda n: F.when(n.endswith(".pdf"), n).otherwise(hashed))
     return F.translate(final, ILLEGAL_IN_NAMES, "_" * len(ILLEGAL_IN_NAMES))
 

@@ -13,20 +13,22 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 DATE_FORMATS = ["dd.MM.yyyy", "dd.MM.yyyy HH:mm:ss", "yyyy/MM/dd"]
+_ISO_DATE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?$"
 _NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 
 
 def to_number(c: Column) -> Column:
-    """Double, null for anything that is not a plain number (Java would take '12d')."""
+    """Double, null for anything that is not a plain finite number (Java would take '12d', and '1e999' as infinite)."""
     text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def to_time(c: Column) -> Column:
-    """Timestamp from ISO text or one of the local formats, else null."""
+    """Timestamp from ISO text or one of the local formats, else null; a time without a date is null."""
     text = strip(c)
     local = [F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]
-    return F.coalesce(text.try_cast("timestamp"), *local)
+    return F.coalesce(F.when(text.rlike(_ISO_DATE), text.try_cast("timestamp")), *local)
 
 
 def to_text(c: Column) -> Column:
@@ -55,6 +57,7 @@ def conform(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
             if name == "BeregnetFossilandel":
                 c = F.translate(c, ",", ".")  # P5
             elif name == "HarEnergiVurdering":
+                c = F.initcap(F.lower(c))
                 c = F.when(c.isin("True", "False"), c)  # P6
         out.append(c.alias(name))
     return raw.select(*out, *(keep or [])).dropna(how="all", subset=known)

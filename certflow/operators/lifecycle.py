@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from certflow.operators.conform import keep_first
-from certflow.operators.skew import SALTS, salted_join
+from certflow.operators.skew import salted_join
 from certflow.operators.worklists import not_done
 from certflow.schemas import API_LOG
 
@@ -61,7 +61,7 @@ def append_new(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> tuple
 
     Only the keys are used for the counts, with copies merged map-side.
     """
-    added = not_done(incoming, stored, keys, SALTS)
+    added = not_done(incoming, stored, keys, "keys")
     copies = incoming.groupBy(*keys).agg(F.count("*").alias("copies"))
     marked = copies.join(stored.select(*keys).distinct().withColumn("_stored", F.lit(True)), keys, "left")
     counts = marked.agg(

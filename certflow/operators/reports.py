@@ -144,7 +144,7 @@ def import_summary(
     keys = staged.groupBy(key, *(within or [])).agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
     have = stored.groupBy(key).agg(F.count("*").alias("matches"))
     usable = F.col("good") > 0
-    totals = salted_join(keys, have, [key], "left", 1).agg(
+    totals = salted_join(keys, have, [key], "left", None).agg(
         F.coalesce(F.sum("good"), F.lit(0)).alias("good"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("failed_rows"),
         F.count_if(usable).alias("distinct_rows"),

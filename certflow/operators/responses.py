@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from certflow.functions.scalars import certificate_number
+from certflow.operators.conform import to_number
 from certflow.operators.outcomes import call_outcome
 from certflow.schemas import RESPONSE_SCHEMA
 
@@ -40,6 +41,10 @@ RESPONSE_FIELDS = {
     "registering_Materialvalg": "energiattest.registering.materialvalg",
     "OrganisasjonsNummer": "organisasjonsnummer",
 }
+NUMBERS = [
+    "bruksareal", "registering_BeregnetLevertEnergiTotaltkWhm2", "registering_BeregnetLevertEnergiTotaltkWh",
+    "registering_BeregnetFossilandel",
+]
 PARAMETERS = {
     "paramKommunenummer": "kommunenummer",
     "paramGardsnummer": "gardsnummer",
@@ -51,16 +56,27 @@ PARAMETERS = {
 
 
 def parse_bodies(responses: DataFrame) -> DataFrame:
-    """Add `certificates`, the parsed array; null for a failed call or broken JSON."""
+    """Add `certificates`, the parsed array, and `returned`, the length of the body.
+
+    Both are null for a failed call or broken JSON. A body that is one object has no array; its
+    length is the number of its keys. Null elements of an array stay null.
+    """
+    ok = F.col("http_status") == 200
+    length = F.json_array_length("body")
     parsed = F.from_json("body", RESPONSE_SCHEMA)
-    return responses.withColumn("certificates", F.when(F.col("http_status") == 200, parsed))
+    keys = F.size(F.json_object_keys("body"))
+    return responses.withColumns({
+        "certificates": F.when(ok & length.isNotNull(), parsed),
+        "returned": F.when(ok, F.coalesce(length, F.when(F.json_object_keys("body").isNotNull(), keys))),
+    })
 
 
 def flatten(parsed: DataFrame, batch_time: Column) -> DataFrame:
     """One row of 38 columns per certificate object; nothing is shuffled.
 
-    A null sub-object gives null columns and the row stays. Booleans are stored as
-    'True' and 'False'.
+    A null sub-object gives null columns and the row stays; a null object gives none. Values keep
+    their text whatever their JSON type; the four numbers are cast, and what can't be is
+    null here and listed by `untyped_values`. Booleans are stored as 'True' and 'False'.
     """
     # an inner explode makes Spark infer filters on the array, which parses the body again
     rows = parsed.withColumn("c", F.explode_outer("certificates")).filter(F.col("c").isNotNull())
@@ -71,18 +87,27 @@ def flatten(parsed: DataFrame, batch_time: Column) -> DataFrame:
             c = certificate_number(F.col("c.energiattest.attestUrl"))
         else:
             c = F.col(f"c.{field}")
-        if name == "bygg_byggear":
-            c = c.cast("string")
+        if name in NUMBERS:
+            c = to_number(c)
         elif name == "registering_HarEnergivurdering":
-            c = F.initcap(c.cast("string"))
+            c = F.initcap(F.lower(c))
         out.append(c.alias(name))
     return rows.select(*out, batch_time.alias("Created"))
 
 
+def untyped_values(parsed: DataFrame) -> DataFrame:
+    """Numbers of the objects that are no numbers: CertificateID, object (from 0), column and text."""
+    objects = parsed.select("CertificateID", F.posexplode("certificates").alias("object", "c"))
+    fields = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"c.{RESPONSE_FIELDS[n]}").alias("text")) for n in NUMBERS])
+    rows = objects.select("CertificateID", "object", F.inline(fields))
+    return rows.where(F.col("text").isNotNull() & to_number(F.col("text")).isNull())
+
+
 def call_outcomes(parsed: DataFrame) -> DataFrame:
-    """P14 per call. All objects of a call are stored, so the number saved is the number returned."""
-    n = F.when(F.col("certificates").isNotNull(), F.size("certificates")).otherwise(0)
+    """P14 per call: what the body returned, and its objects, each of which is a stored row."""
+    n = F.coalesce("returned", F.lit(0))
+    saved = F.coalesce(F.size(F.filter("certificates", lambda c: c.isNotNull())), F.lit(0))
     error = F.col("error") if "error" in parsed.columns else F.lit(None).cast("string")
     return parsed.select(
-        "CertificateID", *call_outcome(F.col("http_status"), F.col("body"), n, n, error)
+        "CertificateID", *call_outcome(F.col("http_status"), F.col("body"), n, saved, error)
     )

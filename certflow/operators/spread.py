@@ -4,21 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-BYTES_PER_TASK = 128 * 1024 * 1024
-TASKS_PER_CORE = 2
-MIN_GAIN = 4
+SETTING = "spark.certflow.text.partitions"
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a small input comes in a few row groups.
+def spread(rows: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash rows over `partitions` tasks, or over those that the session sets in SETTING; else leave them to their splits.
 
-    Heavy per-row work on one row group would run in one task. An input with full
-    splits for less than a quarter of the cores (by Spark's own size estimate) is hashed
-    by its unique key over all of them; that exchange is bounded by the estimate. A
-    larger input has splits enough and is left alone, so nothing big is shuffled here.
+    For inputs of few row groups, whose heavy work would run in few tasks. Nothing is
+    guessed: without a number from the caller or the session there is no exchange.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) * MIN_GAIN >= cores * BYTES_PER_TASK:
-        return rows
-    return rows.repartition(cores * TASKS_PER_CORE, key)
+    n = partitions or int(rows.sparkSession.conf.get(SETTING, "0"))
+    return rows.repartition(n, key) if n else rows

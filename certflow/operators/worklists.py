@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from certflow.functions.scalars import not_blank
-from certflow.operators.skew import SALTS, salted_join
+from certflow.operators.skew import HEAVY_ROWS, salted_join
 from certflow.schemas import CALL_COLUMNS
 
 
-def not_done(rows: DataFrame, done: DataFrame, keys: list[str], salts: int = 0) -> DataFrame:
+def not_done(rows: DataFrame, done: DataFrame, keys: list[str], spread: str = "") -> DataFrame:
     """Rows whose key is not in `done`; rows with a null key stay.
 
     The done side is cut to distinct keys first: the partial aggregation removes
     copies map-side, so no key of it can be hot in the join, and the join uses the same
-    exchange. With `salts` 0 the row side must have (nearly) unique keys; 1 spreads many
-    null keys as well, more also spread keys that repeat very often.
+    exchange. By itself the row side must have (nearly) unique keys; `spread` "nulls" spreads
+    many null keys as well, "keys" also keys that repeat very often.
     """
     have = done.select(*keys).distinct()
-    if salts == 0:
+    if not spread:
         return rows.join(have, keys, "left_anti").select(*rows.columns)
-    return salted_join(rows, have, keys, "left_anti", salts).select(*rows.columns)
+    return salted_join(rows, have, keys, "left_anti", HEAVY_ROWS if spread == "keys" else None).select(*rows.columns)
 
 
 def top(rows: DataFrame, order: list[str | Column], n: int | None) -> DataFrame:
@@ -43,7 +43,7 @@ def next_rows(rows: DataFrame, done: DataFrame, keys: list[str], n: int | None)
 
 def new_records(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows that are not stored yet; many of them may have no key."""
-    return not_done(rows, stored, [key], 1)
+    return not_done(rows, stored, [key], "nulls")
 
 
 def prompts_long(prompts: DataFrame, versions: list[str]) -> DataFrame:
@@ -84,7 +84,7 @@ def url_worklist(
     loaded = log.filter(F.col("status") == "Success")
     left = not_done(distinct, loaded, ["attest_url"])
     on_disk = inventory.select(F.col("filename").alias("expected_filename"))
-    return top(not_done(left, on_disk, ["expected_filename"], SALTS), ["attest_url"], n)
+    return top(not_done(left, on_disk, ["expected_filename"], "keys"), ["attest_url"], n)
 
 
 def extract_worklist(inventory: DataFrame, extracts: DataFrame, n: int | None = None) -> DataFrame:
@@ -100,9 +100,9 @@ def clean_worklist(extracts: DataFrame, cleaned: DataFrame, n: int | None = None
 
 def new_files(listing: DataFrame, inventory: DataFrame, skip_existing: bool = True) -> DataFrame:
     """Listed files whose name is not in the inventory, or all of them when forced."""
-    return not_done(listing, inventory, ["filename"], SALTS) if skip_existing else listing
+    return not_done(listing, inventory, ["filename"], "keys") if skip_existing else listing
 
 
 def gone_files(inventory: DataFrame, listing: DataFrame) -> DataFrame:
     """Inventory rows whose path is not listed any more; a null path counts as gone."""
-    return not_done(inventory, listing, ["full_path"], 1)
+    return not_done(inventory, listing, ["full_path"], "nulls")

@@ -21,7 +21,7 @@ from certflow.operators.reports import import_summary, stage_report, status_brea
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
 from certflow.operators.spread import spread
 from certflow.operators.worklists import (
-    api_worklist, clean_worklist, extract_worklist, new_files, new_records, prompt_worklist, url_worklist,
+    api_worklist, clean_worklist, extract_worklist, new_files, new_records, not_done, prompt_worklist, url_worklist,
 )
 from certflow.schemas import (
     ANSWERS, API_LOG, CERTIFICATE_KEY, CLEANED_TEXT, DOWNLOAD_LOG, FILE_EXTRACT,
@@ -84,12 +84,13 @@ def process_responses(
     """Worklist, landed responses, flat certificate rows and the call log; gives A1.
 
     Pending rows live in a small table of their own. Resolved rows are only ever
-    appended, so the long log is never rewritten.
+    appended, so the long log is never rewritten. Batches run in the order of their names;
+    a batch that is run again reads what its first run read.
     """
     spark = certificates.sparkSession
     now = F.lit(batch_time)
     log = read_batches(spark, root, "api_log", API_LOG, skip=batch)
-    waiting = expire_pending(read_version(spark, root, "api_pending", API_LOG), now, stale_hours)
+    waiting = expire_pending(read_version(spark, root, "api_pending", API_LOG, batch), now, stale_hours)
     work = api_worklist(certificates, log.select("CertificateID").union(waiting.select("CertificateID")), n)
     # a landed response may answer a call of this batch or one that still waits
     columns = work.columns
@@ -104,7 +105,7 @@ def process_responses(
     resolved = resolve_pending(waiting.unionByName(fresh), call_outcomes(parsed))
     whole = append_batch(resolved, root, "api_resolved", batch)
     append_batch(whole.filter(F.col("status_message") != PENDING), root, "api_log", batch)
-    write_version(whole.filter(F.col("status_message") == PENDING), root, "api_pending")
+    write_version(whole.filter(F.col("status_message") == PENDING), root, "api_pending", batch)
     return status_breakdown(whole, now)
 
 
@@ -114,7 +115,7 @@ def record_downloads(
     """P15 over landed download attempts of the URL worklist, appended to the download log."""
     spark = urls.sparkSession
     log = read_batches(spark, root, "download_log", DOWNLOAD_LOG, skip=batch)
-    inventory = read_version(spark, root, "inventory", FILE_INVENTORY)
+    inventory = read_version(spark, root, "inventory", FILE_INVENTORY)  # of the newest scan
     tried = url_worklist(urls, inventory, log, n).join(attempts, "attest_url")
     rows = tried.select(
         "attest_url", F.col("expected_filename").alias("filename"), F.lit(batch_time).alias("download_date"),
@@ -133,22 +134,32 @@ def record_downloads(
 def sync_inventory(
     listing: DataFrame, root: str, batch_time: datetime, skip_existing: bool = True, cleanup: bool = True
 ) -> DataFrame:
-    """Drop rows of files that are gone, add new files; gives the counts."""
+    """Drop rows of files that are gone, add new files; gives the counts.
+
+    A forced run (skip_existing false) writes all listed files anew; their rows replace those of
+    the same path. The id of a file is the SHA-256 of its path. A run of the same time again
+    reads what its first run read.
+    """
     spark = listing.sparkSession
-    before = read_version(spark, root, "inventory", FILE_INVENTORY)
+    batch = batch_time.strftime("%Y%m%dT%H%M%S%f")
+    before = read_version(spark, root, "inventory", FILE_INVENTORY, batch)
     kept = purge_gone(before, listing) if cleanup else before
     added = new_files(listing, kept, skip_existing).select(
-        F.xxhash64("full_path").alias("file_id"), "filename", "full_path", "file_size", "file_extension",
+        F.sha2("full_path", 256).alias("file_id"), "filename", "full_path", "file_size", "file_extension",
         F.lit(batch_time).alias("sync_date"), F.lit(True).alias("_new"),
     )
-    rows = kept.withColumn("_new", F.lit(False)).unionByName(added)
-    staged = append_batch(rows, root, "inventory_staged", batch_time.strftime("%Y%m%dT%H%M%S%f"))
-    write_version(_as(staged, FILE_INVENTORY), root, "inventory")
+    added = keep_first(added, ["full_path"], ["filename"])
+    rest = kept if skip_existing else not_done(kept, added, ["full_path"])
+    rows = rest.withColumn("_new", F.lit(False)).unionByName(added)
+    staged = append_batch(rows, root, "inventory_staged", batch)
+    write_version(_as(staged, FILE_INVENTORY), root, "inventory", batch)
     n = lambda df, c="*": df.agg(F.count(c).alias("n"))
     total, old = n(listing).withColumnRenamed("n", "files_processed"), n(before).withColumnRenamed("n", "before")
-    now = staged.agg(F.count_if("_new").alias("files_added"), F.count_if(~F.col("_new")).alias("kept"))
-    # three one-row frames side by side
-    joined = total.withColumn("k", F.lit(1)).join(old.withColumn("k", F.lit(1)), "k").join(now.withColumn("k", F.lit(1)), "k")
+    still, now = n(kept).withColumnRenamed("n", "kept"), staged.agg(F.count_if("_new").alias("files_added"))
+    # four one-row frames side by side
+    joined = total.withColumn("k", F.lit(1))
+    for one in (old, still, now):
+        joined = joined.join(one.withColumn("k", F.lit(1)), "k")
     return joined.select(
         "files_processed", "files_added",
         (F.col("files_processed") - F.col("files_added")).alias("files_skipped"),
@@ -173,10 +184,12 @@ def record_extracts(
     return stage_report(written, "extract", F.col("extraction_status") == "SUCCESS")
 
 
-def cleaned_rows(extracts: DataFrame, aggressive: bool = False, patterns: list[str] | None = None) -> DataFrame:
+def cleaned_rows(
+    extracts: DataFrame, aggressive: bool = False, patterns: list[str] | None = None, partitions: int | None = None
+) -> DataFrame:
     """X12 and P17 on each extract, with both lengths and the reduction."""
     clean = clean_text(F.col("extracted_text"), aggressive, patterns)
-    rows = spread(extracts.select("file_id", "extracted_text"), "file_id").withColumn("clean_text", clean)
+    rows = spread(extracts.select("file_id", "extracted_text"), "file_id", partitions).withColumn("clean_text", clean)
     before, after = F.length("extracted_text"), F.length("clean_text")
     return rows.select(
         "file_id", "clean_text",
@@ -189,12 +202,13 @@ def cleaned_rows(extracts: DataFrame, aggressive: bool = False, patterns: list[s
 
 def clean_texts(
     extracts: DataFrame, root: str, batch: str, batch_time: datetime,
-    n: int | None = None, aggressive: bool = False, patterns: list[str] | None = None,
+    n: int | None = None, aggressive: bool = False, patterns: list[str] | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """C4: extracts that are not cleaned yet, in one pass; failed ones come back next time."""
     spark = extracts.sparkSession
     done = read_batches(spark, root, "cleaned", CLEANED_TEXT, skip=batch)
-    rows = cleaned_rows(clean_worklist(extracts, done, n), aggressive, patterns)
+    extracts = extracts.withColumn("file_id", F.col("file_id").cast("string"))
+    rows = cleaned_rows(clean_worklist(extracts, done, n), aggressive, patterns, partitions)
     results = append_batch(rows.withColumn("cleaned_date", F.lit(batch_time)), root, "cleaning_results", batch)
     append_batch(_as(results.filter(F.col("outcome") == "success"), CLEANED_TEXT), root, "cleaned", batch)
     return stage_report(results, "clean", F.col("outcome") == "success")
@@ -202,13 +216,15 @@ def clean_texts(
 
 def parse_answers(
     prompts: DataFrame, responses: DataFrame, root: str, batch: str, batch_time: datetime,
-    version: str, n: int | None = None,
+    version: str, n: int | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Landed model responses of the prompt worklist to stored sections."""
     spark = prompts.sparkSession
     done = read_batches(spark, root, "answers", ANSWERS, skip=batch)
+    prompts = prompts.withColumn("FILE_ID", F.col("FILE_ID").cast("string"))
+    responses = responses.withColumn("file_id", F.col("file_id").cast("string"))
     work = prompt_worklist(prompts, done, version, n).select("file_id", "prompt_version")
-    tried = spread(work, "file_id").join(responses, ["file_id", "prompt_version"], "left")
+    tried = spread(work, "file_id", partitions).join(responses, ["file_id", "prompt_version"], "left")
     parsed = tried.withColumn("parsed", parse_answer(F.col("response_text"))).select(
         F.xxhash64("file_id", "prompt_version").alias("openAIAnswerID"), "file_id",
         F.col("prompt_version").alias("PromptVersion"), "parsed.*",
@@ -219,19 +235,23 @@ def parse_answers(
     return stage_report(results, "answer", F.col("answered"))
 
 
-def run_stages(spark: SparkSession, stages: dict[str, Callable[[], DataFrame | None]]) -> DataFrame:
-    """Run stages in order; a failing one does not stop the rest. One report row per stage.
+def run_stages(
+    spark: SparkSession, stages: dict[str, Callable[[], DataFrame | None]], root: str, batch: str
+) -> DataFrame:
+    """Run stages in order; a failing one does not stop the rest. One row per stage.
 
-    The reports are one-row frames or small status lists; only whether a stage
-    worked, its seconds and its error text are kept here.
+    A stage's report is stored whole, as the batch's part of the table `reports/<stage>`; the
+    row holds its place, and whether the stage worked, its seconds and its error text.
     """
     rows = []
     for name, stage in stages.items():
         start = time.perf_counter()
         try:
             report = stage()
-            detail = None if report is None else report.limit(20).toJSON().collect()
-            rows.append((name, True, None, "\n".join(detail or []), time.perf_counter() - start))
+            if report is not None:
+                append_batch(report, root, f"reports/{name}", batch)
+            place = None if report is None else f"{root}/reports/{name}/batch={batch}"
+            rows.append((name, True, None, place, time.perf_counter() - start))
         except Exception as error:  # noqa: BLE001 - any failure is a result of the stage
             rows.append((name, False, str(error)[:200], None, time.perf_counter() - start))
     return spark.createDataFrame(rows, "stage string, success boolean, error string, report string, seconds double")

@@ -15,6 +15,7 @@ from certflow.operators.worklists import (
 )
 from certflow.plans.queries.registry import query, table
 from certflow.sources.dims import BUILDING_TYPES, RATINGS, STATUSES, building_types, look_up, ratings, statuses
+from certflow.session import scratch_dir
 from certflow.sources.files import list_files
 
 PROMPTS = [
@@ -89,7 +90,7 @@ def api_backlog(spark, sf):
     return work.select("CertificateID", "Attestnummer", payload.alias("payload"))
 
 
-URL_NAME_SQL = "'energiattest_' || left(md5(url), 16) || '.pdf'"
+URL_NAME_SQL = "'energiattest_' || sha256(url) || '.pdf'"
 
 
 @query(f"""
@@ -193,20 +194,33 @@ def name_sets(spark, sf):
     return lost.unionByName(shared(small, large, "p_brand").select(F.lit("shared").alias("kind"), F.col("p_brand").alias("name")))
 
 
-def inventory_listing(spark, sf):
-    """The data files themselves, by metadata only; not sent to SQL because it has no file listing."""
-    return list_files(spark, sf, "*.parquet").select("filename", "file_size", "file_extension")
+def landed_texts(spark, sf):
+    """The documents as text files in folders by source and language, and the listing of these files."""
+    folder = scratch_dir(spark, "texts")
+    rows = table(spark, sf, "documents").select("text", "source", "lang")
+    rows.write.partitionBy("source", "lang").option("compression", "none").text(folder)
+    return list_files(spark, folder, "*.txt")
 
 
-query()(inventory_listing)
+@query("""
+SELECT source, lang, '.txt' AS file_extension, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes, true AS named
+FROM documents GROUP BY source, lang
+""")
+def inventory_listing(spark, sf):
+    """The landed text files by metadata only; a line of text has its bytes and a line feed."""
+    part = lambda name: F.regexp_extract("full_path", f"/{name}=([^/]*)/", 1).alias(name)
+    return landed_texts(spark, sf).groupBy(part("source"), part("lang"), "file_extension").agg(
+        F.sum("file_size").alias("bytes"), F.bool_and(F.col("full_path").endswith(F.col("filename"))).alias("named"))
 
 
+@query("""
+SELECT file_extension, bytes::BIGINT AS bytes, round(bytes / 1024.0 / 1024.0, 1) AS mb FROM (
+  SELECT '.txt' AS file_extension, sum(octet_length(encode(text)) + 1) AS bytes FROM documents
+  UNION ALL SELECT NULL, sum(octet_length(encode(text)) + 1) FROM documents)
+""")
 def directory_totals(spark, sf):
-    """A9 over the data files."""
-    return directory_stats(list_files(spark, sf, None))
-
-
-query()(directory_totals)
+    """A9 over the landed text files; how many files they are is up to the writer."""
+    return directory_stats(landed_texts(spark, sf)).drop("files")
 
 
 def _values(rows):
@@ -269,7 +283,7 @@ CRAFTED = [
 
 
 @query(" UNION ALL ".join(
-    f"SELECT page_id, '{kind}' AS kind, {name or f'''{chr(39)}energiattest_{chr(39)} || left(md5({url}), 16) || {chr(39)}.pdf{chr(39)}'''} AS file_name, "
+    f"SELECT page_id, '{kind}' AS kind, {name or f'''{chr(39)}energiattest_{chr(39)} || sha256({url}) || {chr(39)}.pdf{chr(39)}'''} AS file_name, "
     f"{dict(plain='concat(chr(98), page_id)', upper='chr(66) || chr(46) || chr(80) || chr(68) || chr(70)').get(kind, 'NULL') } AS certificate FROM pages"
     for kind, url, name in CRAFTED
 ))

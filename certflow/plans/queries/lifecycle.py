@@ -104,20 +104,22 @@ EVENT_CALLS = [
          THEN '{"errors":{"EnergiattestResponse":["Query gave More than twenty five hits"]}}'
        WHEN event_type = 'signup' THEN '{"errors":{"Other":["x"]}}'
        WHEN event_type = 'view' THEN '[]' WHEN event_type = 'click' THEN '[{"organisasjonsnummer":"1"},{}]'
-       WHEN event_type = 'purchase' THEN '[{"organisasjonsnummer":"1"}]' END AS body""",
+       WHEN event_type = 'purchase' THEN CASE WHEN event_id % 3 = 0 THEN '[null]' WHEN event_id % 3 = 1 THEN '{"title":"maintenance","code":503}'
+           ELSE '[{"organisasjonsnummer":"1"},null]' END END AS body""",
     "CASE WHEN event_type = 'purchase' AND value > 20 THEN concat('time out ', repeat('x', 250)) END AS error",
 ]
 
 
 @query("""
 SELECT event_id AS CertificateID,
-  CASE WHEN event_type = 'click' THEN 2 WHEN event_type = 'purchase' AND value <= 20 THEN 1 ELSE 0 END::BIGINT AS records_returned,
+  CASE WHEN event_type = 'click' THEN 2 WHEN event_type = 'purchase' AND value <= 20 THEN CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END ELSE 0 END::BIGINT AS records_returned,
   CASE WHEN event_type = 'purchase' AND value > 20 THEN 'Error: time out ' || repeat('x', 191)
     WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'Too many results (25+ eiendommer)'
+    WHEN event_type = 'purchase' AND event_id % 3 <> 2 THEN 'API returned data but no records saved'
     WHEN event_type IN ('click', 'purchase') THEN 'Success' ELSE 'No records found' END AS status_message,
   CASE WHEN event_type = 'purchase' AND value > 20 THEN 'error'
     WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'too_many' WHEN event_type IN ('signup', 'error') THEN 'http_failure'
-    WHEN event_type = 'view' THEN 'empty' ELSE 'saved' END AS outcome_detail
+    WHEN event_type = 'view' THEN 'empty' WHEN event_type = 'purchase' AND event_id % 3 <> 2 THEN 'not_saved' ELSE 'saved' END AS outcome_detail
 FROM events
 """)
 def response_status(spark, sf):

@@ -33,19 +33,19 @@ IMPORTED = T.StructType(
     + [T.StructField(c, T.StringType()) for c in STRING_COLUMNS]
 )
 
-# Shape of one object of a certificate response.
+# Shape of one object of a certificate response. Leaves are text, so a value of any JSON type is kept.
 _RESPONSE_OBJECT = """struct<
   organisasjonsnummer: string,
   energiattest: struct<attestnummer: string, attestUrl: string, energikarakter: string,
     oppvarmingskarakter: string, utstedelsesdato: string,
-    registering: struct<type: string, beregnetLevertEnergiTotaltkWhm2: double,
-      beregnetLevertEnergiTotaltkWh: double, harEnergivurdering: boolean,
-      energivurderingdato: string, beregnetFossilandel: double, materialvalg: string>>,
-  enhet: struct<bruksareal: double,
+    registering: struct<type: string, beregnetLevertEnergiTotaltkWhm2: string,
+      beregnetLevertEnergiTotaltkWh: string, harEnergivurdering: string,
+      energivurderingdato: string, beregnetFossilandel: string, materialvalg: string>>,
+  enhet: struct<bruksareal: string,
     adresse: struct<gatenavn: string, postnummer: string, poststed: string>,
     matrikkel: struct<kommunenummer: string, `gårdsnummer`: string, bruksnummer: string,
       festenummer: string, seksjonsnummer: string, andelsnummer: string, bruksenhetsnummer: string>,
-    bygg: struct<bygningsnummer: string, `byggeår`: int, kategori: string, type: string>>>"""
+    bygg: struct<bygningsnummer: string, `byggeår`: string, kategori: string, type: string>>>"""
 RESPONSE_SCHEMA = f"array<{_RESPONSE_OBJECT}>"
 
 # Call parameters of a certificate request, and the log around them.
@@ -67,17 +67,17 @@ DOWNLOAD_LOG = _struct(
     "status_message string, file_size long, http_status_code int, created timestamp"
 )
 FILE_INVENTORY = _struct(
-    "file_id long, filename string, full_path string, file_size long, "
+    "file_id string, filename string, full_path string, file_size long, "
     "file_extension string, sync_date timestamp"
 )
 FILE_EXTRACT = _struct(
-    "file_id long, filename string, extracted_text string, extraction_date timestamp, "
+    "file_id string, filename string, extracted_text string, extraction_date timestamp, "
     "extraction_method string, extraction_status string, character_count long, page_count int"
 )
 CLEANED_TEXT = _struct(
-    "file_id long, clean_text string, cleaned_date timestamp, character_count long"
+    "file_id string, clean_text string, cleaned_date timestamp, character_count long"
 )
 ANSWERS = _struct(
-    "openAIAnswerID long, file_id long, PromptVersion string, AboutEstate string, "
+    "openAIAnswerID long, file_id string, PromptVersion string, AboutEstate string, "
     "Positives string, Evaluation string, Created timestamp"
 )

@@ -1,8 +1,8 @@
 """Stage tables as Parquet folders, and S10, A13: what they hold.
 
 A batch is written to its own folder, so a repeated run of the same batch replaces
-its own output and nothing else. A table that changes is written as a whole to a new
-version folder; readers take the newest finished one.
+its own output and nothing else. A table that changes is written as a whole to a
+version folder of the batch; names of batches sort in the order of their runs.
 """
 
 from __future__ import annotations
@@ -43,18 +43,22 @@ def read_batches(
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def write_version(df: DataFrame, root: str, table: str) -> DataFrame:
-    """Write the whole table as the next version; the one being read stays untouched."""
-    spark = df.sparkSession
-    last = _folders(spark, f"{root}/{table}", "version=")
-    number = int(last[-1].rsplit("=", 1)[1]) + 1 if last else 1
-    path = f"{root}/{table}/version={number:012d}"
+def write_version(df: DataFrame, root: str, table: str, batch: str) -> DataFrame:
+    """Write the whole table as the version of a batch; the one being read stays untouched."""
+    path = f"{root}/{table}/version={batch}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def read_version(
+    spark: SparkSession, root: str, table: str, schema: StructType, before: str | None = None
+) -> DataFrame:
+    """The newest version by name of batch, or the newest before a batch; empty when there is none.
 
-def read_version(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    A run passes its own batch as `before`, so a repeated run reads what the first one read.
+    """
     paths = _folders(spark, f"{root}/{table}", "version=")
+    paths = [p for p in paths if before is None or p.rsplit("/version=", 1)[1] < before]
     return spark.read.schema(schema).parquet(paths[-1]) if paths else spark.createDataFrame([], schema)
 
 

@@ -109,6 +109,25 @@ def test_stale_calls_are_made_again(spark, root):
     assert sorted((r.CertificateID, r.LogDate) for r in waiting) == [(1, T2), (2, T2), (3, T2)]
 
 
+def test_a_repeated_batch_reads_what_the_first_run_read(spark, root):
+    none = spark.createDataFrame([], "CertificateID long, http_status int, body string")
+    runs = []
+    for _ in range(2):
+        jobs.process_responses(_calls(spark), none, root, "b1", T1, n=2)
+        runs.append(sorted(r.CertificateID for r in read_version(spark, root, "api_pending", API_LOG).collect()))
+    assert runs == [[1, 2], [1, 2]]
+
+
+def test_forced_sync_replaces_rows(spark, root):
+    listing = spark.createDataFrame([(f"{i}.pdf", f"/{i}.pdf", i, ".pdf") for i in range(3)], "filename string, full_path string, file_size long, file_extension string")
+    jobs.sync_inventory(listing, root, T1)
+    for _ in range(2):
+        assert tuple(jobs.sync_inventory(listing, root, T2, skip_existing=False).head()) == (3, 3, 0, 0)
+    table = read_version(spark, root, "inventory", FILE_INVENTORY)
+    assert table.count() == table.select("file_id").distinct().count() == 3
+    assert {r.sync_date for r in table.collect()} == {T2}
+
+
 def test_inventory(spark, root, tmp_path):
     (tmp_path / "sub").mkdir()
     for name in ("a.pdf", "sub/b.PDF", "sub/a.pdf", "c.txt", "none"):
@@ -156,13 +175,13 @@ def test_downloads_and_extracts(spark, root):
     assert read_batches(spark, root, "extracts", FILE_EXTRACT).head().character_count == 16
 
 
-def test_a_failing_stage_does_not_stop_the_rest(spark):
+def test_a_failing_stage_does_not_stop_the_rest(spark, root):
     def fails():
         raise ValueError("x" * 300)
 
-    got = jobs.run_stages(spark, {"one": fails, "two": lambda: spark.range(1).toDF("n")}).collect()
+    got = jobs.run_stages(spark, {"one": fails, "two": lambda: spark.range(30).toDF("n")}, root, "b1").collect()
     assert [(r.stage, r.success) for r in got] == [("one", False), ("two", True)]
-    assert len(got[0].error) == 200 and got[1].report == '{"n":0}'
+    assert len(got[0].error) == 200 and spark.read.parquet(got[1].report).count() == 30
 
 
 def test_catalog(spark):

@@ -13,6 +13,7 @@ from certflow.operators.outcomes import call_outcome, cleaning_outcome, download
 from certflow.operators.prompts import extract_facts
 from certflow.operators.reconcile import missing, shared, side_counts
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
+from certflow.operators.skew import salted_join
 from certflow.operators.worklists import gone_files, new_files, not_done, prompt_worklist, url_worklist
 
 
@@ -60,8 +61,17 @@ def test_keep_first_collapses_null_keys_and_limits_before_the_exchange(spark):
 def test_anti_joins_keep_null_keys(spark):
     df = spark.createDataFrame([(1,), (2,), (None,), (None,)], "k int")
     done = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    for salts in (0, 1, 16):
-        assert sorted(r.k or 0 for r in not_done(df, done, ["k"], salts).collect()) == [0, 0, 2]
+    for spread in ("", "nulls", "keys"):
+        assert sorted(r.k or 0 for r in not_done(df, done, ["k"], spread).collect()) == [0, 0, 2]
+
+
+def test_heavy_keys_are_cut_by_their_count(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 700, "hot").when(F.col("id") < 800, None).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    unique = spark.createDataFrame([("hot", 1), ("900", 2), ("none", 3)], "k string, v int")
+    for heavy in (None, 10, 10**6):
+        out = salted_join(rows, unique, ["k"], "left", heavy)
+        assert out.count() == 1000 and out.columns == ["k", "id", "v"]
+        assert dict(out.groupBy("v").count().collect()) == {1: 700, 2: 1, None: 299}
 
 
 def test_hot_keys_are_spread_and_results_stay_whole(spark):
@@ -145,7 +155,7 @@ def test_payload(spark):
 def test_file_names(spark, url, name):
     got = spark.createDataFrame([(url,)], "u string").select(file_name_from_url(F.col("u"))).head()[0]
     if name is None:
-        assert got.startswith("energiattest_") and got.endswith(".pdf") and len(got) == 33
+        assert got.startswith("energiattest_") and got.endswith(".pdf") and len(got) == 81
     else:
         assert got == name
 
@@ -245,3 +255,38 @@ def test_facts(spark):
     got = spark.createDataFrame([(text,), ("Energikarakter Best",)], "t string").select(*extract_facts(F.col("t"))).collect()
     assert tuple(got[0]) == ("B", "Grønn", "Energiattest-2025-107518", 1987, 86.16)
     assert tuple(got[1]) == (None, None, None, None, None)
+
+
+def test_type_edges(spark):
+    from certflow.operators.conform import to_number, to_time
+
+    seen = ["1e999", "-1e999", "12", "12:30:00", "T10:00", "2024-01-02", "2024-01-02 03:04:05", "02.01.2024"]
+    got = [tuple(r) for r in spark.createDataFrame([(x,) for x in seen], "x string").select(to_number(F.col("x")), to_time(F.col("x")).cast("string")).collect()]
+    assert [g[0] for g in got] == [None, None, 12.0] + [None] * 5
+    assert [g[1] for g in got][3:7] == [None, None, "2024-01-02 00:00:00", "2024-01-02 03:04:05"]
+    raw = spark.createDataFrame([("true",), ("TRUE",), ("False",), ("x",)], "HarEnergiVurdering string")
+    assert [r[0] for r in conform(raw).collect()] == ["True", "True", "False"] or [r[0] for r in conform(raw).collect()] == ["True", "True", "False", None]
+
+
+def test_responses_keep_values_of_any_type(spark):
+    from certflow.operators.responses import call_outcomes, flatten, parse_bodies, untyped_values
+
+    bodies = [
+        (1, '[{"enhet":{"bruksareal":"364.00","bygg":{"byggeår":"1987"}},"energiattest":{"registering":{"beregnetFossilandel":"27","harEnergivurdering":"true"}}}]'),
+        (2, '[{"enhet":{"bruksareal":12.5,"bygg":{"byggeår":1987}},"energiattest":{"registering":{"beregnetFossilandel":"n/a","harEnergivurdering":false}}}]'),
+        (3, "[null]"), (4, '{"title":"maintenance"}'), (5, "[]"), (6, "no json"), (7, None),
+    ]
+    calls = spark.createDataFrame([(i, 200, b) for i, b in bodies], "CertificateID long, http_status int, body string")
+    for p in ("kommunenummer", "gardsnummer", "bruksnummer", "seksjonsnummer", "bruksenhetnummer", "bygningsnummer"):
+        calls = calls.withColumn(p, F.lit("1"))
+    parsed = parse_bodies(calls)
+    flat = flatten(parsed, F.lit("2025-01-02").cast("timestamp"))
+    assert len(flat.columns) == 38
+    names = ["bruksareal", "bygg_byggear", "registering_BeregnetFossilandel", "registering_HarEnergivurdering"]
+    assert [tuple(r) for r in flat.orderBy("CertificateID").select(names).collect()] == [
+        (364.0, "1987", 27.0, "True"), (12.5, "1987", None, "False")]
+    assert [tuple(r) for r in untyped_values(parsed).collect()] == [(2, 0, "registering_BeregnetFossilandel", "n/a")]
+    status = {r.CertificateID: (r.records_returned, r.status_message) for r in call_outcomes(parsed).collect()}
+    assert status == {
+        1: (1, "Success"), 2: (1, "Success"), 3: (1, "API returned data but no records saved"),
+        4: (1, "API returned data but no records saved"), 5: (0, "No records found"), 6: (0, "No records found"), 7: (0, "No records found")}
