@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from certflow.operators.lifecycle import archive, expire_pending, log_pending, resolve_pending
 from certflow.operators.reports import status_breakdown
-from certflow.operators.responses import call_outcomes, flatten, parse_bodies
+from certflow.operators.responses import call_outcomes, flatten, parse_bodies, untyped_values
 from certflow.operators.spread import spread
 from certflow.operators.worklists import api_worklist
 from certflow.plans.queries.joins import CALLS
@@ -48,7 +48,12 @@ def order_calls(spark, sf):
     second = F.struct(F.lit("second").alias("organisasjonsnummer"), attest.alias("energiattest"),
                       F.when(F.lit(False), enhet).alias("enhet"))
     one, two = F.to_json(F.array(first)), F.to_json(F.array(first, second))
-    body = F.when(F.col("o_orderkey") % 10 == 9, "[]").when(F.col("o_orderkey") % 3 == 0, two).otherwise(one)
+    made = F.when(F.col("o_orderkey") % 3 == 0, two).otherwise(one)
+    # some values come as JSON of another type, some areas are no numbers
+    quoted = F.regexp_replace(made, '"(harEnergivurdering|byggeår|bruksareal)":(true|false|-?[0-9.E]+)', '"$1":"$2"')
+    spoiled = F.regexp_replace(made, '"bruksareal":-?[0-9.E]+', '"bruksareal":"ukjent"')
+    body = (F.when(F.col("o_orderkey") % 10 == 9, "[]").when(F.col("o_orderkey") % 4 == 0, quoted)
+            .when(F.col("o_orderkey") % 4 == 1, spoiled).otherwise(made))
     return rows.select(
         F.col("o_orderkey").alias("CertificateID"),
         F.col("c_nationkey").cast("string").alias("kommunenummer"),
@@ -59,28 +64,54 @@ def order_calls(spark, sf):
     )
 
 
-@query("""
+# The 38 columns of a flat row, and what the orders put into some of them.
+FLAT = (
+    "ImportDate CertificateID paramKommunenummer paramGardsnummer paramBruksnummer paramSeksjonsnummer paramBruksenhetnummer "
+    "paramBygningsnummer attestnummer merkenummer bruksareal energikarakter oppvarmingskarakter attest_url "
+    "matrikkel_kommunenummer matrikkel_gardsnummer matrikkel_bruksnummer matrikkel_festenummer matrikkel_seksjonsnummer "
+    "matrikkel_andelsnummer matrikkel_bruksenhetsnummer bygg_bygningsnummer bygg_byggear bygg_kategori bygg_type "
+    "utstedelsesdato adresse_gatenavn adresse_postnummer adresse_poststed registering_RegisteringType "
+    "registering_BeregnetLevertEnergiTotaltkWhm2 registering_BeregnetLevertEnergiTotaltkWh registering_HarEnergivurdering "
+    "registering_Energivurderingdato registering_BeregnetFossilandel registering_Materialvalg OrganisasjonsNummer Created").split()
+FILLED = {
+    "ImportDate": "TIMESTAMP '2025-01-02 03:04:05'", "Created": "TIMESTAMP '2025-01-02 03:04:05'", "CertificateID": "o_orderkey",
+    "paramKommunenummer": "CAST(c_nationkey AS VARCHAR)", "attestnummer": "'EA-' || o_orderkey", "merkenummer": "'EA-' || o_orderkey",
+    "bruksareal": "CASE WHEN part = 1 AND o_orderkey % 4 <> 1 THEN c_acctbal END", "energikarakter": "o_orderstatus",
+    "attest_url": "'https://h/x/EA-' || o_orderkey || '.pdf?sig=1'", "utstedelsesdato": "strftime(o_orderdate, '%Y-%m-%d')",
+    "matrikkel_kommunenummer": "CASE part WHEN 1 THEN CAST(c_nationkey AS VARCHAR) END",
+    "matrikkel_gardsnummer": "CASE part WHEN 1 THEN CAST(c_custkey AS VARCHAR) END",
+    "bygg_byggear": "CASE part WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) END", "bygg_kategori": "CASE part WHEN 1 THEN c_mktsegment END",
+    "adresse_gatenavn": "CASE part WHEN 1 THEN c_name END", "adresse_poststed": "CASE part WHEN 1 THEN 'ÅS' END",
+    "registering_RegisteringType": "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END",
+    "registering_BeregnetLevertEnergiTotaltkWhm2": "CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END",
+    "registering_HarEnergivurdering": "CASE WHEN o_orderpriority <> '5-LOW' THEN CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END END",
+    "OrganisasjonsNummer": "CASE part WHEN 1 THEN c_mktsegment ELSE 'second' END",
+}
+FLAT_NUMBERS = ("registering_BeregnetLevertEnergiTotaltkWh", "registering_BeregnetFossilandel")
+
+
+def _flat_sql(name: str) -> str:
+    return FILLED.get(name, f"CAST(NULL AS {'DOUBLE' if name in FLAT_NUMBERS else 'VARCHAR'})") + f" AS {name}"
+
+
+@query(f"""
 WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 10 <> 9),
 n AS (SELECT *, 1 AS part FROM o UNION ALL SELECT *, 2 FROM o WHERE o_orderkey % 3 = 0)
-SELECT o_orderkey AS CertificateID, CAST(c_nationkey AS VARCHAR) AS paramKommunenummer, 'EA-' || o_orderkey AS attestnummer,
-  'EA-' || o_orderkey AS merkenummer, CASE part WHEN 1 THEN c_acctbal END AS bruksareal, o_orderstatus AS energikarakter,
-  CASE part WHEN 1 THEN CAST(c_custkey AS VARCHAR) END AS matrikkel_gardsnummer,
-  CASE part WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) END AS bygg_byggear,
-  CASE part WHEN 1 THEN 'ÅS' END AS adresse_poststed, strftime(o_orderdate, '%Y-%m-%d') AS utstedelsesdato,
-  CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS kwh_m2,
-  CASE WHEN o_orderpriority <> '5-LOW' THEN CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END END AS vurdert,
-  CASE part WHEN 1 THEN c_mktsegment ELSE 'second' END AS OrganisasjonsNummer
-FROM n
+SELECT {", ".join(map(_flat_sql, FLAT))} FROM n
 """)
 def response_flatten(spark, sf):
-    """Nested bodies to flat rows."""
+    """Nested bodies to flat rows, with values of mixed JSON types."""
     flat = flatten(parse_bodies(order_calls(spark, sf)), F.lit(BATCH_TIME).cast("timestamp"))
-    return flat.select(
-        "CertificateID", "paramKommunenummer", "attestnummer", "merkenummer", "bruksareal", "energikarakter",
-        "matrikkel_gardsnummer", "bygg_byggear", "adresse_poststed", "utstedelsesdato",
-        F.col("registering_BeregnetLevertEnergiTotaltkWhm2").alias("kwh_m2"),
-        F.col("registering_HarEnergivurdering").alias("vurdert"), "OrganisasjonsNummer",
-    )
+    return flat.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ImportDate", "Created")})
+
+
+@query("""
+SELECT o_orderkey AS CertificateID, 0 AS object, 'bruksareal' AS "column", 'ukjent' AS text
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 10 <> 9 AND o_orderkey % 4 = 1
+""")
+def response_untyped(spark, sf):
+    """The numbers that are no numbers, kept apart."""
+    return untyped_values(parse_bodies(order_calls(spark, sf)))
 
 
 @query("""

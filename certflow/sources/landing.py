@@ -42,16 +42,18 @@ def probe(spark: SparkSession, path: str | list[str]) -> DataFrame:
     two encodings of the source system can never win, as they come later in a tie.
     The separator that gives strictly the most header columns wins, the first on a
     tie; one is out when a sample row has more fields than the header and the first
-    row have. A file with a quote left open on some line is read in multi-line mode.
+    row have. A file with a field that opens with a quote and isn't closed on its line is read
+    in multi-line mode; a quote inside a plain field is a character like any other.
 
     Two scans: one of fixed-size sums, and one that keeps six lines per file, cut
     down inside each task before the exchange.
     """
     lines = _lines(spark, path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # what is left of a line without its closed quoted fields opens one if a field starts with a quote
+    rest = F.regexp_replace("value", '(^|[,;\t])"[^"]*+(?:""[^"]*+)*+"(?=[,;\t]|$)', "$1")
     sums = lines.groupBy("path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_or(quotes % 2 == 1).alias("multi_line"),
+        F.bool_or(rest.rlike('(?:^|[,;\t])"')).alias("multi_line"),
         F.count(F.when(F.length(F.trim("value")) > 0, 1)).alias("physical_lines"),
     )
     order = Window.partitionBy("path").orderBy("block", "row")

@@ -20,7 +20,7 @@ def landed(tmp_path):
         ("﻿" + header + '\n1,A1,"Vei 1, ""b""",x\n2,A2,Åsen,x\n9,A1,again,x\n,,,\n3,,first null,x\n4,,second null,x\n').encode())
     (tmp_path / "enova_data_2021.csv").write_bytes("Attestnummer;Knr;GateAdresse\nA3;1;Ås\nA1;2;later\nA3;3;\nA3;4;\nA3;5;\nA9;1;x;too many\n".encode("latin-1"))
     (tmp_path / "enova_data_2022.csv").write_bytes('Attestnummer\tGateAdresse\nA4\t"two\nlines"\nA5\n'.encode())
-    (tmp_path / "enova_data_2023.csv").write_bytes(b"foo,bar\n1,2\n")
+    (tmp_path / "enova_data_2023.csv").write_bytes(b'foo,bar\n1,rom 5" vei\n')
     return str(tmp_path)
 
 
