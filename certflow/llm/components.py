@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     A large star ties the larger neighbours of a node to its smallest one, a small star the
     smaller ones; the edge count never grows and the rounds grow with the logarithm of the
     longest path. Each round is written to the shared folder. Minima are merged before the
-    shuffle and joined back with an ordinary join, which Spark splits where a node is hot.
+    shuffle, stored, and joined back with an ordinary join: both its sides come straight from an
+    exchange, so Spark can split the edges of a hot node.
     Edges with a null end and loops are left out; a node of only such edges is not returned.
     """
     u, v = F.col("u"), F.col("v")
@@ -24,10 +25,10 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     before = _mark(stars)
     while True:
         both = stars.select("u", "v").union(stars.select(v.alias("u"), u.alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
         large = stored(both.where(v > u).join(least, "u").select(v.alias("u"), F.col("m").alias("v")).distinct(),
                        "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         small = large.join(least, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
         stars = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         after = _mark(stars)

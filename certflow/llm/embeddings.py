@@ -101,7 +101,9 @@ def near_vectors(
     place = F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))
     spread = keyed.select("node", "dim", "keys", place.alias("t")).select(
         "node", F.concat_ws("/", "dim", "t", F.hex(F.substring("keys", F.col("t") * 4 + 1, F.lit(4)))).alias("bucket"), "t")
-    sizes = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS))
+    # what is joined to rows by a key that may be hot is stored first, so that Spark can split the rows of the key
+    sizes = stored(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+                   .withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS)), "bucket-sizes")
     member = spread.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     other = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     tiled = other.select(
@@ -124,7 +126,7 @@ def near_vectors(
     known = classes.join(counts, "node", "left").join(labels, "node", "left").select(
         "unit", "least_id", F.coalesce("component", "node").alias("component"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    least = known.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    least = stored(known.groupBy("component").agg(F.min("least_id").alias("component_id")), "least-ids")
     known = known.join(least, "component").select("unit", "n_links", "component_id")
     lone = F.col("unit").isNull()
     return rows.join(known, "unit", "left").select(

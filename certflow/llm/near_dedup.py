@@ -125,7 +125,8 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()), "classes")
 
     spread = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    # what is joined to rows by a key that may be hot is stored first, so that Spark can split the rows of the key
+    buckets = stored(spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1"), "buckets")
     members = stored(
         spread.join(buckets, "bucket").where("node != leader").select("bucket", "leader", "node", "size"), "members")
 
@@ -139,7 +140,7 @@ def near_duplicates(
 
     nodes = classes.join(labels, "node", "left").select(
         "digest", "least_id", F.coalesce("component", "node").alias("component"))
-    least = nodes.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    least = stored(nodes.groupBy("component").agg(F.min("least_id").alias("component_id")), "least-ids")
     ids = nodes.join(least, "component").select("digest", "component_id")
     return sketches.drop("bands").join(ids, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -194,14 +195,14 @@ def _block_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent
     """
     left = (members.join(labels, "node", "left").join(sets.select("node", "n"), "node")
             .select("bucket", "node", "n", F.coalesce("component", "node").alias("label")))
-    open_ = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    open_ = stored(left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi"), "open")
     left = stored(left.join(open_.select("bucket"), "bucket"), "open-buckets")
     main = (left.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
             .groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("c"),
                                    F.sum("s").alias("s"), F.max("c").alias("main_c"))
             .withColumn("m_blocks", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("s") * 8 / BLOCK_BYTES)))
             .withColumn("q_blocks", F.ceil((F.col("c") - F.col("main_c")) * F.col("m_blocks") / F.col("c"))))
-    left = left.join(main, "bucket")
+    left = left.join(stored(main, "main-components"), "bucket")
     block = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     asked = left.where("label != main").select("bucket", "node", "label", block("q_blocks", 1).alias("q"), every("m_blocks").alias("m"), F.lit(True).alias("asks"))

@@ -106,8 +106,9 @@ def filter_urls(
         edges = stored((links[0].union(links[1]) if len(links) > 1 else links[0]).distinct(), "aliases")
         parts = stored(connected_components(edges, "source", "target"), "alias-components")
         verdict = rule_for(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
-        bad = parts.where(verdict == "block").select("component").distinct()
-        blocked = parts.join(bad, "component").select("node", F.lit(True).alias("alias_blocked"))
+        # stored, so that Spark can split the rows of a large component or of an address of very many pages
+        bad = stored(parts.where(verdict == "block").select("component").distinct(), "blocked-components")
+        blocked = stored(parts.join(bad, "component").select("node", F.lit(True).alias("alias_blocked")), "blocked")
     if blocked is not None:
         judged = judged.join(blocked, "node", "left")
     else:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certflow.llm.tasks import as_bytes
+from certflow.llm.tasks import as_bytes, stored
 
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\3\4", b"PK\1\2", b"PK\5\6", b"PK\6\6", b"PK\6\7"
 BIG = 0xFFFFFFFF
@@ -172,7 +172,7 @@ def planned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     Among payloads that are equal (by SHA-256) and hold least_bytes or more, the smallest
     page_id is the response that the others refer to. Copies are merged before the shuffle; the
-    smallest id is joined back with an ordinary join, which Spark splits for a payload of very many pages.
+    smallest ids are stored and joined back, so that Spark can split a payload of very many pages.
     A null html is an empty payload. A row without a page_id is a response of its own, and so is each
     of several rows with the smallest id.
     """
@@ -180,8 +180,9 @@ def planned(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     large = F.octet_length("html") >= least_bytes
     alone = F.concat_ws("-", F.lit("small"), "page_id", F.xxhash64("html"))
     source = source.withColumn("same", F.when(large, F.sha2("html", 256)).otherwise(alone))
-    first = source.where(large).groupBy("same").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 and first_id is not null")
-    return source.join(first.drop("n"), "same", "left").select(
+    first = stored(source.where(large).groupBy("same").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+                   .where("n > 1 and first_id is not null").drop("n"), "first-pages")
+    return source.join(first, "same", "left").select(
         "page_id", "url", F.col("html"),
         F.when(F.col("page_id") != F.col("first_id"), F.col("first_id")).alias("refers_to"))
 
