@@ -13,9 +13,12 @@ PROMPT_PARTS = [
     ("' datert ", "utstedelsesdato"),
     (". Hold deg til fakta og ikke gå ut over 500 ord. Byggeår er ", "byggear"),
     (" og bygningskategori er ", "bygningskategori"),
+    (". Attesten dekker ", "enheter"),
+    (" registrerte enheter. Energiattesten er innmeldt av ", "innmelder"),
     (". Innmeldt adresse ", "adresse"),
     (". Bruksareal ", "bruksareal"),
     (" kvadratmeter. Beregnet Levert Energi Totalt kWh/m2: ", "kwh_m2"),
+    (". Beregnet Levert Energi Totalt kWh: ", "kwh"),
     (". Beregnet Fossilandel er ", "fossilandel"),
 ]
 PROMPT_END = (

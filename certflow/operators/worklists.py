@@ -29,16 +29,16 @@ def top(rows: DataFrame, order: list[str | Column], n: int | None) -> DataFrame:
 
 
 def next_rows(rows: DataFrame, done: DataFrame, keys: list[str], n: int | None) -> DataFrame:
-    """The first n rows by key that are not done, for rows that carry long texts.
+    """The rows of the first n keys that are not done, for rows that carry long texts.
 
-    With a limit only the keys go through the anti join; the n keys picked then select
-    the whole rows, so texts that are not wanted never reach an exchange. The last cut
-    keeps the list at n rows where a key occurs more than once.
+    With a limit only the keys go through the anti join and the top n; the keys picked then
+    select the whole rows where they lie, so no text passes a single task. Repeated rows of a
+    picked key come together.
     """
     if n is None:
         return not_done(rows, done, keys)
     picked = top(not_done(rows.select(*keys), done, keys), keys, n).distinct()
-    return top(rows.join(picked, keys, "left_semi").select(*rows.columns), keys, n)
+    return rows.join(picked, keys, "left_semi").select(*rows.columns)
 
 
 def new_records(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:

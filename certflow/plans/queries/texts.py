@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from certflow.functions import text as X
 from certflow.functions.answers import (
     PLACEHOLDER, SECTIONS, fallback_sections, fill_and_cut, finished, parse_answer, section, strip_markdown,
 )
-from certflow.operators.prompts import PROMPT_END, PROMPT_PARTS, extract_facts, render_prompt
+from certflow.operators.prompts import extract_facts, render_prompt
 from certflow.operators.reports import compression
 from certflow.operators.worklists import not_done
 from certflow.operators.spread import spread
@@ -335,19 +336,34 @@ FACTS = {
     "utstedelsesdato": "cast(year(o_orderdate) AS string)",
     "byggear": "cast(1900 + c_custkey % 120 AS string)",
     "bygningskategori": "c_mktsegment",
+    "enheter": "cast(c_custkey % 5 + 1 AS string)",
+    "innmelder": "upper(c_mktsegment)",
     "adresse": "c_name",
     "bruksareal": "cast(c_custkey AS string)",
     "kwh_m2": "cast(o_totalprice AS string)",
+    "kwh": "cast(o_custkey * 7 AS string)",
     "fossilandel": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '27' END",
 }
 
 
+# The whole prompt once more, on its own, so that an error in the parts above shows.
+PROMPT = (
+    "Opptre som ekspert i et selskap som lever av å selge informasjon om eiendom og bygninger. Du skal oppsummere relevante "
+    "forhold knyttet til energimerke fra Enova med Energikarakter {energikarakter} og Oppvarmingskarakter {oppvarmingskarakter} for "
+    "boligen. Merkenummer er '{merkenummer}' datert {utstedelsesdato}. Hold deg til fakta og ikke gå ut over 500 ord. Byggeår er "
+    "{byggear} og bygningskategori er {bygningskategori}. Attesten dekker {enheter} registrerte enheter. Energiattesten er innmeldt "
+    "av {innmelder}. Innmeldt adresse {adresse}. Bruksareal {bruksareal} kvadratmeter. Beregnet Levert Energi Totalt kWh/m2: "
+    "{kwh_m2}. Beregnet Levert Energi Totalt kWh: {kwh}. Beregnet Fossilandel er {fossilandel}%. {text}\n\nSvaret skal være på dette "
+    "formatet: \nEiendom: Litt om eiendommen \nPositive ting: Hva er bra i forhold til Energiattesten \nKort vurdering: Spesielle "
+    "forhold som bør trekkes frem av en eller annen art."
+)
+
+
 def _prompt_sql() -> str:
-    parts = []
-    for lead, name in PROMPT_PARTS:
-        parts += ["'" + lead.replace("'", "''") + "'", f"coalesce({FACTS[name]}, 'ukjent')"]
-    before, after = PROMPT_END.split("{text}")
-    return " || ".join([*parts, f"'{before}'", "o_orderpriority", f"'{after}'"])
+    values = {**FACTS, "text": "o_orderpriority"}
+    pieces = re.split(r"\{(\w+)\}", PROMPT)
+    return " || ".join(
+        f"coalesce({values[p]}, 'ukjent')" if k % 2 else "'" + p.replace("'", "''") + "'" for k, p in enumerate(pieces))
 
 
 PROMPT_SQL = f"SELECT o_orderkey, {_prompt_sql()} AS prompt FROM orders JOIN customer ON o_custkey = c_custkey"
