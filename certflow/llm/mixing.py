@@ -188,7 +188,8 @@ def mix(
         slots = drawn_slots(spark, quotas, shard_blocks, seed)
     else:
         slots = spark.createDataFrame([], "shard long, slot long, source_index long, block long")
-    return targets, slots.join(pieces, ["source_index", "block"])
+    # Spark takes the slots for as few as the shards that they come from and would send them to all executors
+    return targets, slots.hint("merge").join(pieces, ["source_index", "block"])
 
 
 def taken_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **settings: int) -> DataFrame:
