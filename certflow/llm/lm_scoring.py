@@ -14,8 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from certflow.llm.near_dedup import WordHashes, mixed
 from certflow.llm.tasks import as_bytes, groups, stored
 
-BATCH_BYTES = 8 << 20
-PART_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+PART_BYTES = 8 << 20
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -31,19 +31,19 @@ class Grams:
     """The n-grams of a batch of documents: ranks of each position, and hashes and counts of each rank."""
 
     def __init__(self, tokens: np.ndarray, sizes: np.ndarray, vocabulary: np.ndarray, order: int):
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.ranks: list[np.ndarray] = []  # by n: rank of the n-gram that ends at each position, -1 at a document's start
         self.hashes: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         for n in range(1, order + 1):
-            ranks = np.full(len(tokens), -1, np.int64)
-            at = np.flatnonzero(self.place >= n - 1)
+            ranks = np.full(len(tokens), -1, np.int32)
+            at = np.flatnonzero(place >= n - 1)
             if n == 1:
                 used, inverse, count = np.unique(tokens, return_inverse=True, return_counts=True)
                 hashes = mixed(vocabulary[used])
             else:
-                codes = self.ranks[-1][at - 1] * len(vocabulary) + tokens[at]
+                codes = self.ranks[-1][at - 1].astype(np.int64) * len(vocabulary) + tokens[at]
                 used, inverse, count = np.unique(codes, return_inverse=True, return_counts=True)
                 hashes = mixed(self.hashes[-1][used // len(vocabulary)] * np.uint64(0x9E3779B97F4A7C15) + vocabulary[used % len(vocabulary)] + np.uint64(n))
             ranks[at] = inverse
@@ -52,20 +52,20 @@ class Grams:
             self.counts.append(count)
 
     def by_part(self, n: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks of the n-grams by part of their hash and hash, and where each part begins."""
-        part = (self.hashes[n - 1] % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((self.hashes[n - 1], part))
-        return order, np.searchsorted(part[order], np.arange(parts + 1))
+        """Ranks of the n-grams by hash, and where each part begins: parts are equal ranges of the hash."""
+        order = np.argsort(self.hashes[n - 1])
+        part = (self.hashes[n - 1][order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        return order, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
     def own(self, n: int) -> np.ndarray:
         """Times that each position's n-gram occurs in its own document."""
         ranks = self.ranks[n - 1]
-        _, inverse, count = np.unique(self.doc * (len(self.counts[n - 1]) + 1) + ranks, return_inverse=True, return_counts=True)
+        _, inverse, count = np.unique(self.doc.astype(np.int64) * (len(self.counts[n - 1]) + 1) + ranks, return_inverse=True, return_counts=True)
         return count[inverse]
 
 
 def _grams(row: dict, order: int) -> Grams:
-    return Grams(np.frombuffer(row["tokens"], np.int32).astype(np.int64), np.frombuffer(row["sizes"], np.int64),
+    return Grams(from_planes(row["tokens"]).astype(np.int32), np.frombuffer(row["sizes"], np.int64),
                  np.frombuffer(row["vocabulary"], np.uint64), order)
 
 
@@ -102,11 +102,11 @@ def score_documents(
 
     Counts come from all documents; a document's own words are taken off before it is scored (see scores).
 
-    Documents are packed in batches of about batch_bytes of text. A batch explodes into its
+    Documents are packed in batches of about batch_bytes of text (a longer text is one by itself). A batch explodes into its
     distinct n-grams, which are joined to the count table by parts of their hash: one row for each batch
     and part holds the hashes of that part, sorted, with the batch's counts. A part adds up the
-    counts of each hash over all batches and answers each batch; the batch sums the logarithms
-    by document. A frequent n-gram is one entry of a batch, so no part is heavy, and parts and
+    counts of each hash over all batches and answers each batch with those of the other
+    batches; the batch sums the logarithms by document. A frequent n-gram is one entry of a batch, so no part is heavy, and parts and
     batches keep their size as the input grows: only their numbers do.
 
     Null and empty texts have 0 words and null scores. Rows are kept one for one, also repeated
@@ -127,7 +127,7 @@ def score_documents(
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | number], pa.int64()), pa.array([ids], pa.list_(arrow_kind)),
                 pa.array([np.fromiter(map(len, split), np.int64, len(split)).tobytes()], pa.binary()),
-                pa.array([tokens.tobytes()], pa.binary()),
+                pa.array([planes(tokens)], pa.binary()),
                 pa.array([np.fromiter(map(hashes.__getitem__, local), np.uint64, len(local)).tobytes()], pa.binary()),
                 pa.array([len(tokens)], pa.int64())], ["batch", "ids", "sizes", "tokens", "vocabulary", "n"])
 
@@ -142,7 +142,7 @@ def score_documents(
         if ids:
             yield packed()
 
-    packs = stored(source.mapInArrow(pack, f"batch long, ids array<{kind}>, sizes binary, tokens binary, vocabulary binary, n long"), "packs")
+    packs = stored(source.mapInArrow(pack, f"batch long, ids array<{kind}>, sizes binary, tokens binary, vocabulary binary, n long"), "packs", "zstd")
     total = packs.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total * 8 * order // part_bytes))
 
@@ -165,17 +165,16 @@ def score_documents(
             hashes = [np.cumsum(from_planes(r["hashes"]), dtype=np.uint64) for r in rows]
             _, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
             counts = np.concatenate([from_planes(r["counts"]) for r in rows]).astype(np.int64)
-            sums = np.zeros(inverse.max() + 1, np.int64)
-            np.add.at(sums, inverse, counts)
+            others = np.bincount(inverse, counts).astype(np.int64)[inverse] - counts  # exact below 2 ** 53
             ends = np.cumsum([len(h) for h in hashes])
             for r, h, end in zip(rows, hashes, ends):
-                yield pa.RecordBatch.from_pylist([{"batch": r["batch"], "n": r["n"], "part": r["part"], "totals": planes(sums[inverse[end - len(h):end]])}], _ANSWERED)
+                yield pa.RecordBatch.from_pylist([{"batch": r["batch"], "n": r["n"], "part": r["part"], "others": planes(others[end - len(h):end])}], _ANSWERED)
 
     asked = packs.select("batch", "sizes", "tokens", "vocabulary").mapInArrow(explode, "part long, batch long, n int, hashes binary, counts binary")
-    answers = asked.repartition("part").sortWithinPartitions("part").mapInArrow(count, "batch long, n int, part long, totals binary")
+    answers = asked.repartition("part").sortWithinPartitions("part").mapInArrow(count, "batch long, n int, part long, others binary")
     none = F.lit(None)
-    both = packs.select("batch", F.lit(0).alias("n"), F.lit(-1).cast("long").alias("part"), none.cast("binary").alias("totals"), "ids", "sizes", "tokens", "vocabulary").union(
-        answers.select("batch", "n", "part", "totals", none.cast(f"array<{kind}>"), none.cast("binary"), none.cast("binary"), none.cast("binary")))
+    both = packs.select("batch", F.lit(0).alias("n"), F.lit(-1).cast("long").alias("part"), none.cast("binary").alias("others"), "ids", "sizes", "tokens", "vocabulary").union(
+        answers.select("batch", "n", "part", "others", none.cast(f"array<{kind}>"), none.cast("binary"), none.cast("binary"), none.cast("binary")))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, "batch"):
@@ -184,9 +183,10 @@ def score_documents(
             totals = []
             for n in range(1, order + 1):
                 by_part, _ = grams.by_part(n, parts)
-                found = [from_planes(r["totals"]) for r in rest if r["n"] == n]
-                sums = np.empty(len(by_part), np.int64)
-                sums[by_part] = np.concatenate(found).astype(np.int64) if found else 0
+                found = [from_planes(r["others"]) for r in rest if r["n"] == n]
+                sums = grams.counts[n - 1].astype(np.int64)
+                if found:
+                    sums[by_part] += np.concatenate(found).astype(np.int64)
                 totals.append(sums)
             sizes = np.frombuffer(first["sizes"], np.int64)
             logs = scores(grams, totals, len(sizes), total, backoff)
@@ -199,4 +199,4 @@ def score_documents(
 
 
 _ASKED = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("n", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
-_ANSWERED = pa.schema([("batch", pa.int64()), ("n", pa.int32()), ("part", pa.int64()), ("totals", pa.binary())])
+_ANSWERED = pa.schema([("batch", pa.int64()), ("n", pa.int32()), ("part", pa.int64()), ("others", pa.binary())])

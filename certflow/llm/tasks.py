@@ -13,10 +13,10 @@ from certflow.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write `df` as a table in the shared folder and read it back; this cuts its lineage."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,7 +36,8 @@ def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
     """Rows of neighbouring equal `key`, gathered over batch borders; the input is sorted by it."""
     held: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]  # one at a time: rows may be large
             if held and row[key] != held[0][key]:
                 yield held
                 held = []
