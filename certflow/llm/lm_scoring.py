@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from certflow.llm.near_dedup import WordHashes, mixed
 from certflow.llm.tasks import as_bytes, groups, stored
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 6 << 20
 PART_BYTES = 8 << 20
 
 
@@ -107,7 +107,7 @@ def score_documents(
     and part holds the hashes of that part, sorted, with the batch's counts. A part adds up the
     counts of each hash over all batches and answers each batch with those of the other
     batches; the batch sums the logarithms by document. A frequent n-gram is one entry of a batch, so no part is heavy, and parts and
-    batches keep their size as the input grows: only their numbers do.
+    batches keep their size as the input grows: only their numbers do, and with them the tasks.
 
     Null and empty texts have 0 words and null scores. Rows are kept one for one, also repeated
     ones, which count as documents of their own; extra columns are ignored.
@@ -143,7 +143,7 @@ def score_documents(
             yield packed()
 
     packs = stored(source.mapInArrow(pack, f"batch long, ids array<{kind}>, sizes binary, tokens binary, vocabulary binary, n long"), "packs", "zstd")
-    total = packs.agg(F.sum("n")).first()[0] or 0
+    n_packs, total = packs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     parts = max(1, -(-total * 8 * order // part_bytes))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def score_documents(
                 yield pa.RecordBatch.from_pylist([{"batch": r["batch"], "n": r["n"], "part": r["part"], "others": planes(others[end - len(h):end])}], _ANSWERED)
 
     asked = packs.select("batch", "sizes", "tokens", "vocabulary").mapInArrow(explode, "part long, batch long, n int, hashes binary, counts binary")
-    answers = asked.repartition("part").sortWithinPartitions("part").mapInArrow(count, "batch long, n int, part long, others binary")
+    answers = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, "batch long, n int, part long, others binary")
     none = F.lit(None)
     both = packs.select("batch", F.lit(0).alias("n"), F.lit(-1).cast("long").alias("part"), none.cast("binary").alias("others"), "ids", "sizes", "tokens", "vocabulary").union(
         answers.select("batch", "n", "part", "others", none.cast(f"array<{kind}>"), none.cast("binary"), none.cast("binary"), none.cast("binary")))
@@ -193,7 +193,7 @@ def score_documents(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(first["ids"], arrow_kind), pa.array(sizes), pa.array(logs, mask=sizes == 0)], ["doc_id", "n_words", "log_score"])
 
-    scored = both.repartition("batch").sortWithinPartitions("batch", "n", "part").mapInArrow(
+    scored = both.repartition(max(1, n_packs), "batch").sortWithinPartitions("batch", "n", "part").mapInArrow(
         finish, f"doc_id {kind}, n_words long, log_score double")
     return scored.withColumn("mean_log_score", F.col("log_score") / F.nullif(F.col("n_words"), F.lit(0)))
 
