@@ -15,6 +15,25 @@ def test_lines(line, rule):
     assert line_failure(line, len(line.split()), 3, 1) == rule
 
 
+FRENCH = "« Oui », dit-il. « Non », dit-elle. « Peut-être », dit l'autre, et « jamais » fut le mot de la fin."
+
+
+@pytest.mark.parametrize(("line", "rule"), [
+    (FRENCH, None), (" ".join([FRENCH] * 40), None), ("»Ja«, sagte er. »Nein«, sagte sie. »Doch«, riefen alle.", None),
+    ("«Sí», dijo ‹él›. «No», dijo ‹ella›.", None), ("The <b>bold</b> and the <i>slanted</i> words of this text all stand in one line.", None),
+    ("These ten words of prose stand around one | bar only. " * 9, None),
+    ("Home » News » Sports » Results.", "navigation"), ("Home > News > Sports > Results.", "navigation"),
+    ("one › two › three › four.", "navigation"), ("home | about us | all of the latest news. " * 30, "navigation"),
+])
+def test_quotations_and_long_lines_are_no_menus(line, rule):
+    assert line_failure(line, len(line.split()), 3, 1) == rule
+
+
+def test_quoted_prose_in_one_line_stays_whole():
+    text = "« Oui », dit-il en riant. « Non », dit-elle sans le regarder une seule fois."
+    assert measure(text, 40, 3, 1)[-3:] == (0, True, text)
+
+
 def brute(words):
     windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
     return len({i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)})
