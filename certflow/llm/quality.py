@@ -14,9 +14,10 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SEPARATOR_PERCENT = 10
+BOILERPLATE_PERCENT = 10
 
 # Fixed rules on a line without white space at its ends. The SQL twin uses these patterns; for NAVIGATION it counts
-# every mark against a fixed number, which gives the same rows on sf0.001, sf0.01 and sf0.1.
+# every mark against a fixed number, and for BOILERPLATE any hit, which gives the same rows on sf0.001, sf0.01 and sf0.1.
 LINE_END = r"[.!?…:;\"'”’»)\]。！？]$"
 SENTENCE = r"[.!?…] "
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
@@ -27,8 +28,9 @@ BOILERPLATE = (
 )
 # » › and > are also closing marks: they part a menu only between spaces and with no opening mark before them.
 SEPARATOR = r"[|•]|(?<= )[»›>](?= )"
-_line_end, _sentence, _punctuation, _separator, _boilerplate = map(
-    re.compile, (LINE_END, SENTENCE, PUNCTUATION, SEPARATOR, BOILERPLATE))
+PHRASE = rf"\b(?:un)?(?:{BOILERPLATE})s?\b"
+_line_end, _sentence, _punctuation, _separator, _phrase = map(
+    re.compile, (LINE_END, SENTENCE, PUNCTUATION, SEPARATOR, PHRASE))
 _lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
@@ -53,7 +55,8 @@ def line_failure(line: str, n_words: int, max_marks: int, max_separators: int) -
         return "punctuation"
     if separators(line) > max(max_separators, n_words * SEPARATOR_PERCENT // 100):
         return "navigation"
-    if _boilerplate.search(line.translate(_lower)):
+    phrase_words = sum(m[0].count(" ") + 1 for m in _phrase.finditer(line.translate(_lower)))
+    if phrase_words and 100 * phrase_words >= BOILERPLATE_PERCENT * n_words:
         return "boilerplate"
     return None
 
@@ -121,8 +124,8 @@ def judge_quality(
     A line with words fails if it neither ends in a punctuation mark that closes a sentence or
     quotation nor holds the end of a sentence, or if it holds more ASCII punctuation than words
     (and than max_marks); if it holds more
-    than max_separators menu separators, and more than one for ten words; or if it holds a boilerplate
-    phrase. Marks that close a quotation are no separators. Failed lines are left out of clean_text.
+    than max_separators menu separators, and more than one for ten words; or if boilerplate
+    phrases (whole words) make up a tenth of its words or more. Marks that close a quotation are no separators. Failed lines are left out of clean_text.
     A document is kept unless base_failed (fewer than 10 words, or over
     20 % of them in repeated five-word windows) or unless its failed lines hold over
     max_loss % of the code points of its words.

@@ -34,6 +34,23 @@ def test_quoted_prose_in_one_line_stays_whole():
     assert measure(text, 40, 3, 1)[-3:] == (0, True, text)
 
 
+@pytest.mark.parametrize(("line", "rule"), [
+    ("She found a flaw of design in it.", None), ("The catalog in the hall is old.", None), ("He wrote his blog in May.", None),
+    ("Bake the cookie until its edges are brown, and let it cool on a rack.", None),
+    ("A long line of plain words in which nothing at all is wrong. " * 50 + "Then she had to log in.", None),
+    ("Sign in or log in.", "boilerplate"), ("We use cookies. Read our privacy policy.", "boilerplate"),
+    ("Click here to unsubscribe from this list.", "boilerplate"), ("© 2020 Some Firm. All rights reserved.", "boilerplate"),
+    ("Read more. Click here. Powered by us. " * 50, "boilerplate"),
+])
+def test_boilerplate_is_a_share_of_whole_words(line, rule):
+    assert line_failure(line, len(line.split()), 3, 1) == rule
+
+
+def test_long_clean_line_with_one_phrase_stays_whole():
+    text = " ".join(f"word{k}" for k in range(500)) + " is what the privacy policy of a shop once said."
+    assert measure(text, 40, 3, 1)[-3:] == (0, True, text)
+
+
 def brute(words):
     windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
     return len({i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)})
