@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -229,7 +230,7 @@ def write_archives(records: DataFrame, path: str, *, zip64: bool = False) -> Non
 # ---- reading
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """path, name, offset and size of each member of the ZIP files below `path`; packed members are an error when read."""
+    """path, name, offset and size of each member of the ZIP files below `path`; packed archives and indexes are an error when read."""
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,37 +245,132 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
 
 
 _MEMBERS = pa.schema([("path", pa.string()), ("name", pa.string()), ("offset", pa.int64()), ("size", pa.int64()), ("stored", pa.bool_())])
-_RANGES = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
+_RANGES = pa.schema([("path", pa.string()), ("member", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())])
+_RANGE_TYPES = "path string, member long, offset long, size long"
 
 
 def record_ranges(members: DataFrame) -> DataFrame:
-    """path, offset in the file, and size of runs of records, from stored archive members and their stored indexes.
+    """path, offset in the file, and size of runs of records of every archive member.
 
     Indexes are read in ranges of RUN_BYTES, each by the task that its first byte falls to; a
-    range owns the lines that begin in it. Neighbouring records make runs of up to RUN_BYTES.
+    range owns the lines that begin in it. A line belongs to the archive that it names; a line without a name to
+    the archive that is called like its index, or to a ZIP's only one. Neighbouring records make runs of up to
+    RUN_BYTES. An archive whose index lines don't tile it, each byte once, is walked from record to record by one task
+    instead, so no record hangs on an index. Packed members, and ZIP files without an archive member, are an error.
     """
-    both = (members.where("stored").groupBy("path").agg(
-        F.max(F.when(F.col("name").startswith("archive/"), F.col("offset"))).alias("archive"),
-        F.max(F.when(F.col("name").startswith("indexes/"), F.struct("offset", "size"))).alias("index")))
-    parts = both.where("archive is not null and index is not null and index.size > 0").select(
-        "path", "archive", F.col("index.offset").alias("index_at"), F.col("index.size").alias("index_size"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.expr("index.size - 1"), F.lit(RUN_BYTES).cast("long"))).alias("from"))
+    is_archive = F.col("name").startswith("archive/") & ~F.col("name").endswith("/")
+    is_index = F.col("name").startswith("indexes/") & ~F.col("name").endswith("/")
+    found = members.groupBy("path").agg(
+        F.collect_list(F.when(is_archive, F.struct("name", "offset", "size"))).alias("archives"),
+        F.collect_list(F.when(is_index, F.struct("name", "offset", "size"))).alias("indexes"),
+        F.min(F.when((is_archive | is_index) & ~F.col("stored"), F.col("name"))).alias("packed"))
+    packages = stored(found.where(
+        F.assert_true(F.col("packed").isNull(), F.concat(F.lit("packed member "), "packed", F.lit(" in "), "path")).isNull()
+        & F.assert_true(F.size("archives") > 0, F.concat(F.lit("no archive member in "), "path")).isNull()), "packages")
+    parts = packages.select("path", "archives", F.explode("indexes").alias("index")).where("index.size > 0").select(
+        "path", "archives", "index", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("index.size - 1"), F.lit(RUN_BYTES).cast("long"))).alias("from"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, archive, at, size, first in zip(*(c.to_pylist() for c in batch.columns)):
-                out: list[dict] = []
+            for file, archives, index, first in zip(*(c.to_pylist() for c in batch.columns)):
+                owner = _owners(archives, index["name"])
                 with Ranges(file) as read:
-                    for line in _lines(read, at, size, first, RUN_BYTES):
-                        _, offset, length = line.rsplit(b" ", 2)
-                        offset, length = archive + int(offset), int(length)
-                        if out and out[-1]["offset"] + out[-1]["size"] == offset and out[-1]["size"] + length <= RUN_BYTES:
-                            out[-1]["size"] += length
-                        else:
-                            out.append({"path": file, "offset": offset, "size": length})
-                yield pa.RecordBatch.from_pylist(out, _RANGES)
+                    lines = _lines(read, index["offset"], index["size"], first, RUN_BYTES)
+                    entries = filter(None, map(index_entry, lines))
+                    placed = ((owner[name], offset, size) for name, offset, size in entries if name in owner)
+                    yield _runs(file, ((at, at + offset, size) for at, offset, size in placed))
+
+    indexed = stored(parts.mapInArrow(runs, _RANGE_TYPES), "indexed-runs")
+    # runs tile a member exactly if all borders between them cancel out
+    border = lambda c: F.xxhash64(c).cast("decimal(38,0)")
+    tiles = indexed.groupBy("path", "member").agg(F.sum(border(F.col("offset")) - border(F.col("offset") + F.col("size"))).alias("borders"))
+    archives = stored(
+        packages.select("path", F.explode("archives").alias("a")).select("path", F.col("a.offset").alias("member"), F.col("a.size").alias("bytes"))
+        .where("bytes > 0").join(tiles, ["path", "member"], "left")
+        .withColumn("tiled", F.coalesce(F.col("borders") == border(F.col("member")) - border(F.col("member") + F.col("bytes")), F.lit(False))), "archives")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, at, size in zip(*(c.to_pylist() for c in batch.columns)):
+                with Ranges(file) as read:
+                    yield _runs(file, ((at, at + offset, n) for offset, n in walked(lambda k, n: read(at + k, n), size)))
 
-    return parts.mapInArrow(runs, "path string, offset long, size long")
+    alone = archives.where("not tiled").select("path", "member", "bytes").repartition("path", "member").mapInArrow(walk, _RANGE_TYPES)
+    covered = indexed.join(archives.where("tiled").select("path", "member"), ["path", "member"], "left_semi")
+    return covered.select("path", "offset", "size").union(alone.select("path", "offset", "size"))
+
+
+def _runs(file: str, records: Iterator[tuple[int, int, int]]) -> pa.RecordBatch:
+    """Runs of neighbouring records (member, offset, size)."""
+    out: list[dict] = []
+    for member, offset, size in records:
+        last = out[-1] if out else None
+        if last and last["member"] == member and last["offset"] + last["size"] == offset and last["size"] + size <= RUN_BYTES:
+            last["size"] += size
+        else:
+            out.append({"path": file, "member": member, "offset": offset, "size": size})
+    return pa.RecordBatch.from_pylist(out, _RANGES)
+
+
+def _owners(archives: list[dict], index: str) -> dict[str | None, int]:
+    """Offset of an archive's data by each name that an index line can give it; None stands for lines without a name."""
+    stem = lambda name: name.rsplit("/", 1)[-1].split(".warc")[0].split(".cdx")[0]
+    short = [a["name"].rsplit("/", 1)[-1] for a in archives]
+    out: dict = {n: a["offset"] for n, a in zip(short, archives) if short.count(n) == 1}
+    out |= {a["name"].removeprefix("archive/"): a["offset"] for a in archives} | {a["name"]: a["offset"] for a in archives}
+    alike = archives if len(archives) == 1 else [a for a in archives if stem(a["name"]) == stem(index)]
+    return out | {None: alike[0]["offset"]} if len(alike) == 1 else out
+
+
+def index_entry(line: bytes) -> tuple[str | None, int, int] | None:
+    """Archive name, offset and length of an index line: ours, CDX or CDXJ; None for other lines."""
+    try:
+        if line.rstrip().endswith(b"}"):
+            fields = json.loads(line[line.index(b"{"):])
+            name, offset, size = fields.get("filename"), int(fields["offset"]), int(fields["length"])
+        else:
+            words = line.decode("utf-8", "surrogatepass").rstrip("\r").split(" ")
+            if words[-1].isdigit():
+                name, offset, size = None, int(words[-2]), int(words[-1])
+            else:
+                name, offset, size = words[-1], int(words[-2]), int(words[-3])
+    except (ValueError, KeyError, IndexError, TypeError):
+        return None
+    return (name, offset, size) if offset >= 0 and size > 0 else None
+
+
+def walked(read, size: int, step: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Offset and size of each record of a member; `read(offset, size)` is relative to the member."""
+    at = 0
+    while at < size:
+        data = read(at, min(65_536, size - at))
+        if data[:2] == b"\x1f\x8b":
+            one, end = zlib.decompressobj(wbits=31), at
+            while not one.eof:
+                if end >= size:
+                    raise ValueError("a record ends before its content does")
+                piece = read(end, min(step, size - end))
+                end += len(piece)
+                while piece and not one.eof:
+                    one.decompress(piece, step)
+                    piece = one.unconsumed_tail
+            end -= len(one.unused_data)
+        else:
+            if data[:5] != b"WARC/":
+                raise ValueError("no record begins where one should")
+            while (head := data.find(b"\r\n\r\n")) < 0 and at + len(data) < size:
+                data += read(at + len(data), min(len(data), size - at - len(data)))
+            if head < 0:
+                raise ValueError("a record ends before its head does")
+            end = at + head + 4 + _content_length(data[:head]) + 4
+            if end > size:
+                raise ValueError("a record ends before its content does")
+        yield at, end - at
+        at = end
+
+
+def _content_length(head: bytes) -> int:
+    return next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.startswith(b"Content-Length:"))
 
 
 def _lines(read, at: int, size: int, first: int, step: int) -> Iterator[bytes]:
@@ -297,7 +393,8 @@ def read_records(spark: SparkSession, path: str, id_type: str = "long") -> DataF
     Files are listed and their directories parsed in tasks; runs of records are dealt over all
     tasks and read by ranges; nothing is unpacked. Digests and lengths of responses are
     computed from the payload and compared with the record's head. A record that is a gzip member of its own is
-    inflated alone.
+    inflated alone. Every archive member is read, with or without an index; records about the crawl (warcinfo,
+    request, metadata) give no row.
     """
     ranges = record_ranges(archive_members(spark, path)).repartition("path", "offset")
 
@@ -305,7 +402,7 @@ def read_records(spark: SparkSession, path: str, id_type: str = "long") -> DataF
         for batch in batches:
             for file, offset, size in zip(*(c.to_pylist() for c in batch.columns)):
                 with Ranges(file) as read:
-                    rows = [parsed(x) for x in split_records(read(offset, size))]
+                    rows = [parsed(x) for x in split_records(read(offset, size)) if holds_page(x)]
                 yield pa.RecordBatch.from_pylist(rows, _RECORDS)
 
     found = ranges.mapInArrow(read_all, _RECORD_TYPES)
@@ -317,17 +414,22 @@ def split_records(data: bytes) -> Iterator[bytes]:
     if data[:2] == b"\x1f\x8b":
         while data:
             one = zlib.decompressobj(wbits=31)
-            yield one.decompress(data) + one.flush()
+            yield from split_records(one.decompress(data) + one.flush())
             data = one.unused_data
         return
     at = 0
     while at < len(data):
         head = data.index(b"\r\n\r\n", at)
-        length = next(int(x.split(b":")[1]) for x in data[at:head].split(b"\r\n") if x.startswith(b"Content-Length:"))
-        end = head + 4 + length + 4
+        end = head + 4 + _content_length(data[at:head]) + 4
         yield data[at:end]
         at = end
 
 
+def holds_page(data: bytes) -> bool:
+    """False for records about the crawl, which have no page."""
+    head = data[:data.index(b"\r\n\r\n")].split(b"\r\n")
+    return not any(x in (b"WARC-Type: warcinfo", b"WARC-Type: request", b"WARC-Type: metadata") for x in head)
+
+
 _RECORD_TYPES = "page_id string, url string, record_type string, refers_to string, payload binary, payload_bytes long, payload_digest string"
 _RECORDS = pa.schema([(n, {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[k]) for n, k in (x.split() for x in _RECORD_TYPES.split(", "))])

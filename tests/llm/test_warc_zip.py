@@ -74,6 +74,59 @@ def test_gzip_records_are_split():
     assert list(split_records(b"".join(map(gzip.compress, records)))) == records == list(split_records(b"".join(records)))
 
 
+def warc(ids, pack=bytes):
+    """Member and (offset, length) of its records, a warcinfo record first."""
+    made = [b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: 3\r\n\r\na:b\r\n\r\n"]
+    made += [record(k, f"http://{k}/", b"p" * k, k, warc_zip._digest(b"p" * k), None) for k in ids]
+    made = [pack(x) for x in made]
+    return b"".join(made), [(sum(map(len, made[:k])), len(x)) for k, x in enumerate(made)]
+
+
+def zipped(folder, members, method=zipfile.ZIP_STORED, file="one.zip"):
+    with zipfile.ZipFile(folder / file, "w", method) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return f"file://{folder}"
+
+
+(A, AT_A), (B, AT_B), (C, AT_C) = warc([1, 2]), warc([3, 4, 5]), warc([6, 7], gzip.compress)
+plain = lambda at: b"".join(b"x %d %d\n" % x for x in at)
+named = lambda name, at: b"".join(b'k 2025 {"filename": "%s", "offset": "%d", "length": "%d"}\n' % (name, *x) for x in at)
+cdx = lambda name, at: b"".join(b"k 2025 u text/html 200 D - - %d %d %s\n" % (n, x, name) for x, n in at)
+
+
+@pytest.mark.parametrize("indexes", [
+    {}, {"indexes/a.cdx": plain(AT_A), "indexes/b.cdx": plain(AT_B), "indexes/c.cdx": plain(AT_C)},
+    {"indexes/index.cdxj": named(b"b.warc", AT_B) + named(b"a.warc", AT_A) + named(b"c.warc.gz", AT_C)},
+    {"indexes/index.cdx": b" CDX N b a m s k r M S V g\n" + cdx(b"archive/c.warc.gz", AT_C) + cdx(b"a.warc", AT_A)},
+    {"indexes/index.cdx": plain(AT_A)}, {"indexes/a.cdx": plain(AT_A), "indexes/again.cdxj": named(b"a.warc", AT_A)},
+    {"indexes/b.cdx": plain([AT_B[0], AT_B[1], AT_B[1], AT_B[3]])}, {"indexes/index.cdx.gz": gzip.compress(plain(AT_A))},
+], ids=["none", "each", "cdxj", "cdx", "nameless", "twice", "line-lost", "packed-inside"])
+def test_every_archive_of_a_package_is_read(spark, tmp_path, indexes):
+    folder = zipped(tmp_path, {"archive/a.warc": A, "archive/b.warc": B, "archive/c.warc.gz": C, **indexes})
+    rows = read_records(spark, folder).select("page_id", "payload_bytes").collect()
+    assert sorted(map(tuple, rows)) == [(k, k) for k in range(1, 8)]
+
+
+def test_named_indexes_are_used(spark, tmp_path):
+    folder = zipped(tmp_path, {"archive/a.warc": A, "archive/b.warc": B, "indexes/i.cdxj": named(b"a.warc", AT_A) + named(b"b.warc", AT_B)})
+    ranges = warc_zip.record_ranges(archive_members(spark, folder)).collect()
+    assert sum(r["size"] for r in ranges) == len(A) + len(B)
+    assert warc_zip.index_entry(b"com,a)/ 2025 u text/html 200 D - - 7 9 a.warc.gz") == ("a.warc.gz", 9, 7)
+    assert warc_zip.index_entry(b" CDX N b a m s k r M S V g") is None
+
+
+def test_packed_members_and_packages_without_archive_are_errors(spark, tmp_path):
+    for k, (members, method, says) in enumerate([
+            ({"archive/a.warc": A, "indexes/a.cdx": plain(AT_A)}, zipfile.ZIP_DEFLATED, "packed member"),
+            ({"pages.txt": b"x"}, zipfile.ZIP_STORED, "no archive member"),
+            ({"archive/a.warc": b"x" * 50}, zipfile.ZIP_STORED, "no record begins")]):
+        (tmp_path / str(k)).mkdir()
+        folder = zipped(tmp_path / str(k), members, method)
+        with pytest.raises(Exception, match=says):
+            read_records(spark, folder).collect()
+
+
 def test_damage_is_seen():
     one = record(1, "u", b"abc", 3, warc_zip._digest(b"abc"), None)
     with pytest.raises(ValueError, match="damaged"):
