@@ -24,13 +24,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id; shingles of five words, similarity 0.8.
+    """One row of each group stays, that with the smallest doc_id (nulls last); shingles of five words, similarity 0.8.
 
-    Of repeated rows of it one stays. Rows without a doc_id stay: no decision can name them.
+    Rows are told apart by a stored key of their own, so repeated and null ids decide nothing for other rows.
     """
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    keyed = stored(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed-rows")
+    grouped = near_dedup.near_duplicates(keyed, "row_key").select(F.col("doc_id").alias("row_key"), "component_id")
+    ranks = keyed.select("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "row_key").alias("rank"))
+    kept = stored(grouped.join(ranks, "row_key").groupBy("component_id").agg(F.min("rank").alias("rank")).select("rank.row_key"), "kept-rows")
+    return keyed.join(kept, "row_key", "left_semi").select(docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

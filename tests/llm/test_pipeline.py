@@ -47,6 +47,17 @@ def test_run(spark, tmp_path):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, made["tokens"].collect()))
 
 
+def test_repeated_and_null_ids_keep_one_row_of_each_group(spark):
+    one, two, three, four = map(sentences, range(4))
+    rows = [(1, one, "aa", "s", 0), (5, one, "aa", "s", 0), (5, two, "aa", "s", 0), (5, three, "aa", "s", 0), (5, three, "aa", "s", 0),
+            (None, three, "aa", "s", 0), (None, four, "aa", "s", 0), (None, four, "aa", "s", 0), (None, four + " Added.", "aa", "s", 0)]
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        made = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+        found = [(r["doc_id"], r["text"].removesuffix(" Added.")) for r in made.collect()]
+        assert sorted(found, key=repr) == sorted([(1, one), (5, two), (5, three), (None, four)], key=repr)
+
+
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
 def test_empty_tables(spark, stage):
     assert stage[1](spark, spark.createDataFrame([], SCHEMA), "").collect() == []
