@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 
@@ -55,5 +57,17 @@ def test_recall_at_production_settings(spark):
     assert there > 1000 and 0.97 * there <= found <= there
 
 
+@pytest.mark.parametrize("cosine", [0.90, 0.92])
+def test_planted_pairs_share_a_table(cosine):
+    default = {k: v.default for k, v in inspect.signature(near_vectors).parameters.items()}
+    rng = np.random.default_rng(int(cosine * 100))
+    a, b = rng.standard_normal((2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    project = embeddings.Projections(64, *(default[k] for k in ("tables", "hashes", "width", "seed")))
+    assert (~(project(a) == project(b)).any(1)).sum() <= 3
+
+
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
