@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from certflow.llm import bpe, embeddings, language_id, lm_scoring, mixing, preference, url_filter, warc_zip
 from certflow.llm.near_dedup import near_duplicates
 from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, SENTENCE, judge_quality
+from certflow.llm.whitening import whiten
 from certflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -276,3 +277,8 @@ SELECT x.p AS pair_id, CAST(x.n AS BIGINT) AS n_prompt_turns, prompt, coalesce(c
   coalesce(c.trained, false) AND coalesce(r.trained, false) AS is_pair
 FROM prompts x LEFT JOIN completions c ON c.p = x.p AND c.good LEFT JOIN completions r ON r.p = x.p AND NOT r.good
 """
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
