@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certflow.llm import bpe, embeddings, language_id, lm_scoring, mixing, preference, url_filter, warc_zip
+from certflow.llm.collocations import collocations
+from certflow.llm.fingerprints import edited_likeness
 from certflow.llm.near_dedup import near_duplicates
 from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, SENTENCE, judge_quality
 from certflow.llm.whitening import whiten
@@ -279,6 +281,45 @@ FROM prompts x LEFT JOIN completions c ON c.p = x.p AND c.good LEFT JOIN complet
 """
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+_PIECES = rf"string_split_regex(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[.,;:!?\x0A-\x0D]')"
+SQL["op11_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, p, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+), counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::HUGEINT AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1 AND f >= 100
+), inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM candidates)) GROUP BY ALL
+), whole AS (
+  SELECT c.* FROM candidates c LEFT JOIN inner_phrases i ON c.lang = i.lang AND c.phrase = i.phrase WHERE longer IS NULL OR 100 * longer < 100 * a
+), cuts AS (SELECT *, unnest(range(1, m)) AS k FROM whole
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(spark.read.parquet(f"{sf_dir}/documents.parquet"))
