@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,17 +46,19 @@ class MinHash:
             found = found * FACTOR + points[lo + k:hi + k]
         return mixed(found)
 
-    def minima(self, points: np.ndarray, lo: int, hi: int, block: int = 1 << 16, step: int = 1024) -> np.ndarray:
-        low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
+    def minima(self, points: np.ndarray, lo: int, hi: int, hashes: int | None = None, block: int = 1 << 16, step: int = 1024) -> np.ndarray:
+        """The least values of the first `hashes` permutations (all without a number) over the characters from `lo` up to `hi`."""
+        a, b = self.a[:hashes], self.b[:hashes]
+        low = np.full(len(a), 0xFFFFFFFF, np.uint32)
         for start in range(lo, hi, block):
             x = (self.shingles(points, start, min(start + block, hi)) >> np.uint64(32)).astype(np.uint32)
             for k in range(0, len(x), step):
-                np.minimum(low, (x[None, k:k + step] * self.a + self.b).min(1), out=low)
+                np.minimum(low, (x[None, k:k + step] * a + b).min(1), out=low)
         return low
 
-    def whole(self, text: str | None) -> np.ndarray:
+    def whole(self, text: str | None, hashes: int | None = None) -> np.ndarray:
         points = self.points(text)
-        return self.minima(points, 0, len(points) - self.width + 1)
+        return self.minima(points, 0, len(points) - self.width + 1, hashes)
 
 
 def spelled(minima: np.ndarray) -> str:
@@ -69,9 +72,8 @@ def likeness(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def band_keys(minima: np.ndarray, bands: int) -> np.ndarray:
-    rows = len(minima) // bands
     keys = mixed(np.arange(1, bands + 1, dtype=np.uint64))
-    for part in minima[:bands * rows].reshape(bands, rows).T:
+    for part in minima.reshape(bands, -1).T:
         keys = mixed(keys * FACTOR + part)
     return keys.view(np.int64)
 
@@ -105,15 +107,16 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, fingerprint string")
 
 
-def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minhash: MinHash = MinHash(), bands: int = 20,
-            least: float = 0.8) -> DataFrame:
+def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minhash: MinHash = MinHash(), bands: int = 14,
+            rows: int = 5, least: float = 0.8) -> DataFrame:
     """The document that each document repeats: doc_id, digest (of the text), n_chars, match_id; a row for each doc_id and text.
 
     Texts that share a band of their minima with others are compared with the bucket's smallest document,
     on full sets of shingles; match_id is the smallest doc_id among the confirmed ones, those
     with the same text, and the document itself. At a similarity of 0.8 and the
-    default 20 bands of 6, two in a thousand pairs share no band. Buckets are joined with their
-    smallest document only, so a large group costs as many pairs as it has texts. Chains are not followed: of `match_id`
+    default 14 bands of 5, four in a thousand pairs share no band. Buckets are joined with their
+    smallest document only, so a large group costs as many pairs as it has texts. A bit table of the buckets that
+    occur twice leaves out most others before anything else is joined. Chains are not followed: of `match_id`
     only likeness to the document itself is claimed. Empty texts match empty texts. Null ids count as larger than all others.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -124,13 +127,23 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minh
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(map(digest, texts), pa.binary()), pa.array([len(t or "") for t in texts], pa.int64()),
-                pa.array([band_keys(minhash.whole(t), bands) for t in texts], pa.list_(pa.int64()))], ["doc_id", "digest", "n_chars", "bands"])
+                pa.array([band_keys(minhash.whole(t, bands * rows), bands) for t in texts], pa.list_(pa.int64()))], ["doc_id", "digest", "n_chars", "bands"])
 
-    rows = stored(docs.mapInArrow(sketch, f"doc_id {id_type}, digest binary, n_chars long, bands array<long>"), "fingerprint-bands")
+    known = stored(docs.mapInArrow(sketch, f"doc_id {id_type}, digest binary, n_chars long, bands array<long>"), "fingerprint-bands")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first")
-    texts = rows.groupBy("digest").agg(first, F.first("bands").alias("bands"))
-    texts = stored(texts.select("digest", "first", "bands"), "fingerprint-texts")
-    spread = texts.select(F.struct("first.no_id", "first.doc_id", "digest").alias("own"), F.explode("bands").alias("bucket"))
+    texts = stored(known.groupBy("digest").agg(first, F.first("bands").alias("bands")), "fingerprint-texts")
+    often = texts.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    table = docs.sparkSession.sparkContext.broadcast(key_filter(often, "bucket"))
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, 4096):
+            keys = batch.column("bands").flatten().to_numpy()
+            hit = may_hold(table.value, keys.view(np.uint64))
+            found = pa.ListArray.from_arrays(np.r_[0, np.cumsum(hit)][np.arange(batch.num_rows + 1) * bands].astype(np.int32), pa.array(keys[hit]))
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("first"), found], ["digest", "first", "bands"])
+
+    shared = texts.select("digest", "first", "bands").mapInArrow(repeated, texts.select("digest", "first", "bands").schema)
+    spread = shared.select(F.struct("first.no_id", "first.doc_id", "digest").alias("own"), F.explode("bands").alias("bucket"))
     buckets = stored(spread.groupBy("bucket").agg(F.min("own").alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size"),
                      "fingerprint-buckets")
     pairs = stored(spread.join(buckets, "bucket").where("own.digest != leader.digest").select("own", "leader").distinct(), "fingerprint-pairs")
@@ -149,7 +162,7 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minh
         confirm, f"own_digest binary, leader_id {id_type}")
     least_link = links.groupBy(F.col("own_digest").alias("digest")).agg(F.min("leader_id").alias("linked"))
     ids = stored(texts.join(least_link, "digest", "left").select("digest", F.least("first.doc_id", "linked").alias("match_id")), "fingerprint-matches")
-    return rows.select("doc_id", "digest", "n_chars").distinct().join(ids, "digest").select("doc_id", "digest", "n_chars", "match_id")
+    return known.select("doc_id", "digest", "n_chars").distinct().join(ids, "digest").select("doc_id", "digest", "n_chars", "match_id")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -172,7 +185,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(held.join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]), "fingerprint-sets")
 
 
-def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minhash: MinHash = MinHash(), bands: int = 20) -> DataFrame:
+def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, minhash: MinHash = MinHash()) -> DataFrame:
     """Fingerprints of each document and of an edited form, whose last quarter is taken from the next document.
 
     Of n_chars code points the last floor(n_chars / 4) give way to the first as many (or all) of
@@ -190,34 +203,35 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    known = stored(matches(docs, minhash=minhash, bands=bands).withColumn("no_id", F.col("doc_id").isNull()), "fingerprint-known")
+    known = stored(matches(docs, minhash=minhash).withColumn("no_id", F.col("doc_id").isNull()), "fingerprint-known")
     places = 1 + int((known.agg(F.sum("n_chars")).first()[0] or 0) // PLACE_CHARS)
     order = ["no_id", "doc_id", "digest"]
     # one bound for each range, so no more than the size of all texts over PLACE_CHARS
     firsts = (known.select(*order).repartitionByRange(places, *order).groupBy(F.spark_partition_id().alias("place"))
               .agg(F.min(F.struct(*order)).alias("own")).collect())
     shared = spark.sparkContext.broadcast(sorted(_order(r["own"]["doc_id"], bytes(r["own"]["digest"])) for r in firsts))
-    schema = f"place int, tail boolean, no_id boolean, doc_id {id_type}, digest binary, kind int, text string, match_id {id_type}"
+    schema = f"place int, tail boolean, no_id boolean, doc_id {id_type}, digest binary, kind int, text binary, match_id {id_type}"
 
     def batch_of(rows: list[tuple], kind: int, ids: pa.DataType) -> pa.RecordBatch:
         place, tail, own, digests, texts, found = zip(*rows) if rows else ((),) * 6
         own = pa.array(own, ids)
         return pa.RecordBatch.from_arrays([
             pa.array(place, pa.int32()), pa.array(tail, pa.bool_()), own.is_null(), own, pa.array(digests, pa.binary()),
-            pa.array([kind] * len(own), pa.int32()), pa.array(texts, pa.string()), pa.array(found, ids)], schema_names)
+            pa.array([kind] * len(own), pa.int32()), pa.array(texts, pa.binary()), pa.array(found, ids)], schema_names)
 
     schema_names = ["place", "tail", "no_id", "doc_id", "digest", "kind", "text", "match_id"]
     place_of = lambda key: bisect_right(shared.value, key) - 1
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = {key: (k - 1) % len(shared.value) for k, key in enumerate(shared.value)}
+        pack = zstandard.ZstdCompressor().compress  # texts travel packed
         for batch in steps(batches):
             rows = []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                key = _order(i, digest(t))
-                rows.append((place_of(key), False, i, key[2], t or "", None))
+                key, packed = _order(i, digest(t)), pack((t or "").encode())
+                rows.append((place_of(key), False, i, key[2], packed, None))
                 if key in before:
-                    rows.append((before[key], True, i, key[2], t or "", None))
+                    rows.append((before[key], True, i, key[2], packed, None))
             yield batch_of(rows, 1, batch.column("doc_id").type)
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +241,7 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[tuple] = []
+        unpack = zstandard.ZstdDecompressor().decompress
         place, held, match = None, None, None
         for batch in steps(batches, 64):
             for r in batch.to_pylist():
@@ -241,7 +256,7 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     continue
                 if r["tail"] and not held:
                     continue
-                after = _Open(minhash, key, r["doc_id"], r["text"], match)
+                after = _Open(minhash, key, r["doc_id"], unpack(r["text"]).decode(), match)
                 if held:
                     made += [held.result(minhash, after)] * held.rows
                 held = None if r["tail"] else after
