@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,13 @@ from certflow.llm.tasks import as_bytes, steps, stored
 
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"  # they end a piece
 PIECES = bytes.maketrans(SEPARATORS + b"\x09", b"." * len(SEPARATORS) + b" ")
+WORD_PARTS = 1024
 STRIPE_ROW = 256  # entries of a stripe in one row, which bounds the rows of a batch
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words(dict):
-    """Numbers of the words of a chunk; 0 stands for the end of a piece."""
+    """Numbers of words from 1 on; 0 stands for the end of a piece."""
 
     def __init__(self) -> None:
         super().__init__({b".": 0})
@@ -32,16 +35,15 @@ class Words(dict):
         return value
 
 
-
-def hashed(words: Iterable[bytes], n: int) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
-
-
 def word_numbers(text: bytes | None, words: Words) -> np.ndarray:
     """The words of a text in order, A-Z lower-cased; a 0 after each piece."""
     tokens = (text or b"").lower().translate(PIECES).replace(b".", b" . ").split()
     tokens.append(b".")
-    return np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+    return np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
+
+
+def hashed(words: Iterable[bytes], n: int) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
 
 
 def phrase_keys(langs: np.ndarray, *words: np.ndarray) -> np.ndarray:
@@ -52,35 +54,138 @@ def phrase_keys(langs: np.ndarray, *words: np.ndarray) -> np.ndarray:
     return key
 
 
-def _stripe_rows(lang: str, numbers: np.ndarray, names: pa.Array, hashes: np.ndarray, m: int, table: np.ndarray | None, parts: int) -> Iterator[pa.RecordBatch]:
-    """Stripes of the chunk `numbers`: for each prefix of `m` words a counter of its next words.
+class Packs:
+    """Texts of each language as numbers of words, gathered up to `chunk` words and then sent on."""
+
+    def __init__(self, chunk: int):
+        self.chunk = chunk
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, Words] = defaultdict(Words)
+        self.held: dict[str, list[np.ndarray]] = defaultdict(list)
+        self.size = 0
+
+    def add(self, lang: str, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held[lang].append(numbers)
+        self.size += len(numbers)
+        if self.size >= self.chunk:
+            yield from self.sent()
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        for lang, held in self.held.items():
+            names = b" ".join(list(self.words[lang])[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang]), pa.array([names], pa.binary()), pa.array([np.concatenate(held).tobytes()], pa.binary())], ["lang", "names", "numbers"])
+        self.clear()
+
+
+PACK = "lang string, names binary, numbers binary"
+
+
+def packed(docs: DataFrame, chunk: int) -> DataFrame:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs = Packs(chunk)
+        for batch in steps(batches):
+            for lang, text in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
+                yield from packs.add(lang, word_numbers(text, packs.words[lang]))
+        yield from packs.sent()
+
+    return docs.mapInArrow(pack, PACK)
+
+
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray, np.uint64]]:
+    """Of each pack the language, the words by number, the numbers, the words' hashes, and the language's hash."""
+    for batch in steps(batches, 1):
+        row = batch.to_pylist()[0]
+        names = [b".", *row["names"].split()]
+        yield row["lang"], names, np.frombuffer(row["numbers"], np.int32), hashed(names, len(names)), np.uint64(xxhash.xxh3_64_intdigest(row["lang"].encode()))
+
+
+def reduced(packs: DataFrame, table: Broadcast, chunk: int) -> DataFrame:
+    """The packs with a piece ending where a word is too rare for any phrase, packed anew."""
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Packs(chunk)
+        for lang, names, numbers, hashes, own in _unpacked(batches):
+            often = may_hold(table.value, phrase_keys(np.full(len(names), own), hashes))
+            often[0] = False
+            numbering = np.zeros(len(names), np.int32)
+            for k in np.flatnonzero(often):
+                numbering[k] = out.words[lang][names[k]]
+            numbers = numbering[numbers]
+            numbers = numbers[np.r_[True, (numbers[1:] > 0) | (numbers[:-1] > 0)]]
+            if numbers.any():
+                yield from out.add(lang, numbers)
+        yield from out.sent()
+
+    return packs.mapInArrow(reduce, PACK)
+
+
+class Slices:
+    """Into how many parts the stripe of a prefix is cut: one, but for the prefixes whose keys are listed."""
+
+    def __init__(self, keys: np.ndarray, parts: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.parts = keys[order], parts[order]
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(keys), np.uint64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.parts[at], 1).astype(np.uint64)
+
+
+def everywhere(keys: np.ndarray) -> np.ndarray:
+    """The parts of the empty prefix, whose stripe holds all words of a language."""
+    return np.full(len(keys), WORD_PARTS, np.uint64)
+
+
+STRIPE = "lang string, prefix string, part int, next array<string>, counts array<long>"
+
+
+def _chunk_stripes(packs: DataFrame, m: int, table: Broadcast | None, slices: Broadcast) -> DataFrame:
+    """Stripes of each pack: for each prefix of `m` words a counter of its next words.
 
     Next words count only where the prefix and the phrase that ends in the next word can both be frequent.
     """
-    size = np.int64(len(names))
-    if m == 0:
-        after, counts = np.unique(numbers[numbers > 0], return_counts=True)
-        prefix = start = np.zeros(len(after), np.int64)
-    else:
-        if len(numbers) <= m:
-            return
-        inside = np.ones(len(numbers) - m + 1, bool)
-        for k in range(m):
-            inside &= numbers[k:len(numbers) - m + 1 + k] > 0
-        at = np.flatnonzero(inside)
-        langs = np.full(len(at), xxhash.xxh3_64_intdigest(lang.encode()), np.uint64)
-        inside[at] = may_hold(table, phrase_keys(langs, *[hashes[numbers[at + k]] for k in range(m)]))
-        at = np.flatnonzero(inside[:-1] & inside[1:])
-        if not len(at):
-            return
-        prefix = numbers[at]
-        for k in range(1, m):
-            prefix = np.unique(prefix * size + numbers[at + k], return_inverse=True)[1]
-        _, first, counts = np.unique(prefix * size + numbers[at + m], return_index=True, return_counts=True)
-        prefix, start, after = prefix[first], at[first], numbers[at[first] + m]
-    if not len(after):
-        return
-    part = (hashes[after] % np.uint64(parts)).astype(np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, names, numbers, hashes, own in _unpacked(batches):
+            if m == 0:
+                counts = np.bincount(numbers, minlength=len(names))
+                counts[0] = 0
+                after = np.flatnonzero(counts)
+                counts, prefix = counts[after], np.zeros(len(after), np.int64)
+                start, keys = prefix, np.full(len(after), own)
+            else:
+                if len(numbers) <= m:
+                    continue
+                inside = np.ones(len(numbers) - m + 1, bool)
+                for k in range(m):
+                    inside &= numbers[k:len(numbers) - m + 1 + k] > 0
+                at = np.flatnonzero(inside)
+                key = phrase_keys(np.full(len(at), own), *[hashes[numbers[at + k]] for k in range(m)])
+                found = may_hold(table.value, key)
+                inside[at] = found
+                followed = np.zeros(len(inside), bool)
+                followed[:-1] = inside[1:]
+                found &= followed[at]
+                at, key = at[found], key[found]
+                prefix = numbers[at].astype(np.int64)
+                for k in range(1, m):
+                    prefix = np.unique(prefix * len(names) + numbers[at + k], return_inverse=True)[1]
+                _, first, counts = np.unique(prefix * len(names) + numbers[at + m], return_index=True, return_counts=True)
+                prefix, start, after, keys = prefix[first], at[first], numbers[at[first] + m], key[first]
+            if len(after):
+                part = (hashes[after] % slices.value(keys)).astype(np.int64)
+                yield from _stripe_rows(lang, pa.array(names, pa.binary()), numbers, m, prefix, start, after, counts, part)
+
+    return packs.mapInArrow(count, STRIPE)
+
+
+def _stripe_rows(
+    lang: str, names: pa.Array, numbers: np.ndarray, m: int, prefix: np.ndarray, start: np.ndarray, after: np.ndarray, counts: np.ndarray, part: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
+    """Rows of STRIPE of up to STRIPE_ROW entries; `start` is a place where the prefix stands in `numbers`."""
     order = np.lexsort((part, prefix))
     prefix, start, after, counts, part = (c[order] for c in (prefix, start, after, counts, part))
     new = np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]
@@ -88,9 +193,9 @@ def _stripe_rows(lang: str, numbers: np.ndarray, names: pa.Array, hashes: np.nda
     cuts = np.flatnonzero(new | ((np.arange(len(part)) - run) % STRIPE_ROW == 0))
     for k in range(0, len(cuts), 8192):
         own = cuts[k:k + 8192]
-        ends = np.r_[own[1:], cuts[k + 8192] if k + 8192 < len(cuts) else len(part)]
-        offsets = pa.array(np.r_[own, ends[-1]] - own[0], pa.int32())
-        entries = slice(own[0], ends[-1])
+        end = cuts[k + 8192] if k + 8192 < len(cuts) else len(part)
+        offsets = pa.array(np.r_[own, end] - own[0], pa.int32())
+        entries = slice(own[0], end)
         spelled = [names.take(pa.array(numbers[start[own] + j])) for j in range(m)]
         yield pa.RecordBatch.from_arrays([
             pa.array([lang] * len(own), pa.string()),
@@ -101,34 +206,6 @@ def _stripe_rows(lang: str, numbers: np.ndarray, names: pa.Array, hashes: np.nda
         ], ["lang", "prefix", "part", "next", "counts"])
 
 
-STRIPE = "lang string, prefix string, part int, next array<string>, counts array<long>"
-
-
-def _chunk_stripes(docs: DataFrame, m: int, table: np.ndarray | None, parts: int, chunk: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(table) if m else None
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
-        words, n = Words(), 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            names, hashes = pa.array(list(words), pa.binary()), hashed(words, len(words))
-            for lang in list(held):
-                yield from _stripe_rows(lang, np.concatenate(held.pop(lang)), names, hashes, m, shared.value if m else None, parts)
-
-        for batch in steps(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
-                numbers = word_numbers(text, words)
-                held.setdefault(lang, []).append(numbers)
-                n += len(numbers)
-                if n >= chunk:
-                    yield from flush()
-                    words, n = Words(), 0
-        yield from flush()
-
-    return docs.mapInArrow(count, STRIPE)
-
-
 def _merged(stripes: DataFrame, min_count: int, keep_totals: bool) -> DataFrame:
     """Stripes of one prefix and part added up entry by entry; `total` is the sum of the whole stripe.
 
@@ -178,35 +255,48 @@ def _flat(batch: pa.RecordBatch) -> pa.Table:
     return pa.table({**columns, "next": batch.column("next").flatten(), "counts": batch.column("counts").flatten()})
 
 
-def _keys(phrases: DataFrame, m: int) -> DataFrame:
+def _keys(phrases: DataFrame, m: int, *more: str) -> DataFrame:
+    """Keys of phrases of `m` words, with the columns (of longs) `more`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             words = hashed((w for phrase in as_bytes(batch.column("phrase")) for w in phrase.split(b" ")), n * m).reshape(n, m)
             keys = phrase_keys(hashed(as_bytes(batch.column("lang")), n), *words.T)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(batch.column(c) for c in more)], ["key", *more])
+
+    return phrases.select("lang", "phrase", *more).mapInArrow(run, ", ".join(f"{c} long" for c in ("key", *more)))
 
-    return phrases.select("lang", "phrase").mapInArrow(run, "key long")
 
+def _hot(level: DataFrame, m: int, slices: int, words: int) -> Slices:
+    """Phrases that make up more than one in `slices` of all words, so fewer than `slices`, and the parts of their stripes."""
+    hot = level.select("lang", "phrase", F.ceil(F.col("a") * F.lit(float(slices)) / F.lit(float(words))).alias("parts")).where("parts > 1")
+    found = _keys(hot, m, "parts").toArrow()
+    return Slices(found.column("key").to_numpy().view(np.uint64), found.column("parts").to_numpy())
 
-def phrase_counts(docs: DataFrame, *, longest: int, min_count: int, parts: int, chunk: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+
+def phrase_counts(docs: DataFrame, *, longest: int, min_count: int, slices: int, chunk: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
     """The frequent phrases of up to `longest` words, and the words of each language in all.
 
     phrases: lang, phrase, words (their number), a, prefix (its first words but the last).
     totals: lang, n.
     """
-    spark = docs.sparkSession
-    totals, levels, table = None, [], None
+    context = docs.sparkSession.sparkContext
+    packs = stored(packed(docs, chunk), "phrase-packs", "zstd")
+    totals, levels, table, cut = None, [], None, context.broadcast(everywhere)
     for m in range(longest):
-        merged = _merged(_chunk_stripes(docs, m, table, parts * 16 if m == 0 else parts, chunk), min_count, keep_totals=m == 0)
+        merged = _merged(_chunk_stripes(packs, m, table, cut), min_count, keep_totals=m == 0)
         level = stored(merged, f"stripes-{m}")
-        if m == 0:  # the stripe of the empty prefix counts all words
-            totals = stored(level.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
         entries = level.select("lang", "prefix", F.explode(F.arrays_zip("next", "counts")).alias("e"))
         phrase = F.col("e.next") if m == 0 else F.concat_ws(" ", "prefix", "e.next")
         levels.append(stored(entries.select("lang", phrase.alias("phrase"), F.lit(m + 1).alias("words"), F.col("e.counts").alias("a"), "prefix"), f"phrases-{m + 1}"))
+        if m == 0:  # the stripe of the empty prefix counts all words
+            totals = stored(level.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
+            n = totals.agg(F.sum("n")).first()[0] or 0
         if m + 1 < longest:
-            table = key_filter(_keys(levels[-1], m + 1), "key", filter_bits)
+            table = context.broadcast(key_filter(_keys(levels[-1], m + 1), "key", filter_bits))
+            cut = context.broadcast(_hot(levels[-1], m + 1, slices, max(1, n)))
+            if m == 0:
+                packs = stored(reduced(packs, table, 2 * chunk), "phrase-packs", "zstd")
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.union(level)
@@ -215,7 +305,7 @@ def phrase_counts(docs: DataFrame, *, longest: int, min_count: int, parts: int,
 
 def collocations(
     docs: DataFrame, lang: str = "lang", text: str = "text", *, longest: int = 5, min_count: int = 100, top: int = 2000,
-    parts: int = 16, chunk: int = 1 << 20, filter_bits: int = 24,
+    slices: int = 20_000, chunk: int = 1 << 20, filter_bits: int = 24,
 ) -> DataFrame:
     """The best phrases of 2 to `longest` words of each language, by how far they exceed their parts.
 
@@ -226,20 +316,21 @@ def collocations(
     occurs as often is left out. Returns lang, rank, phrase, a, l, r, n, score, the first `top` of each
     language by score, then a, both falling, then phrase in byte order.
 
-    Stripes: each prefix of 0 to 4 words has a counter of its next words. A task counts chunks
-    of `chunk` words, and stripes of one prefix are added up after one shuffle, cut by the hash
-    of the next word into `parts` (16 times as many for the empty prefix), so no prefix is the work of one
-    task. The empty prefix gives n and the words; each stripe gives the counts of its
+    Stripes: each prefix of 0 to 4 words has a counter of its next words. Texts are packed once, as
+    numbers of words in chunks of `chunk` words; a chunk counts its own stripes, and stripes of one prefix are
+    added up after one shuffle. The stripe of a prefix that makes up more than one in `slices` of all words is cut
+    by the hash of the next word, into as many parts as its count asks for, so no prefix is the
+    work of one task. The empty prefix gives n and the words; each stripe gives the counts of its
     extensions, and their maxima tell which phrases go on in a longer one as often. A phrase is
     as rare as its rarest part: the frequent phrases of one length go as a bit table of fixed
-    size (2^filter_bits bits) to the tasks that count the next length. What passes by chance
-    is counted and dropped, so a full table costs time and changes no result.
+    size (2^filter_bits bits) to the tasks that count the next length, and rare words end a piece from then on. What passes
+    the table by chance is counted and dropped, so a full table costs time and changes no result.
 
     A null lang counts as `und`, as does `und` itself; a null text is empty. Repeated rows count each. A text is taken whole
     by one task, whatever its length. An empty table gives no rows. Extra columns are ignored.
     """
     docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    phrases, totals = phrase_counts(docs, longest=longest, min_count=min_count, parts=parts, chunk=chunk, filter_bits=filter_bits)
+    phrases, totals = phrase_counts(docs, longest=longest, min_count=min_count, slices=slices, chunk=chunk, filter_bits=filter_bits)
     tail = F.col("phrase").substr(F.instr("phrase", " ") + 1, F.length("phrase"))
     longer = phrases.where("words > 2")
     # the most frequent extension on either side: a maximum over a stripe, and over those that share their last words

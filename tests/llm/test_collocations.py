@@ -56,10 +56,10 @@ def test_equals_brute_force(spark, min_count):
     assert found(spark, ROWS, min_count) == sorted(brute(ROWS, min_count))
 
 
-def test_small_chunks_parts_and_a_full_filter(spark):
+def test_small_chunks_slices_and_a_full_filter(spark):
     expected = sorted(brute(ROWS, 2))
-    assert found(spark, ROWS, 2, chunk=5, parts=1) == expected
-    assert found(spark, ROWS, 2, chunk=40, parts=7, filter_bits=6) == expected
+    assert found(spark, ROWS, 2, chunk=5, slices=1) == expected
+    assert found(spark, ROWS, 2, chunk=40, slices=30, filter_bits=6) == expected
 
 
 def test_long_text_and_a_stripe_over_many_rows(spark):
