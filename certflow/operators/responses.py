@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from certflow.functions.scalars import certificate_number
 from certflow.operators.conform import to_number
@@ -59,16 +59,14 @@ def parse_bodies(responses: DataFrame) -> DataFrame:
     """Add `certificates`, the parsed array, and `returned`, the length of the body.
 
     Both are null for a failed call or broken JSON. A body that is one object has no array; its
-    length is the number of its keys. Null elements of an array stay null.
+    length is the number of its keys. Null elements of an array stay null. A body is parsed once: only an
+    array that does not fit the schema is read again for its length.
     """
     ok = F.col("http_status") == 200
-    length = F.json_array_length("body")
-    parsed = F.from_json("body", RESPONSE_SCHEMA)
-    keys = F.size(F.json_object_keys("body"))
-    return responses.withColumns({
-        "certificates": F.when(ok & length.isNotNull(), parsed),
-        "returned": F.when(ok, F.coalesce(length, F.when(F.json_object_keys("body").isNotNull(), keys))),
-    })
+    begins = lambda mark: ok & F.col("body").rlike(rf"\A\s*{mark}")
+    rows = responses.withColumn("certificates", F.when(begins(r"\["), F.from_json("body", RESPONSE_SCHEMA)))
+    length = F.coalesce(F.array_size("certificates"), F.json_array_length("body"))
+    return rows.withColumn("returned", F.when(begins(r"\["), length).when(begins(r"\{"), F.array_size(F.json_object_keys("body"))))
 
 
 def flatten(parsed: DataFrame, batch_time: Column) -> DataFrame:
@@ -103,6 +101,41 @@ def untyped_values(parsed: DataFrame) -> DataFrame:
     return rows.where(F.col("text").isNotNull() & to_number(F.col("text")).isNull())
 
 
+def known_paths(kind: T.DataType, at: str = "") -> dict[str, bool]:
+    """Paths of the fields of nested structs, and whether each is an object."""
+    found: dict[str, bool] = {}
+    if isinstance(kind, T.ArrayType):
+        return known_paths(kind.elementType, at)
+    for field in kind.fields if isinstance(kind, T.StructType) else []:
+        path = f"{at}.{field.name}" if at else field.name
+        found |= {path: isinstance(field.dataType, T.StructType), **known_paths(field.dataType, path)}
+    return found
+
+
+def unknown_fields(responses: DataFrame) -> DataFrame:
+    """Fields of the objects that the schema does not know: CertificateID, object (from 0), path and value (as JSON).
+
+    The body is parsed once, as a variant, which keeps every field. Known objects are opened level by level; an
+    unknown one is given as a whole. Bodies that are no array, and elements that are no objects, have no fields.
+    """
+    known = known_paths(T.DataType.fromDDL(RESPONSE_SCHEMA))
+    depth = 1 + max(p.count(".") for p in known)
+    names = F.array(*[F.lit(p) for p in known])
+    objects = F.array(F.lit(""), *[F.lit(p) for p, is_object in known.items() if is_object])
+    elements = F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>")
+    rows = responses.where("http_status = 200").select("CertificateID", F.posexplode(elements).alias("object", "value"))
+    rows = rows.withColumn("path", F.lit(""))
+    for _ in range(depth):
+        fields = F.map_entries(F.try_variant_get("value", "$", "map<string, variant>"))
+        below = lambda e: F.struct(F.concat_ws(".", F.nullif("path", F.lit("")), e["key"]).alias("path"), e["value"].alias("value"))
+        itself = F.array(F.struct("path", "value"))
+        opened = F.when(F.array_contains(objects, F.col("path")), F.transform(fields, below)).otherwise(itself)
+        rows = rows.select("CertificateID", "object", F.inline(opened))
+        rows = rows.where(F.array_contains(objects, F.col("path")) | ~F.array_contains(names, F.col("path")))
+    unknown = rows.where(~F.array_contains(names, F.col("path")))
+    return unknown.select("CertificateID", "object", "path", F.to_json("value").alias("value"))
+
+
 def call_outcomes(parsed: DataFrame) -> DataFrame:
     """P14 per call: what the body returned, and its objects, each of which is a stored row."""
     n = F.coalesce("returned", F.lit(0))

@@ -17,6 +17,7 @@ from certflow.functions.text import clean_text
 from certflow.operators.conform import conform, keep_first
 from certflow.operators.lifecycle import PENDING, expire_pending, log_pending, purge_gone, resolve_pending
 from certflow.operators.outcomes import cleaning_outcome, download_outcome, extraction_outcome, reduction_pct
+from certflow.operators.quantiles import quantiles, sketch
 from certflow.operators.reports import import_summary, stage_report, status_breakdown, year_summary
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
 from certflow.operators.spread import spread
@@ -24,11 +25,14 @@ from certflow.operators.worklists import (
     api_worklist, clean_worklist, extract_worklist, new_files, new_records, not_done, prompt_worklist, url_worklist,
 )
 from certflow.schemas import (
-    ANSWERS, API_LOG, CERTIFICATE_KEY, CLEANED_TEXT, DOWNLOAD_LOG, FILE_EXTRACT,
-    FILE_INVENTORY, IMPORTED,
+    ANSWERS, API_LOG, CERTIFICATE_COLUMNS, CERTIFICATE_KEY, CLEANED_TEXT, CLEANING_SKETCH, DOWNLOAD_LOG, FILE_EXTRACT,
+    FILE_INVENTORY, IMPORTED, QUARANTINE,
 )
-from certflow.sources.landing import POSITION, has_known_column, probe, scan
-from certflow.sources.tables import append_batch, read_batches, read_version, write_version
+from certflow.sources.landing import POSITION, dialects_of, has_known_column, land_chunks, scan_chunks
+from certflow.sources.tables import append_batch, pinned_version, read_batches, read_version, write_version
+
+# Why a row is kept apart from an import.
+TOO_MANY_FIELDS, OPEN_QUOTE = "more fields than the header", "quote without an end"
 
 
 def _as(df: DataFrame, schema) -> DataFrame:
@@ -44,23 +48,28 @@ def import_certificates(
 ) -> DataFrame:
     """Landed CSV files, of all years or of an inclusive range, to new certificate rows; gives A10.
 
-    The conformed rows are staged with their place in the file, so 'first' means the
-    same in every later read: by year, then by place. Rows with too many fields stay in
-    the staged table. A file without any known column is skipped and stops nothing else.
+    The files are read once, into stored chunks, which give both dialects and records. The conformed rows
+    are staged with their place in the file, so 'first' means the same in every later read: by year, then by
+    place. Rows with too many fields, or with a quote that is never closed, go to the table `quarantine`, as they were read and
+    with the reason. A file without any known column is skipped and stops nothing else.
     """
-    dialects = probe(spark, path)
-    if years:
-        dialects = dialects.filter(F.col("year").between(*years))
-    dialects = append_batch(dialects, root, "dialects", batch)
-    rows = conform(scan(spark, dialects), [*POSITION, "year", "overflow", "keyed"])
+    chunks = land_chunks(spark, path, f"{root}/landed/batch={batch}", years)
+    dialects = append_batch(dialects_of(chunks), root, "dialects", batch)
+    read = scan_chunks(chunks, dialects)
+    known = [c for c in CERTIFICATE_COLUMNS if c in read.columns]
+    reason = F.when(F.col("unclosed"), OPEN_QUOTE).when(F.col("overflow").isNotNull(), TOO_MANY_FIELDS)
+    read = read.withColumn("reason", reason).withColumn(
+        "record", F.when(F.col("reason").isNotNull(), F.to_json(F.struct(*known, "overflow"))))
+    rows = conform(read, [*POSITION, "year", "keyed", "reason", "record"])
     if CERTIFICATE_KEY not in rows.columns:
         rows = rows.withColumn(CERTIFICATE_KEY, F.lit(None).cast("string"))
     staged = append_batch(rows.withColumn("unit", _unit_without_key()), root, "staged", batch)
+    append_batch(_as(staged.filter(F.col("reason").isNotNull()), QUARANTINE), root, "quarantine", batch)
     stored = read_batches(spark, root, "imported", IMPORTED, skip=batch)
-    good = staged.filter(F.col("overflow").isNull())
+    good = staged.filter(F.col("reason").isNull())
     first = keep_first(good, [CERTIFICATE_KEY, "unit"], ["year", *POSITION])
     append_batch(_as(new_records(first, stored, CERTIFICATE_KEY), IMPORTED), root, "imported", batch)
-    return import_summary(staged, stored, CERTIFICATE_KEY, F.col("overflow").isNotNull(), ["unit"])
+    return import_summary(staged, stored, CERTIFICATE_KEY, F.col("reason").isNotNull(), ["unit"])
 
 
 def _unit_without_key() -> Column:
@@ -112,10 +121,13 @@ def process_responses(
 def record_downloads(
     urls: DataFrame, attempts: DataFrame, root: str, batch: str, batch_time: datetime, n: int | None = None
 ) -> DataFrame:
-    """P15 over landed download attempts of the URL worklist, appended to the download log."""
-    spark = urls.sparkSession
+    """P15 over landed download attempts of the URL worklist, appended to the download log.
+
+    The inventory is that of the newest scan when the batch first ran.
+    """
+    spark, start = urls.sparkSession, time.perf_counter()
     log = read_batches(spark, root, "download_log", DOWNLOAD_LOG, skip=batch)
-    inventory = read_version(spark, root, "inventory", FILE_INVENTORY)  # of the newest scan
+    inventory = pinned_version(spark, root, "inventory", FILE_INVENTORY, "download_log", batch)
     tried = url_worklist(urls, inventory, log, n).join(attempts, "attest_url")
     rows = tried.select(
         "attest_url", F.col("expected_filename").alias("filename"), F.lit(batch_time).alias("download_date"),
@@ -128,7 +140,7 @@ def record_downloads(
     code = F.when(~F.col("status").isin("Already Exists", "Error"), F.col("http_status"))
     rows = rows.withColumn("http_status_code", code)
     written = append_batch(_as(rows, DOWNLOAD_LOG), root, "download_log", batch)
-    return stage_report(written, "download", F.col("status").isin("Success", "Already Exists"))
+    return stage_report(written, "download", F.col("status").isin("Success", "Already Exists"), time.perf_counter() - start)
 
 
 def sync_inventory(
@@ -170,10 +182,13 @@ def sync_inventory(
 def record_extracts(
     parsed_files: DataFrame, root: str, batch: str, batch_time: datetime, n: int | None = None
 ) -> DataFrame:
-    """P16 over landed parser output of the extract worklist, appended to the extract table."""
-    spark = parsed_files.sparkSession
+    """P16 over landed parser output of the extract worklist, appended to the extract table.
+
+    The inventory is that of the newest scan when the batch first ran.
+    """
+    spark, start = parsed_files.sparkSession, time.perf_counter()
     done = read_batches(spark, root, "extracts", FILE_EXTRACT, skip=batch)
-    inventory = read_version(spark, root, "inventory", FILE_INVENTORY)
+    inventory = pinned_version(spark, root, "inventory", FILE_INVENTORY, "extracts", batch)
     work = extract_worklist(inventory, done, n).select("file_id", "filename", "full_path", "file_size")
     rows = work.join(parsed_files, "full_path").select(
         "file_id", "filename",
@@ -181,7 +196,7 @@ def record_extracts(
         F.lit(batch_time).alias("extraction_date"), F.lit("landed").alias("extraction_method"), "page_count",
     )
     written = append_batch(_as(rows, FILE_EXTRACT), root, "extracts", batch)
-    return stage_report(written, "extract", F.col("extraction_status") == "SUCCESS")
+    return stage_report(written, "extract", F.col("extraction_status") == "SUCCESS", time.perf_counter() - start)
 
 
 def cleaned_rows(
@@ -204,14 +219,24 @@ def clean_texts(
     extracts: DataFrame, root: str, batch: str, batch_time: datetime,
     n: int | None = None, aggressive: bool = False, patterns: list[str] | None = None, partitions: int | None = None,
 ) -> DataFrame:
-    """C4: extracts that are not cleaned yet, in one pass; failed ones come back next time."""
-    spark = extracts.sparkSession
+    """C4: extracts that are not cleaned yet, in one pass; failed ones come back next time.
+
+    Sketches of the reduction in percent are stored by outcome, for percentiles over any batches.
+    """
+    spark, start = extracts.sparkSession, time.perf_counter()
     done = read_batches(spark, root, "cleaned", CLEANED_TEXT, skip=batch)
     extracts = extracts.withColumn("file_id", F.col("file_id").cast("string"))
     rows = cleaned_rows(clean_worklist(extracts, done, n), aggressive, patterns, partitions)
     results = append_batch(rows.withColumn("cleaned_date", F.lit(batch_time)), root, "cleaning_results", batch)
     append_batch(_as(results.filter(F.col("outcome") == "success"), CLEANED_TEXT), root, "cleaned", batch)
-    return stage_report(results, "clean", F.col("outcome") == "success")
+    append_batch(_as(sketch(results, ["outcome"], "reduction_pct"), CLEANING_SKETCH), root, "cleaning_sketches", batch)
+    return stage_report(results, "clean", F.col("outcome") == "success", time.perf_counter() - start)
+
+
+def cleaning_percentiles(spark: SparkSession, root: str, shares: list[float]) -> DataFrame:
+    """Percentiles of the reduction in percent by outcome over all batches, from their stored sketches alone."""
+    stored = read_batches(spark, root, "cleaning_sketches", CLEANING_SKETCH)
+    return quantiles(stored, ["outcome"], shares)
 
 
 def parse_answers(
@@ -219,20 +244,20 @@ def parse_answers(
     version: str, n: int | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Landed model responses of the prompt worklist to stored sections."""
-    spark = prompts.sparkSession
+    spark, start = prompts.sparkSession, time.perf_counter()
     done = read_batches(spark, root, "answers", ANSWERS, skip=batch)
     prompts = prompts.withColumn("FILE_ID", F.col("FILE_ID").cast("string"))
     responses = responses.withColumn("file_id", F.col("file_id").cast("string"))
     work = prompt_worklist(prompts, done, version, n).select("file_id", "prompt_version")
     tried = spread(work, "file_id", partitions).join(responses, ["file_id", "prompt_version"], "left")
     parsed = tried.withColumn("parsed", parse_answer(F.col("response_text"))).select(
-        F.xxhash64("file_id", "prompt_version").alias("openAIAnswerID"), "file_id",
+        F.sha2(F.concat_ws("\n", "prompt_version", "file_id"), 256).alias("openAIAnswerID"), "file_id",
         F.col("prompt_version").alias("PromptVersion"), "parsed.*",
         F.lit(batch_time).alias("Created"), F.col("response_text").isNotNull().alias("answered"),
     )
     results = append_batch(parsed, root, "answer_results", batch)
     append_batch(_as(results.filter("answered"), ANSWERS), root, "answers", batch)
-    return stage_report(results, "answer", F.col("answered"))
+    return stage_report(results, "answer", F.col("answered"), time.perf_counter() - start)
 
 
 def run_stages(

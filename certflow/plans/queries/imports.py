@@ -58,10 +58,10 @@ def csv_conform(spark, sf):
     return out.withColumn("Utstedelsesdato", F.col("Utstedelsesdato").cast("timestamp_ntz"))
 
 
-def land_orders(spark, sf) -> str:
-    """Write the orders as yearly CSV folders in two dialects; returns the folder."""
-    root = scratch_dir(spark, "landing")
-    orders = table(spark, sf, "orders").select(
+def land_orders(spark, sf, where: str = "true", root: str | None = None) -> str:
+    """Write the orders as yearly CSV folders in two dialects, beside what is there; returns the folder."""
+    root = root or scratch_dir(spark, "landing")
+    orders = table(spark, sf, "orders").where(where).select(
         F.col("o_custkey").cast("string").alias("Knr"),
         F.col("o_totalprice").cast("string").alias("BeregnetFossilandel"),
         F.concat(F.lit("Åsveien; nr "), F.col("o_orderkey").cast("string"), F.lit(', "A"')).alias("GateAdresse"),
@@ -74,7 +74,7 @@ def land_orders(spark, sf) -> str:
     writer = {"UTF-8": ("NOT latin", ","), "ISO-8859-1": ("latin", ";")}
     for encoding, (rows, sep) in writer.items():
         (
-            orders.filter(rows).drop("latin").write.partitionBy("landed")
+            orders.filter(rows).drop("latin").write.mode("append").partitionBy("landed")
             .options(header=True, sep=sep, encoding=encoding, escape='"').csv(f"{root}/{encoding}")
         )
     return root

@@ -33,6 +33,10 @@ IMPORTED = T.StructType(
     + [T.StructField(c, T.StringType()) for c in STRING_COLUMNS]
 )
 
+QUARANTINE = _struct(
+    "source_path string, source_block long, source_row long, year int, reason string, record string"
+)
+
 # Shape of one object of a certificate response. Leaves are text, so a value of any JSON type is kept.
 _RESPONSE_OBJECT = """struct<
   organisasjonsnummer: string,
@@ -77,7 +81,8 @@ FILE_EXTRACT = _struct(
 CLEANED_TEXT = _struct(
     "file_id string, clean_text string, cleaned_date timestamp, character_count long"
 )
+CLEANING_SKETCH = _struct("outcome string, sign int, place long, n long")
 ANSWERS = _struct(
-    "openAIAnswerID long, file_id string, PromptVersion string, AboutEstate string, "
+    "openAIAnswerID string, file_id string, PromptVersion string, AboutEstate string, "
     "Positives string, Evaluation string, Created timestamp"
 )

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import csv
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from certflow.schemas import CERTIFICATE_COLUMNS, CERTIFICATE_KEY
+from certflow.schemas import CERTIFICATE_COLUMNS
+from certflow.session import scratch_dir
+from certflow.sources.blocks import HEAD_LINES, SEPARATORS, chunks_of, records_of
 
-# Name of a yearly file, the separators to try in order, and the sample size.
+# Name of a yearly file.
 YEAR_PATTERN = r"enova_data_(\d{4})"
-SEPARATORS = [",", ";", "\t"]
-SAMPLE_ROWS = 5
 POSITION = ["source_path", "source_block", "source_row"]
 
 
@@ -60,30 +60,51 @@ def probe(spark: SparkSession, path: str | list[str]) -> DataFrame:
     head = (
         lines.filter((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
         .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= SAMPLE_ROWS + 1)
+        .filter(F.col("n") <= HEAD_LINES)
         .groupBy("path")
         .agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("head"))
         .select("path", F.transform("head", lambda x: x["value"]).alias("head"))
     )
-    rows = sums.join(head, "path")
-    header = F.regexp_replace(F.decode(F.col("head")[0].cast("binary"), "ISO-8859-1"), "\\A\u00ef\u00bb\u00bf", "")
-    header = F.when(F.col("utf8"), F.regexp_replace(F.col("head")[0], "\\A\ufeff", "")).otherwise(header)
+    rows = sums.join(head, "path").withColumn("first_line", F.col("head")[0])
+    return _dialects(rows, F.coalesce("multi_line", F.lit(False)), lambda k: _field_counts(F.col("head"), SEPARATORS[k]))
+
+
+def dialects_of(chunks: DataFrame) -> DataFrame:
+    """The rows of `probe` from chunks, which hold what it needs: no further scan of the files.
+
+    Its sample rows are whole records, so line ends in quoted fields do not mislead it.
+    """
+    over = [F.bool_or(F.col("over_lines")[k]).alias(f"over{k}") for k in range(len(SEPARATORS))]
+    rows = chunks.groupBy("path").agg(
+        F.bool_and("utf8").alias("utf8"), F.sum("physical_lines").alias("physical_lines"),
+        F.max(F.col("header").cast("string")).alias("first_line"), F.max("fields").alias("fields"), *over,
+    ).where("first_line IS NOT NULL")
+    found = F.lit(False)
+    for k, sep in enumerate(SEPARATORS):
+        found = F.when(F.col("separator") == sep, F.col(f"over{k}")).otherwise(found)
+    return _dialects(rows, found, lambda k: F.col("fields")[k])
+
+
+def _dialects(rows: DataFrame, multi_line: Column, counts_of: Callable[[int], Column]) -> DataFrame:
+    """Dialects from the first line of each file and the numbers of fields at each separator; `multi_line` may use the separator that is found."""
+    header = F.regexp_replace(F.decode(F.col("first_line").cast("binary"), "ISO-8859-1"), "\\A\u00ef\u00bb\u00bf", "")
+    header = F.when(F.col("utf8"), F.regexp_replace("first_line", "\\A\ufeff", "")).otherwise(header)
     rows = rows.withColumn("header", header)
     best = None
     for sep in SEPARATORS:
-        counts = _field_counts(F.col("head"), sep)
+        counts = counts_of(SEPARATORS.index(sep))
         allowed = F.greatest(counts[0], F.coalesce(F.get(counts, F.lit(1)), F.lit(0)))
         score = F.when(F.forall(counts, lambda n: n <= allowed), counts[0]).otherwise(0)
         # equal scores: the earlier separator has the greater tie break
         entry = F.struct(score.alias("n_columns"), F.lit(-SEPARATORS.index(sep)).alias("tie"), F.lit(sep).alias("sep"))
         best = entry if best is None else F.greatest(best, entry)
-    return rows.select(
+    return rows.withColumns({"separator": best["sep"], "n_columns": best["n_columns"]}).select(
         "path",
         file_year(F.col("path")).alias("year"),
         F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
-        best["sep"].alias("separator"),
-        best["n_columns"].alias("n_columns"),
-        F.coalesce("multi_line", F.lit(False)).alias("multi_line"),
+        "separator",
+        "n_columns",
+        multi_line.alias("multi_line"),
         "header",
         "physical_lines",
     )
@@ -95,53 +116,31 @@ def has_known_column() -> Column:
     return F.arrays_overlap(names, F.array(*[F.lit(c) for c in CERTIFICATE_COLUMNS]))
 
 
+def land_chunks(
+    spark: SparkSession, paths: str | list[str], folder: str, years: tuple[int, int] | None = None, recursive: bool = True
+) -> DataFrame:
+    """The files of all years, or of an inclusive range, as a stored table of chunks; files of other years are never opened."""
+    where = file_year(F.col("_metadata.file_path")).between(*years) if years else None
+    chunks = chunks_of(spark, paths, where, recursive)
+    chunks.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(chunks.schema).parquet(folder)
+
+
 def scan(spark: SparkSession, dialects: DataFrame) -> DataFrame:
-    """Read probed files as strings, one read per group of equal dialect and header.
+    """Probed files as strings, all in one read (see `records_of`), with the year of the file.
 
-    Only paths and dialects reach the driver, which Spark's own file listing holds
-    anyway. Unknown columns are left out (P1); a file without any known column is not
-    read. `overflow` is set where a row has more fields than the header, `keyed` where the
-    file has the key column.
+    Unknown columns are left out (P1); a file without any known column is not read. Only the folders of the files
+    and the names of known columns reach the driver. An import lands the chunks once and has
+    dialects and records from them: `land_chunks`, `dialects_of`, `scan_chunks`.
     """
-    groups = (
-        dialects.groupBy("encoding", "separator", "multi_line", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
-    frames = []
-    for g in sorted(groups, key=lambda g: g["paths"][0]):
-        names = next(csv.reader([g["header"]], delimiter=g["separator"]))
-        known = [c for c in CERTIFICATE_COLUMNS if c in names]
-        if not known:
-            continue
-        # a repeated or unknown name is only a place holder
-        fields = [n if n in known and names.index(n) == i else f"_skip{i}" for i, n in enumerate(names)]
-        raw = (
-            spark.read.schema(", ".join(f"`{f}` string" for f in [*fields, "overflow"]))
-            .option("header", True)
-            .option("sep", g["separator"])
-            .option("encoding", g["encoding"])
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", g["multi_line"])
-            .csv(g["paths"])
-        )
-        frames.append(
-            raw.select(
-                *known,
-                "overflow",
-                F.lit(CERTIFICATE_KEY in known).alias("keyed"),
-                F.col("_metadata.file_path").alias("source_path"),
-                F.col("_metadata.file_block_start").alias("source_block"),
-                F.monotonically_increasing_id().alias("source_row"),
-            )
-        )
-    if not frames:
-        raise ValueError("no file has any of the expected columns")
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out.withColumn("year", file_year(F.col("source_path")))
+    folders = [r[0] for r in dialects.select(F.regexp_extract("path", "(?s)^(.*)/", 1)).distinct().collect()]
+    if not folders:
+        raise ValueError("no file to read")
+    return scan_chunks(land_chunks(spark, folders, scratch_dir(spark, "chunks"), recursive=False), dialects)
+
+
+def scan_chunks(chunks: DataFrame, dialects: DataFrame) -> DataFrame:
+    return records_of(chunks, dialects).withColumn("year", file_year(F.col("source_path")))
 
 
 def profile(dialects: DataFrame, scanned: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -45,3 +47,12 @@ def test_query_equals_its_twin(spark, db, name):
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert os.path.exists(os.path.join(os.path.dirname(entry.__file__), "bench.py"))
+
+
+def test_the_other_queries_load_without_the_subpackage():
+    code = ("import sys; sys.modules['{0}'] = None; import __spark_entry__ as e; "
+            "assert 'clean_report' in e.queries() and not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in e.queries())")
+    for name in ("xxhash", "certflow.llm", "corpus_pipeline"):
+        done = subprocess.run([sys.executable, "-c", code.format(name)], cwd=os.path.dirname(entry.__file__), capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
+        assert "left out" in done.stderr
