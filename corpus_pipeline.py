@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +14,31 @@ from certflow.llm.tasks import stored
 TOKENIZER_FILE = bpe.tokenizer_file("word_bpe_49k.json")
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """Columns besides OWN pass through the stage as one struct, so that no name of theirs can clash with one of the stage's own."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        column = lambda c: docs[f"`{c}`"]
+        extra = [c for c in docs.columns if c not in OWN]
+        if not extra:
+            return stage(spark, docs, sf_dir)
+        made = stage(spark, docs.select(*[column(c) for c in OWN if c in docs.columns], F.struct(*map(column, extra)).alias("extra")), sf_dir)
+        return made.select(*[F.col(c) if c in OWN else F.col("extra").getField(c).alias(c) for c in docs.columns])
+
+    return run
+
+
+@keeps_columns
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failed lines leave the text; documents that the rules reject leave the corpus."""
     return quality.clean_documents(docs)
 
 
+@keeps_columns
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`lang` becomes the predicted language; documents without a letter or unlike their language leave."""
     model = language_id.train(language_id.training_rows(docs))
@@ -23,6 +46,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *[F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 
+@keeps_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that with the smallest doc_id (nulls last); shingles of five words, similarity 0.8.
 
@@ -35,6 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keyed.join(kept, "row_key", "left_semi").select(docs.columns)
 
 
+@keeps_columns
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources take their target shares; a document can stay in part, or up to three times."""
     return mixing.mixed_documents(docs)
