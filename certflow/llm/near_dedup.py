@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from certflow.llm.components import connected_components
-from certflow.llm.tasks import as_bytes, groups, stored
+from certflow.llm.tasks import as_bytes, groups, steps, stored
 
 BLOCK_SETS = 256
 BLOCK_BYTES = 16 << 20
@@ -109,7 +109,7 @@ def near_duplicates(
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys = WordHashes(), MinMaxBands(bands, rows, seed)
-        for batch in batches:
+        for batch in steps(batches):
             sets = [shingles(x, width, hashes) for x in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"),
@@ -157,7 +157,7 @@ def _sets(docs: DataFrame, classes: DataFrame, members: DataFrame, width: int) -
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in steps(batches):
             sets = [shingles(x, width, hashes) for x in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
