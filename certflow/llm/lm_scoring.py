@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from certflow.llm.near_dedup import WordHashes, mixed
-from certflow.llm.tasks import as_bytes, groups, stored
+from certflow.llm.tasks import as_bytes, groups, steps, stored
 
 BATCH_BYTES = 6 << 20
 PART_BYTES = 8 << 20
@@ -27,6 +27,14 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
+class Numbers(dict):
+    """Numbers of words, in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 class Grams:
     """The n-grams of a batch of documents: ranks of each position, and hashes and counts of each rank."""
 
@@ -119,26 +127,28 @@ def score_documents(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         part = TaskContext.get().partitionId()
-        ids, split, held, number = [], [], 0, 0
+        local = Numbers()
+        ids, texts, held, number = [], [], 0, 0  # words become numbers as they are read, so no list of words outlives its text
 
         def packed() -> pa.RecordBatch:
-            local: dict[bytes, int] = {}
-            tokens = np.fromiter((local.setdefault(w, len(local)) for words in split for w in words), np.int32)
+            tokens = np.concatenate(texts)
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | number], pa.int64()), pa.array([ids], pa.list_(arrow_kind)),
-                pa.array([np.fromiter(map(len, split), np.int64, len(split)).tobytes()], pa.binary()),
+                pa.array([np.fromiter(map(len, texts), np.int64, len(texts)).tobytes()], pa.binary()),
                 pa.array([planes(tokens)], pa.binary()),
                 pa.array([np.fromiter(map(hashes.__getitem__, local), np.uint64, len(local)).tobytes()], pa.binary()),
                 pa.array([len(tokens)], pa.int64())], ["batch", "ids", "sizes", "tokens", "vocabulary", "n"])
 
-        for batch in batches:
+        for batch in steps(batches):
             for one, value in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
                 ids.append(one)
-                split.append((value or b"").lower().split())
+                words = (value or b"").lower().split()
+                texts.append(np.fromiter(map(local.__getitem__, words), np.int32, len(words)))
                 held += len(value or b"")
                 if held >= batch_bytes:
                     yield packed()
-                    ids, split, held, number = [], [], 0, number + 1
+                    local = Numbers()
+                    ids, texts, held, number = [], [], 0, number + 1
         if ids:
             yield packed()
 
@@ -147,7 +157,7 @@ def score_documents(
     parts = max(1, -(-total * 8 * order // part_bytes))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches, 1):
             for row in batch.to_pylist():
                 grams = _grams(row, order)
                 for n in range(1, order + 1):
