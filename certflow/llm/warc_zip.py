@@ -19,6 +19,7 @@ from certflow.llm.tasks import as_bytes, stored
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\3\4", b"PK\1\2", b"PK\5\6", b"PK\6\6", b"PK\6\7"
 BIG = 0xFFFFFFFF
 RUN_BYTES = 4 << 20
+READ_BYTES = 16 << 20
 DATE = "2025-01-01T00:00:00Z"
 
 
@@ -280,7 +281,8 @@ def record_ranges(members: DataFrame) -> DataFrame:
                     placed = ((owner[name], offset, size) for name, offset, size in entries if name in owner)
                     yield _runs(file, ((at, at + offset, size) for at, offset, size in placed))
 
-    indexed = stored(parts.mapInArrow(runs, _RANGE_TYPES), "indexed-runs")
+    spread = parts.repartition(_tasks(packages.select(F.explode("indexes.size").alias("size")), "size"), "path", "index", "from")
+    indexed = stored(spread.mapInArrow(runs, _RANGE_TYPES), "indexed-runs")
     # runs tile a member exactly if all borders between them cancel out
     border = lambda c: F.xxhash64(c).cast("decimal(38,0)")
     tiles = indexed.groupBy("path", "member").agg(F.sum(border(F.col("offset")) - border(F.col("offset") + F.col("size"))).alias("borders"))
@@ -295,11 +297,17 @@ def record_ranges(members: DataFrame) -> DataFrame:
                 with Ranges(file) as read:
                     yield _runs(file, ((at, at + offset, n) for offset, n in walked(lambda k, n: read(at + k, n), size)))
 
-    alone = archives.where("not tiled").select("path", "member", "bytes").repartition("path", "member").mapInArrow(walk, _RANGE_TYPES)
+    loose = archives.where("not tiled").select("path", "member", "bytes")
+    alone = loose.repartition(_tasks(loose, "bytes"), "path", "member").mapInArrow(walk, _RANGE_TYPES)
     covered = indexed.join(archives.where("tiled").select("path", "member"), ["path", "member"], "left_semi")
     return covered.select("path", "offset", "size").union(alone.select("path", "offset", "size"))
 
 
+def _tasks(rows: DataFrame, size: str) -> int:
+    """One task for each READ_BYTES of what the rows stand for."""
+    return 1 + int((rows.agg(F.sum(size)).first()[0] or 0) // READ_BYTES)
+
+
 def _runs(file: str, records: Iterator[tuple[int, int, int]]) -> pa.RecordBatch:
     """Runs of neighbouring records (member, offset, size)."""
     out: list[dict] = []
@@ -396,7 +404,9 @@ def read_records(spark: SparkSession, path: str, id_type: str = "long") -> DataF
     inflated alone. Every archive member is read, with or without an index; records about the crawl (warcinfo,
     request, metadata) give no row.
     """
-    ranges = record_ranges(archive_members(spark, path)).repartition("path", "offset")
+    ranges = stored(record_ranges(archive_members(spark, path)), "ranges")
+    # a row of a few bytes stands for a run of the archive: the number of tasks follows the bytes that the rows stand for
+    ranges = ranges.repartition(_tasks(ranges, "size"), "path", "offset")
 
     def read_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

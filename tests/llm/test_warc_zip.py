@@ -6,6 +6,7 @@ import zipfile
 from urllib.parse import urlsplit
 
 import pytest
+from pyspark.sql import functions as F
 
 from certflow.llm import warc_zip
 from certflow.llm.warc_zip import archive_members, members_of, planned, read_records, record, split_records, write_archives
@@ -139,3 +140,14 @@ def test_empty_table(spark):
     folder = scratch_dir(spark, "warc")
     write_archives(planned(spark.createDataFrame([], SCHEMA)), folder)
     assert read_records(spark, folder).collect() == []
+
+
+def test_reading_tasks_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc_zip, "READ_BYTES", 250_000)
+    folder = scratch_dir(spark, "warc")
+    frame = spark.range(400).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "concat(id, repeat('y', 20000)) AS html").repartition(200)
+    write_archives(planned(frame), folder)  # 200 ranges of 40 kB in 200 files
+    rows = read_records(spark, folder)
+    read = rows.select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.page_id for r in read) == list(range(400)) and len({r.task for r in read}) > 20
+    assert 400 * 20_000 // 250_000 < rows.rdd.getNumPartitions() < 45
