@@ -17,6 +17,7 @@ from certflow.llm.tasks import steps, stored
 
 UNKNOWN = "und"
 WORD_CACHE = 200_000
+SALTS = 16
 _runs = re.compile(r"[^\W\d_]+")
 
 
@@ -139,11 +140,13 @@ def held_out(doc_id: Column) -> Column:
 
 def _sample(labelled: DataFrame, docs_per_lang: int) -> DataFrame:
     """The first docs_per_lang rows of each language by a hash of the id."""
-    window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(window))
-           .where(F.col("rank") <= docs_per_lang).select("doc_id").distinct())
-    # at most docs_per_lang ids a language, so small enough to send to every executor
-    return labelled.join(F.broadcast(ids), "doc_id", "left_semi")
+    ids = labelled.select("doc_id", "lang").withColumns({"order": F.xxhash64("doc_id"), "salt": F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS))})
+    # first within salts: at most SALTS * docs_per_lang ids of a language then meet in one task, at any number of rows
+    for keys in (["lang", "salt"], ["lang"]):
+        window = Window.partitionBy(*keys).orderBy("order", "doc_id")
+        ids = ids.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= docs_per_lang).drop("rank")
+    # a table of known size: Spark sends it to every executor as long as it is small
+    return labelled.join(stored(ids.select("doc_id").distinct(), "sample-ids"), "doc_id", "left_semi")
 
 
 def train(labelled: DataFrame, *, order: int = 5, docs_per_lang: int = 1000, calibration_docs: int = 500) -> Model:
