@@ -9,14 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from certflow.llm.near_dedup import mixed
-from certflow.llm.tasks import WORD, stored
+from certflow.llm.tasks import WORD, steps, stored
 
 STREAM_WORDS = 1 << 20
 GROUP_STREAMS = 1024
-MAX_SOURCES = 100_000
 _word = re.compile(WORD)
 
 
@@ -30,8 +28,8 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3) -> DataFrame:
 
     `sizes` has source and size. Sources by code point, null last, weigh 1, 2, 3, repeating.
     They share the sum of all sizes by weight; a target stops at max_repeats times its
-    source's size, and what is left is shared anew until none is above. One row per source is
-    worked on, in one task: a list of sources is written by people.
+    source's size, and what is left is shared anew until none is above. The windows hold one row
+    of a few numbers per source, never rows of documents.
     """
     by_name = Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
     by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), "source_index")
@@ -58,16 +56,16 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3) -> DataFrame:
 def packed_blocks(docs: DataFrame, block_words: int) -> DataFrame:
     """Pieces of documents in blocks: source_index, block, row, first, last.
 
-    `docs` has row (a key), source_index, source_size and size. Each source is dealt by a hash
-    of the row over streams of about 2 ** 20 words; a stream lays its documents end to end and
-    is cut every block_words words, the last block being shorter. Blocks of a source are numbered over
+    `docs` has row (a key), place (a hash of the content), source_index, source_size and size. Each
+    source is dealt by place over streams of about 2 ** 20 words; a stream lays its documents end to
+    end, by place, and is cut every block_words words, the last block being shorter. Blocks of a source are numbered over
     its streams through two running sums, so no window holds more than a stream's documents,
     1024 streams, or one row for each 1024 streams of a source. first and last are word
     positions inside the document, last excluded.
     """
     streams = F.ceil(F.col("source_size") / STREAM_WORDS)
-    dealt = docs.where("size > 0").withColumn("stream", F.pmod(F.xxhash64("row"), streams))
-    in_order = Window.partitionBy("source_index", "stream").orderBy("row")
+    dealt = docs.where("size > 0").withColumn("stream", F.pmod(F.xxhash64("place"), streams))
+    in_order = Window.partitionBy("source_index", "stream").orderBy("place", "row")
     laid = dealt.withColumn("start", F.sum("size").over(in_order) - F.col("size"))
     counts = stored(dealt.groupBy("source_index", "stream").agg(F.sum("size").alias("words"))
                     .withColumn("n", F.ceil(F.col("words") / block_words))
@@ -118,18 +116,19 @@ def shard_draw(slots: np.ndarray, shard: int, per_shard: int, seed: int) -> tupl
     return source, place - (ends - slots)[source]
 
 
-def drawn_slots(spark: SparkSession, quotas: list[tuple[int, int, int]], per_shard: int, seed: int) -> DataFrame:
+def drawn_slots(spark: SparkSession, quotas: np.ndarray, per_shard: int, seed: int) -> DataFrame:
     """Slots of the mix: shard, slot, source_index, block.
 
-    `quotas` has source_index, number of blocks and number of slots of each source. Slot j of a
+    The rows of `quotas` are source_index, number of blocks and number of slots, by source. Slot j of a
     source takes block permutation(j mod blocks) of the source's (j div blocks)-th permutation,
     so each block is used once before any is used again.
     """
-    quotas = [q for q in quotas if q[2] > 0]
-    index, blocks, slots = (np.array([q[k] for q in quotas], np.int64) for k in range(3))
-    shards = -(-int(slots.sum()) // per_shard)
+    quotas = quotas[:, quotas[2] > 0]
+    shards = -(-int(quotas[2].sum()) // per_shard)
+    shared = spark.sparkContext.broadcast(quotas)  # 24 bytes per source
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, blocks, slots = shared.value
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 source, rank = shard_draw(slots, shard, per_shard, seed)
@@ -146,13 +145,16 @@ def drawn_slots(spark: SparkSession, quotas: list[tuple[int, int, int]], per_sha
     return spark.range(shards).mapInArrow(draw, "shard long, slot long, source_index long, block long")
 
 
-def numbered(docs: DataFrame, text: str = "text", source: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or its columns `keep`) as a table in the shared folder, with row (a key) and size (words)."""
-    keep = docs.columns if keep is None else keep
-    made = docs.drop("row", "size", "mix_source").select(
-        *[c for c in keep if c not in ("row", "size", "mix_source")], F.col(source).alias("mix_source"),
-        word_count(F.col(text)).alias("size"), F.monotonically_increasing_id().alias("row"))
-    return stored(made, "mix-rows")
+def numbered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: list[str] | None = None) -> DataFrame:
+    """The rows as a table in the shared folder.
+
+    Columns: own (a struct of all columns of `docs`, or of `keep`, so that none can clash),
+    mix_source, size (words), row (a key) and place (a hash of id and text, which neither files nor tasks change).
+    """
+    own = F.struct(*[docs[f"`{c}`"] for c in (docs.columns if keep is None else keep)])
+    return stored(docs.select(
+        own.alias("own"), F.col(source).alias("mix_source"), word_count(F.col(text)).alias("size"),
+        F.monotonically_increasing_id().alias("row"), F.xxhash64(F.col(doc_id), F.col(text)).alias("place")), "mix-rows")
 
 
 def mix(
@@ -167,24 +169,23 @@ def mix(
     block, and so no word, is used more than max_repeats times.
 
     Null and empty texts have size 0 and are never taken. All rows of a null source form one
-    source. Repeated rows are rows of their own. Reruns over the same files agree: the draw
-    depends on the seed and on the rows' numbers, which follow files and places in them. One
-    row per source comes to the driver, 100,000 at most; more raise an error.
+    source. Repeated rows are rows of their own. Reruns agree, over other files and with other tasks too: the
+    draw depends on the seed, ids and texts; only rows that are equal in both can change places. Three
+    numbers per source come to the driver and go to the tasks that draw.
     """
     spark = rows.sparkSession
     targets = stored(source_targets(rows.select(F.col("mix_source").alias("source"), "size"), max_repeats)
                      .withColumnRenamed("source", "mix_source"), "targets")
-    listed = targets.limit(MAX_SOURCES + 1).collect()
-    if len(listed) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; map them to fewer before mixing")
-    sized = rows.select("row", "size", "mix_source").join(
-        F.broadcast(targets.withColumnRenamed("mix_source", "name")), F.col("mix_source").eqNullSafe(F.col("name"))
-    ).select("row", "size", "source_size", "source_index")
+    sized = rows.select("row", "place", "size", "mix_source").join(
+        targets.withColumnRenamed("mix_source", "name"), F.col("mix_source").eqNullSafe(F.col("name"))
+    ).select("row", "place", "size", "source_size", "source_index")
     pieces = stored(packed_blocks(sized, block_words), "pieces")
-    blocks = dict(pieces.groupBy("source_index").agg(F.max("block") + 1).collect())
-    quotas = [(r["source_index"], blocks[r["source_index"]], round(r["target"] * blocks[r["source_index"]] / r["source_size"]))
-              for r in listed if r["source_index"] in blocks]
-    if any(n for _, _, n in quotas):
+    blocks = pieces.groupBy("source_index").agg((F.max("block") + 1).alias("blocks"))
+    listed = targets.join(blocks, "source_index").select(
+        F.col("source_index").cast("long").alias("source_index"), "blocks",
+        F.bround(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long").alias("slots")).orderBy("source_index").toArrow()
+    quotas = np.array([c.to_numpy() for c in listed.columns], np.int64)
+    if quotas[2].any():
         slots = drawn_slots(spark, quotas, shard_blocks, seed)
     else:
         slots = spark.createDataFrame([], "shard long, slot long, source_index long, block long")
@@ -194,48 +195,48 @@ def mix(
 
 def taken_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **settings: int) -> DataFrame:
     """Words that the mix takes of each row, repeats counted: doc_id, size, source_size, target, taken."""
-    rows = numbered(docs, text, source, [doc_id])
+    rows = numbered(docs, doc_id, text, source, [doc_id])
     targets, pieces = mix(rows, **settings)
     taken = pieces.groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
-    named = F.broadcast(targets.withColumnRenamed("mix_source", "name"))
+    named = targets.withColumnRenamed("mix_source", "name")
     return (rows.join(taken, "row", "left").join(named, F.col("mix_source").eqNullSafe(F.col("name")))
-            .select(F.col(doc_id).alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
+            .select(F.col("own").getField(doc_id).alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", n_chars: str | None = "n_chars", **settings: int) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", n_chars: str | None = "n_chars", **settings: int,
+) -> DataFrame:
     """The mix as rows with the columns of `docs`, whose text is what the mix takes.
 
     Where the mix takes a document's words k times, there are k turns; each turn gives a row for
     each run of neighbouring words that it takes, from the run's first character to its last, or the text as
     it is if the run holds all words. n_chars counts anew. Documents that are not taken have no row.
     """
-    names = docs.columns
-    rows = numbered(docs, text, source)
+    own = docs.columns
+    rows = numbered(docs, doc_id, text, source)
     _, pieces = mix(rows, **settings)
     uses = (pieces.groupBy("row", "first", "last").agg(F.count("*").alias("times"))
             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last", "times"))).alias("uses")))
-    taken = rows.join(uses, "row").select(*[c for c in names if c in rows.columns], "size", "uses")
-    own = [c for c in taken.columns if c not in ("size", "uses")]
-    schema = T.StructType([f for f in taken.schema if f.name in own])
+    taken = rows.join(uses, "row").select("own", "size", "uses")
     at = own.index(text)
     count_at = own.index(n_chars) if n_chars in own else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             index, texts = [], []
-            for k, (whole, size, uses) in enumerate(zip(*(batch.column(c).to_pylist() for c in (text, "size", "uses")))):
+            wholes = batch.column("own").field(at).to_pylist()
+            for k, (whole, size, uses) in enumerate(zip(wholes, *(batch.column(c).to_pylist() for c in ("size", "uses")))):
                 places = [m.span() for m in _word.finditer(whole)]
                 for first, last in runs(uses):
                     index.append(k)
                     texts.append(whole if last - first == size else whole[places[first][0]:places[last - 1][1]])
-            picked = batch.select(own).take(pa.array(index, pa.int64()))
-            columns = list(picked.columns)
+            columns = batch.column("own").take(pa.array(index, pa.int64())).flatten()
             columns[at] = pa.array(texts, columns[at].type)
             if count_at is not None:
                 columns[count_at] = pa.array([len(x) for x in texts], pa.int64()).cast(columns[count_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=own)
 
-    return taken.mapInArrow(cut, schema)
+    return taken.mapInArrow(cut, docs.schema)
 
 
 def runs(uses: list[dict]) -> Iterator[tuple[int, int]]:

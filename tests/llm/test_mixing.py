@@ -70,6 +70,18 @@ def test_taken_words(spark):
         assert taken == pytest.approx(target, rel=0.05)
 
 
+def test_files_and_tasks_change_nothing(spark):
+    frame = spark.createDataFrame(docs(spark), SCHEMA)
+    one, other = (sorted(map(tuple, taken_words(f, block_words=16).collect()), key=repr) for f in (frame.coalesce(1), frame.repartition(7, "text")))
+    assert one == other
+
+
+def test_very_many_sources(spark):
+    rows = spark.range(150_000).selectExpr("id AS doc_id", "concat('a b c d e f g', id) AS text", "concat('s', id) AS source")
+    made = taken_words(rows, block_words=4).selectExpr("count(*)", "sum(size)", "count_if(taken > 3 * size)", "sum(taken)", "sum(target)").first()
+    assert made[:3] == (150_000, 7 * 150_000, 0) and abs(made[3] / made[4] - 1) < 0.1
+
+
 def test_streams_are_numbered_through(spark, monkeypatch):
     monkeypatch.setattr(mixing, "STREAM_WORDS", 300)
     monkeypatch.setattr(mixing, "GROUP_STREAMS", 3)
@@ -93,8 +105,8 @@ def test_streams_are_numbered_through(spark, monkeypatch):
 
 def test_mixed_documents(spark):
     frame = spark.createDataFrame(docs(spark), SCHEMA)
-    made = mixed_documents(frame.drop("size"), block_words=16)
-    assert made.columns == ["doc_id", "text", "source", "lang", "n_chars"]
+    made = mixed_documents(frame, block_words=16)
+    assert made.columns == ["doc_id", "text", "source", "lang", "n_chars", "size"]
     whole = {d[0]: (d[1] or "") for d in docs(spark)}
     rows = made.collect()
     assert rows and all(r["text"] in whole[r["doc_id"]] and r["n_chars"] == len(r["text"]) for r in rows)
