@@ -11,7 +11,7 @@ from certflow.llm import bpe, embeddings, language_id, lm_scoring, mixing, prefe
 from certflow.llm.collocations import collocations
 from certflow.llm.fingerprints import edited_likeness
 from certflow.llm.near_dedup import near_duplicates
-from certflow.llm.quality import BOILERPLATE, LINE_END, NAVIGATION, PUNCTUATION, SENTENCE, judge_quality
+from certflow.llm.quality import BOILERPLATE, BOILERPLATE_PERCENT, LINE_END, PUNCTUATION, SENTENCE, SEPARATOR_PERCENT, judge_quality
 from certflow.llm.whitening import whiten
 from certflow.session import scratch_dir
 
@@ -91,10 +91,13 @@ _HOST = f"translate(coalesce(regexp_extract({{0}}, '(?s)^.*?://([^/?#]*)', 1), '
 _PATH = "coalesce(regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 SQL["op3_url_filter"] = rf"""
 WITH RECURSIVE found AS (
-  SELECT url, unnest([
-    regexp_extract(regexp_extract(html, '(?i)<link\s[^>]*rel\s*=\s*["'']?canonical["''\s>/][^>]*>?'), '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?i)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh["''\s>/][^>]*>?'), '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)]) AS raw
-  FROM pages WHERE contains(url, '://')
+  SELECT url, unnest(list_concat(
+    list_transform(regexp_extract_all(bare, '(?i)<link\s[^>]*rel\s*=\s*["'']?canonical["''\s>/][^>]*>?'),
+      lambda t: regexp_extract(t, '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(regexp_extract_all(bare, '(?i)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh["''\s>/][^>]*>?'),
+      lambda t: regexp_extract(t, '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw
+  FROM (SELECT url, regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)', ' ', 'g') AS bare
+        FROM pages WHERE contains(url, '://'))
 ), targets AS (
   SELECT url, replace(raw, '&amp;', '&') AS t, regexp_extract(url, '(?s)^.*?://[^/?#]*(/(?:[^?#]*/)?)', 1) AS folder,
     regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root FROM found WHERE raw <> ''
@@ -140,13 +143,18 @@ FROM hashed
 
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("clean_text")
+    judged = judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return judged.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
 
 
 def _sql(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+# Non-word characters and spaces are doubled first, so that neighbouring hits can each have one on either side.
+_PHRASE = "(?:^|[^\\p{L}\\p{N}_])((?:un)?(?:" + BOILERPLATE.replace(" ", "  ") + ")s?)(?:$|[^\\p{L}\\p{N}_])"
+_PHRASES = f"regexp_extract_all(regexp_replace(translate(bare, {_UPPER}, {_LOWER}), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g'), {_sql(_PHRASE)}, 1)"
+_PARTED = "len(regexp_extract_all(replace(regexp_extract(bare, '^[^{0}]*'), ' ', '  '), ' [{1}] '))"
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 SQL["op5_quality"] = rf"""
 WITH base AS (
@@ -163,9 +171,13 @@ WITH base AS (
   SELECT k, line, i, len(array_to_string(lw, '')) AS chars,
     NOT (regexp_matches(bare, {_sql(LINE_END)}) OR regexp_matches(bare, {_sql(SENTENCE)}))
     OR len(regexp_extract_all(bare, {_sql(PUNCTUATION)})) > greatest(3, len(lw))
-    OR len(regexp_extract_all(bare, {_sql(NAVIGATION)})) > 1
-    OR regexp_matches(translate(bare, {_UPPER}, {_LOWER}), {_sql(BOILERPLATE)}) AS failed
-  FROM lines WHERE len(lw) > 0
+    OR len(regexp_extract_all(bare, '[|•]')) + {_PARTED.format("«‹", "»›")} + {_PARTED.format("<", ">")} > greatest(1, len(lw) * {SEPARATOR_PERCENT} // 100)
+    OR (len(phrases) > 0 AND 100 * list_sum(list_transform(phrases, lambda p: (len(p) - len(replace(p, '  ', ''))) // 2 + 1)) >= {BOILERPLATE_PERCENT} * len(lw))
+    AS failed
+  FROM (SELECT *, {_PHRASES} AS phrases FROM lines) WHERE len(lw) > 0
+), cleaned AS (
+  SELECT k, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (NOT coalesce(failed, false)) AS clean_text
+  FROM lines l LEFT JOIN (SELECT k, i, failed FROM judged) USING (k, i) GROUP BY k
 ), line_sums AS (
   SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (failed) AS n_failed,
     coalesce(sum(chars) FILTER (failed), 0) AS lost FROM judged GROUP BY k
@@ -173,8 +185,9 @@ WITH base AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
     coalesce(r.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(r.n, 0) > 20 * len(w) AS base_failed,
-    coalesce(n_lines, 0) AS n_lines, coalesce(n_failed, 0) AS n_failed_lines, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
-  FROM base LEFT JOIN repeated r USING (k) LEFT JOIN line_sums USING (k)
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_failed, 0) AS n_failed_lines, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars,
+    sha256(coalesce(clean_text, '')) AS clean_sha256
+  FROM base LEFT JOIN repeated r USING (k) LEFT JOIN line_sums USING (k) LEFT JOIN cleaned USING (k)
 )
 SELECT *, NOT base_failed AND 100 * lost_chars <= 40 * word_chars AS kept FROM measured
 """

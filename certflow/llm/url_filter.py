@@ -14,7 +14,9 @@ from certflow.llm.tasks import stored
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A tag with an attribute that makes it a canonical link or a redirect, and the attribute that holds the address.
+# What a browser takes for no tag; then a tag with an attribute that makes it a canonical link or a redirect, and
+# the attribute that holds the address.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 CANONICAL_TAG = r"(?i)<link\s[^>]*rel\s*=\s*[\"']?canonical[\"'\s>/][^>]*>?"
 REFRESH_TAG = r"(?i)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[\"'\s>/][^>]*>?"
 HREF = r"(?i)\shref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -69,11 +71,16 @@ def resolved(target: Column, base: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges source, target between addresses: the canonical links and refresh redirects that pages hold."""
+    """Edges source, target between addresses: all canonical links and refresh redirects of the pages.
+
+    Tags inside comments, scripts and styles are none.
+    """
     page = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(F.col("url").contains("://"))
-    canonical = F.regexp_extract(F.regexp_extract("html", CANONICAL_TAG, 0), HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract("html", REFRESH_TAG, 0), REFRESH_URL, 1)
-    edges = page.select("url", F.explode(F.array(canonical, refresh)).alias("target")).where("target != ''")
+    page = page.withColumn("html", F.regexp_replace("html", HIDDEN, " "))
+    found = lambda tag, target: F.transform(
+        F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
+    targets = F.concat(found(CANONICAL_TAG, HREF), found(REFRESH_TAG, REFRESH_URL))
+    edges = page.select("url", F.explode(targets).alias("target")).where("target != ''")
     return (edges.select(node_of(F.col("url")).alias("source"), node_of(resolved(F.col("target"), F.col("url"))).alias("target"))
             .where(F.col("target").isNotNull()))
 

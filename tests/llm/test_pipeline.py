@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from certflow.llm import bpe
@@ -61,3 +62,23 @@ def test_repeated_and_null_ids_keep_one_row_of_each_group(spark):
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
 def test_empty_tables(spark, stage):
     assert stage[1](spark, spark.createDataFrame([], SCHEMA), "").collect() == []
+
+
+CLASHING = ("row", "size", "uses", "row_key", "score", "accepted", "lang_pred", "rank", "own", "place", "extra", "component_id", "a b.c")
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_other_columns_stay(spark, tmp_path, name):
+    folder = f"file://{tmp_path}"
+    frame = spark.createDataFrame(docs(), SCHEMA)
+    for c in CLASHING:
+        frame = frame.withColumn(c, F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    frame.write.parquet(f"{folder}/docs")
+    read = spark.read.parquet(f"{folder}/docs")
+    made = dict(corpus_pipeline.STAGES)[name](spark, read, folder)
+    assert made.columns == read.columns
+    plain = dict(corpus_pipeline.STAGES)[name](spark, read.select("doc_id", "text", "lang", "source", "n_chars"), folder)
+    rows = made.collect()
+    assert sorted((tuple(r)[:5] for r in rows), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    for r in rows:
+        assert tuple(r)[5:] == tuple(f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in CLASHING)

@@ -64,3 +64,17 @@ def test_resolved(spark, target, want):
 
 def test_node_keeps_query_and_drops_fragment(spark):
     assert spark.createDataFrame([("HTTP://A/B?c#d",)], "u string").select(node_of(F.col("u"))).first()[0] == "http://a/B?c"
+
+
+def test_all_links_and_hidden_ones(spark):
+    refresh = "<meta http-equiv=refresh content='0; url={}'>"
+    rows = [
+        (1, "http://a.example.com/x", refresh.format("http://ok.example.com/") + refresh.format("http://bad.net/y")),
+        (2, "http://b.example.com/x", "<link rel=canonical href=http://ok.example.com/2><link rel=canonical href=http://bad.net/z>"),
+        (3, "http://c.example.com/x", "<!-- " + refresh.format("http://bad.net/y") + " -->"),
+        (4, "http://d.example.com/x", "<script>var x = \"" + refresh.format("http://bad.net/y") + "\"</SCRIPT >"),
+        (5, "http://e.example.com/x", "<!-- never closed " + refresh.format("http://bad.net/y")),
+        (6, "http://f.example.com/x", "<!-- one --><!-- two -->" + refresh.format("http://bad.net/y")),
+    ]
+    made = filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.verdict for r in made.collect()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
