@@ -140,7 +140,8 @@ def everywhere(keys: np.ndarray) -> np.ndarray:
     return np.full(len(keys), WORD_PARTS, np.uint64)
 
 
-STRIPE = "lang string, prefix string, part int, next array<string>, counts array<long>"
+# a row of a stripe: next words joined by spaces, and their counts in one byte each, or in eight where they are larger
+STRIPE = "lang string, prefix string, part int, next string, counts binary"
 
 
 def _chunk_stripes(packs: DataFrame, m: int, table: Broadcast | None, slices: Broadcast) -> DataFrame:
@@ -186,24 +187,30 @@ def _stripe_rows(
     lang: str, names: pa.Array, numbers: np.ndarray, m: int, prefix: np.ndarray, start: np.ndarray, after: np.ndarray, counts: np.ndarray, part: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """Rows of STRIPE of up to STRIPE_ROW entries; `start` is a place where the prefix stands in `numbers`."""
-    order = np.lexsort((part, prefix))
+    large = counts > 255
+    order = np.lexsort((part, prefix, large))
     prefix, start, after, counts, part = (c[order] for c in (prefix, start, after, counts, part))
+    border = len(part) - int(large.sum())
     new = np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]
+    new[border:border + 1] = True
     run = np.flatnonzero(new)[np.cumsum(new) - 1]
     cuts = np.flatnonzero(new | ((np.arange(len(part)) - run) % STRIPE_ROW == 0))
-    for k in range(0, len(cuts), 8192):
-        own = cuts[k:k + 8192]
-        end = cuts[k + 8192] if k + 8192 < len(cuts) else len(part)
-        offsets = pa.array(np.r_[own, end] - own[0], pa.int32())
-        entries = slice(own[0], end)
-        spelled = [names.take(pa.array(numbers[start[own] + j])) for j in range(m)]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * len(own), pa.string()),
-            pc.binary_join_element_wise(*spelled, b" ").cast(pa.string()) if m else pa.array([""] * len(own), pa.string()),
-            pa.array(part[own], pa.int32()),
-            pa.ListArray.from_arrays(offsets, names.take(pa.array(after[entries])).cast(pa.string())),
-            pa.ListArray.from_arrays(offsets, pa.array(counts[entries], pa.int64())),
-        ], ["lang", "prefix", "part", "next", "counts"])
+    for rows, last, kind in ((cuts[cuts < border], border, np.uint8), (cuts[cuts >= border], len(part), np.int64)):
+        for k in range(0, len(rows), 8192):
+            own = rows[k:k + 8192]
+            end = rows[k + 8192] if k + 8192 < len(rows) else last
+            offsets = (np.r_[own, end] - own[0]).astype(np.int32)
+            entries = slice(own[0], end)
+            spelled = [names.take(pa.array(numbers[start[own] + j])) for j in range(m)]
+            listed = pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(after[entries])))
+            widths = pa.py_buffer(offsets * np.int32(np.dtype(kind).itemsize))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(own), pa.string()),
+                pc.binary_join_element_wise(*spelled, b" ").cast(pa.string()) if m else pa.array([""] * len(own), pa.string()),
+                pa.array(part[own], pa.int32()),
+                pc.binary_join(listed, b" ").cast(pa.string()),
+                pa.Array.from_buffers(pa.binary(), len(own), [None, widths, pa.py_buffer(counts[entries].astype(kind))]),
+            ], ["lang", "prefix", "part", "next", "counts"])
 
 
 def _merged(stripes: DataFrame, min_count: int, keep_totals: bool) -> DataFrame:
@@ -250,9 +257,12 @@ def _merged(stripes: DataFrame, min_count: int, keep_totals: bool) -> DataFrame:
 
 
 def _flat(batch: pa.RecordBatch) -> pa.Table:
-    parents = pc.list_parent_indices(batch.column("next"))
+    listed = pc.split_pattern(batch.column("next"), " ")
+    size = pc.list_value_length(listed).to_numpy()
+    counts = [np.frombuffer(c, np.uint8 if len(c) == n else np.int64) for c, n in zip(batch.column("counts").to_pylist(), size)]
+    parents = pc.list_parent_indices(listed)
     columns = {c: batch.column(c).take(parents) for c in ("lang", "prefix", "part")}
-    return pa.table({**columns, "next": batch.column("next").flatten(), "counts": batch.column("counts").flatten()})
+    return pa.table({**columns, "next": listed.flatten(), "counts": np.concatenate(counts).astype(np.int64)})
 
 
 def _keys(phrases: DataFrame, m: int, *more: str) -> DataFrame:
@@ -296,7 +306,7 @@ def phrase_counts(docs: DataFrame, *, longest: int, min_count: int, slices: int,
             table = context.broadcast(key_filter(_keys(levels[-1], m + 1), "key", filter_bits))
             cut = context.broadcast(_hot(levels[-1], m + 1, slices, max(1, n)))
             if m == 0:
-                packs = stored(reduced(packs, table, 2 * chunk), "phrase-packs", "zstd")
+                packs = stored(reduced(packs, table, 4 * chunk), "phrase-packs", "zstd")
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.union(level)
