@@ -19,8 +19,9 @@ from certflow.llm.tasks import as_bytes, steps, stored
 
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"  # they end a piece
 PIECES = bytes.maketrans(SEPARATORS + b"\x09", b"." * len(SEPARATORS) + b" ")
-WORD_PARTS = 1024
-STRIPE_ROW = 256  # entries of a stripe in one row, which bounds the rows of a batch
+WORD_PARTS = 1 << 20
+ROW_ENTRIES = 4096  # of the stripes in one row, which bounds the rows of a batch
+LEAST_GROUPS, GROUP_WORDS = 4096, 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -140,14 +141,16 @@ def everywhere(keys: np.ndarray) -> np.ndarray:
     return np.full(len(keys), WORD_PARTS, np.uint64)
 
 
-# a row of a stripe: next words joined by spaces, and their counts in one byte each, or in eight where they are larger
-STRIPE = "lang string, prefix string, part int, next string, counts binary"
+# A row holds stripes of one group: prefixes joined by tabs, the entries of each (four bytes), all their next words joined
+# by spaces, and the counts of these in one byte each, or in eight where they are larger.
+STRIPES = "lang string, group long, prefixes string, sizes binary, next string, counts binary"
 
 
-def _chunk_stripes(packs: DataFrame, m: int, table: Broadcast | None, slices: Broadcast) -> DataFrame:
+def _chunk_stripes(packs: DataFrame, m: int, table: Broadcast | None, slices: Broadcast, groups: int) -> DataFrame:
     """Stripes of each pack: for each prefix of `m` words a counter of its next words.
 
-    Next words count only where the prefix and the phrase that ends in the next word can both be frequent.
+    Next words count only where the prefix and the phrase that ends in the next word can both be frequent. The
+    prefix, and its slice by the hash of the next word if it has any, tell the group, the key of the shuffle.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, names, numbers, hashes, own in _unpacked(batches):
@@ -177,92 +180,86 @@ def _chunk_stripes(packs: DataFrame, m: int, table: Broadcast | None, slices: Br
                 _, first, counts = np.unique(prefix * len(names) + numbers[at + m], return_index=True, return_counts=True)
                 prefix, start, after, keys = prefix[first], at[first], numbers[at[first] + m], key[first]
             if len(after):
-                part = (hashes[after] % slices.value(keys)).astype(np.int64)
-                yield from _stripe_rows(lang, pa.array(names, pa.binary()), numbers, m, prefix, start, after, counts, part)
+                group = (mixed(keys + hashes[after] % slices.value(keys) * GOLDEN) % np.uint64(groups)).astype(np.int64)
+                yield from _stripe_rows(lang, pa.array(names, pa.binary()), numbers, m, prefix, start, after, counts, group)
 
-    return packs.mapInArrow(count, STRIPE)
+    return packs.mapInArrow(count, STRIPES)
 
 
 def _stripe_rows(
-    lang: str, names: pa.Array, numbers: np.ndarray, m: int, prefix: np.ndarray, start: np.ndarray, after: np.ndarray, counts: np.ndarray, part: np.ndarray,
+    lang: str, names: pa.Array, numbers: np.ndarray, m: int, prefix: np.ndarray, start: np.ndarray, after: np.ndarray, counts: np.ndarray, group: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
-    """Rows of STRIPE of up to STRIPE_ROW entries; `start` is a place where the prefix stands in `numbers`."""
+    """Rows of STRIPES of up to ROW_ENTRIES entries; `start` is a place where the prefix stands in `numbers`."""
     large = counts > 255
-    order = np.lexsort((part, prefix, large))
-    prefix, start, after, counts, part = (c[order] for c in (prefix, start, after, counts, part))
-    border = len(part) - int(large.sum())
-    new = np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]
-    new[border:border + 1] = True
-    run = np.flatnonzero(new)[np.cumsum(new) - 1]
-    cuts = np.flatnonzero(new | ((np.arange(len(part)) - run) % STRIPE_ROW == 0))
-    for rows, last, kind in ((cuts[cuts < border], border, np.uint8), (cuts[cuts >= border], len(part), np.int64)):
-        for k in range(0, len(rows), 8192):
-            own = rows[k:k + 8192]
-            end = rows[k + 8192] if k + 8192 < len(rows) else last
-            offsets = (np.r_[own, end] - own[0]).astype(np.int32)
-            entries = slice(own[0], end)
-            spelled = [names.take(pa.array(numbers[start[own] + j])) for j in range(m)]
-            listed = pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(after[entries])))
-            widths = pa.py_buffer(offsets * np.int32(np.dtype(kind).itemsize))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(own), pa.string()),
-                pc.binary_join_element_wise(*spelled, b" ").cast(pa.string()) if m else pa.array([""] * len(own), pa.string()),
-                pa.array(part[own], pa.int32()),
-                pc.binary_join(listed, b" ").cast(pa.string()),
-                pa.Array.from_buffers(pa.binary(), len(own), [None, widths, pa.py_buffer(counts[entries].astype(kind))]),
-            ], ["lang", "prefix", "part", "next", "counts"])
-
-
-def _merged(stripes: DataFrame, min_count: int, keep_totals: bool) -> DataFrame:
-    """Stripes of one prefix and part added up entry by entry; `total` is the sum of the whole stripe.
-
-    Entries below `min_count` go after they are counted; so do stripes that are empty then,
-    unless their totals are asked for.
+    order = np.lexsort((prefix, group, large))
+    prefix, start, after, counts, group = (c[order] for c in (prefix, start, after, counts, group))
+    border = len(group) - int(large.sum())
+    for first, last, kind in ((0, border, np.uint8), (border, len(group), np.int64)):
+        if first == last:
+            continue
+        own = slice(first, last)
+        new = np.r_[True, group[own][1:] != group[own][:-1]]
+        run = np.flatnonzero(new)[np.cumsum(new) - 1]
+        new |= (np.arange(last - first) - run) % ROW_ENTRIES == 0
+        stripe = new.copy()
+        stripe[1:] |= prefix[own][1:] != prefix[own][:-1]
+        rows, stripes = np.flatnonzero(new), np.flatnonzero(stripe)
+        at = start[own][stripes]
+        spelled = pc.binary_join_element_wise(*[names.take(pa.array(numbers[at + j])) for j in range(m)], b" ") if m else pa.array([b""] * len(at), pa.binary())
+        in_row = np.r_[np.searchsorted(stripes, rows), len(stripes)].astype(np.int32)
+        entries = np.r_[rows, last - first].astype(np.int32)
+        blob = lambda values, offsets: pa.Array.from_buffers(
+            pa.binary(), len(rows), [None, pa.py_buffer(offsets * np.int32(values.itemsize)), pa.py_buffer(np.ascontiguousarray(values))])
+        yield pa.RecordBatch.from_arrays([
+            pa.array([lang] * len(rows), pa.string()), pa.array(group[own][rows], pa.int64()),
+            pc.binary_join(pa.ListArray.from_arrays(pa.array(in_row), spelled), b"\t").cast(pa.string()),
+            blob(np.diff(np.r_[stripes, last - first]).astype(np.int32), in_row),
+            pc.binary_join(pa.ListArray.from_arrays(pa.array(entries), names.take(pa.array(after[own]))), b" ").cast(pa.string()),
+            blob(counts[own].astype(kind), entries),
+        ], ["lang", "group", "prefixes", "sizes", "next", "counts"])
+
+
+def _merged(stripes: DataFrame, min_count: int, with_totals: bool) -> DataFrame:
+    """Stripes of one group added up entry by entry: lang, prefix, next, a, of the entries of at least `min_count`.
+
+    With totals, the sum of all entries of a group comes as well, in rows without `next`.
     """
-    keys = ["lang", "prefix", "part"]
+    keys = ["lang", "group"]
+    columns = [*keys, "prefix", "next", "counts"]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: pa.Table | None = None  # entries of the last stripe, which may go on in the next rows
-        for batch in steps(batches, 2048):
+        open_: pa.Table | None = None  # entries of the last group, which may go on in the next rows
+        for batch in steps(batches, 128):
             flat = _flat(batch)
             flat = pa.concat_tables([open_, flat]) if open_ is not None else flat
-            # without threads, groups come in the order in which they begin, so stripes stay together
-            flat = flat.group_by([*keys, "next"], use_threads=False).aggregate([("counts", "sum")])
-            flat = flat.rename_columns([*keys, "next", "counts"]).combine_chunks()
-            new = np.zeros(len(flat), bool)
-            new[0] = True
-            for c in keys:
-                column = flat.column(c)
-                new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(flat) - 1)).to_numpy()
-            starts = np.flatnonzero(new)
-            yield from closed(flat.slice(0, starts[-1]), starts[:-1])
-            open_ = flat.slice(starts[-1])
+            flat = flat.group_by(columns[:-1], use_threads=False).aggregate([("counts", "sum")]).rename_columns(columns)
+            last = pc.and_(*(pc.equal(flat.column(c), batch.column(c)[-1]) for c in keys))
+            yield from closed(flat.filter(pc.invert(last)))
+            open_ = flat.filter(last).combine_chunks()
         if open_ is not None:
-            yield from closed(open_, np.array([0]))
+            yield from closed(open_)
 
-    def closed(flat: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(starts):
-            return
-        counts = flat.column("counts").to_numpy()
-        often = counts >= min_count
-        offsets = np.r_[0, np.cumsum(often)][np.r_[starts, len(counts)]]
-        made = pa.table({
-            **{c: flat.column(c).take(starts) for c in keys}, "total": np.add.reduceat(counts, starts),
-            "next": pa.ListArray.from_arrays(offsets.astype(np.int32), flat.column("next").filter(often).combine_chunks()),
-            "counts": pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(counts[often], pa.int64()))})
-        yield from made.filter(np.diff(offsets) > (-1 if keep_totals else 0)).to_batches(max_chunksize=4096)
+    def closed(flat: pa.Table) -> Iterator[pa.RecordBatch]:
+        if with_totals:
+            totals = flat.group_by(["lang"], use_threads=False).aggregate([("counts", "sum")])
+            none = pa.nulls(len(totals), pa.string())
+            yield from pa.table([totals.column("lang"), none, none, totals.column("counts_sum")], names=["lang", "prefix", "next", "a"]).to_batches()
+        often = flat.filter(pc.greater_equal(flat.column("counts"), min_count))
+        yield from often.select(["lang", "prefix", "next", "counts"]).rename_columns(["lang", "prefix", "next", "a"]).to_batches(max_chunksize=8192)
 
-    return stripes.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        merge, "lang string, prefix string, part int, total long, next array<string>, counts array<long>")
+    return stripes.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge, "lang string, prefix string, next string, a long")
 
 
 def _flat(batch: pa.RecordBatch) -> pa.Table:
+    """The entries of rows of STRIPES: lang, group, prefix, next, counts."""
     listed = pc.split_pattern(batch.column("next"), " ")
-    size = pc.list_value_length(listed).to_numpy()
-    counts = [np.frombuffer(c, np.uint8 if len(c) == n else np.int64) for c, n in zip(batch.column("counts").to_pylist(), size)]
+    lengths = pc.list_value_length(listed).to_numpy()
+    counts = [np.frombuffer(c, np.uint8 if len(c) == n else np.int64) for c, n in zip(batch.column("counts").to_pylist(), lengths)]
+    sizes = np.concatenate([np.frombuffer(s, np.int32) for s in batch.column("sizes").to_pylist()])
+    prefixes = pc.split_pattern(batch.column("prefixes"), "\t").flatten().take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
     parents = pc.list_parent_indices(listed)
-    columns = {c: batch.column(c).take(parents) for c in ("lang", "prefix", "part")}
-    return pa.table({**columns, "next": listed.flatten(), "counts": np.concatenate(counts).astype(np.int64)})
+    return pa.table({"lang": batch.column("lang").take(parents), "group": batch.column("group").take(parents), "prefix": prefixes,
+                     "next": listed.flatten(), "counts": np.concatenate(counts).astype(np.int64)})
 
 
 def _keys(phrases: DataFrame, m: int, *more: str) -> DataFrame:
@@ -291,21 +288,21 @@ def phrase_counts(docs: DataFrame, *, longest: int, min_count: int, slices: int,
     totals: lang, n.
     """
     context = docs.sparkSession.sparkContext
-    packs = stored(packed(docs, chunk), "phrase-packs", "zstd")
+    packs, groups = packed(docs, chunk), LEAST_GROUPS
     totals, levels, table, cut = None, [], None, context.broadcast(everywhere)
     for m in range(longest):
-        merged = _merged(_chunk_stripes(packs, m, table, cut), min_count, keep_totals=m == 0)
-        level = stored(merged, f"stripes-{m}")
-        entries = level.select("lang", "prefix", F.explode(F.arrays_zip("next", "counts")).alias("e"))
-        phrase = F.col("e.next") if m == 0 else F.concat_ws(" ", "prefix", "e.next")
-        levels.append(stored(entries.select("lang", phrase.alias("phrase"), F.lit(m + 1).alias("words"), F.col("e.counts").alias("a"), "prefix"), f"phrases-{m + 1}"))
+        level = stored(_merged(_chunk_stripes(packs, m, table, cut, groups), min_count, with_totals=m == 0), f"stripes-{m}")
+        entries = level.where("next IS NOT NULL")
+        phrase = F.col("next") if m == 0 else F.concat_ws(" ", "prefix", "next")
+        levels.append(entries.select("lang", phrase.alias("phrase"), F.lit(m + 1).alias("words"), "a", "prefix"))
         if m == 0:  # the stripe of the empty prefix counts all words
-            totals = stored(level.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
+            totals = stored(level.where("next IS NULL").groupBy("lang").agg(F.sum("a").alias("n")), "totals")
             n = totals.agg(F.sum("n")).first()[0] or 0
+            groups = max(LEAST_GROUPS, n // GROUP_WORDS)
         if m + 1 < longest:
             table = context.broadcast(key_filter(_keys(levels[-1], m + 1), "key", filter_bits))
             cut = context.broadcast(_hot(levels[-1], m + 1, slices, max(1, n)))
-            if m == 0:
+            if m == 0:  # texts are read once more, so that only what can be part of a phrase is stored
                 packs = stored(reduced(packs, table, 4 * chunk), "phrase-packs", "zstd")
     phrases = levels[0]
     for level in levels[1:]:
@@ -326,11 +323,11 @@ def collocations(
     occurs as often is left out. Returns lang, rank, phrase, a, l, r, n, score, the first `top` of each
     language by score, then a, both falling, then phrase in byte order.
 
-    Stripes: each prefix of 0 to 4 words has a counter of its next words. Texts are packed once, as
-    numbers of words in chunks of `chunk` words; a chunk counts its own stripes, and stripes of one prefix are
-    added up after one shuffle. The stripe of a prefix that makes up more than one in `slices` of all words is cut
-    by the hash of the next word, into as many parts as its count asks for, so no prefix is the
-    work of one task. The empty prefix gives n and the words; each stripe gives the counts of its
+    Stripes: each prefix of 0 to 4 words has a counter of its next words. Texts are packed as numbers of words in
+    chunks of `chunk` words; a chunk counts its own stripes, and stripes of one prefix are added up after one
+    shuffle, by groups of prefixes (4096, or one for each 2^20 words where there are more). The stripe of a prefix that makes up
+    more than one in `slices` of all words is cut by the hash of the next word, into as many parts as its count
+    asks for, so no prefix is the work of one task. The empty prefix gives n and the words; each stripe gives the counts of its
     extensions, and their maxima tell which phrases go on in a longer one as often. A phrase is
     as rare as its rarest part: the frequent phrases of one length go as a bit table of fixed
     size (2^filter_bits bits) to the tasks that count the next length, and rare words end a piece from then on. What passes
