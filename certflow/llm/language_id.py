@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from certflow.llm.tasks import steps, stored
+from certflow.llm.tasks import give_back, steps, stored
 
 UNKNOWN = "und"
 WORD_CACHE = 200_000
@@ -75,13 +75,15 @@ class Model:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Natural logarithm of each word's probability under each language."""
         grams, contexts, owner = gram_hashes(words, self.order)
+        # each n-gram is looked up once, and in order, which the sorted arrays answer fastest
+        asked = [(*np.unique(g, return_inverse=True), *np.unique(c, return_inverse=True)) for g, c in zip(grams, contexts)]
         out = np.empty((len(words), len(self.langs)))
         for j, tables in enumerate(self.tables):
             p = np.full(len(owner), self.floor[j])
-            for n, (hashes, logs, context_hashes, weights) in enumerate(tables):
-                known, value = _found(hashes, logs, grams[n])
-                seen, weight = _found(context_hashes, weights, contexts[n])
-                p = np.where(known, value, p + np.where(seen, weight, 0.0))
+            for (gram, at, context, context_at), (hashes, logs, context_hashes, weights) in zip(asked, tables):
+                known, value = _found(hashes, logs, gram)
+                seen, weight = _found(context_hashes, weights, context)
+                p = np.where(known[at], value[at], p + np.where(seen, weight, 0.0)[context_at])
             out[:, j] = np.bincount(owner, p, len(words))
         return out
 
@@ -292,6 +294,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()),
                  pa.array([r[2] for r in rows], pa.bool_())], [*batch.schema.names, *made])
+        del scorer
+        give_back()
 
     schema = T.StructType(list(docs.schema))
     for name, kind in zip(made, ("string", "double", "boolean")):
