@@ -12,19 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from certflow.llm.near_dedup import WordHashes, mixed
-from certflow.llm.tasks import as_bytes, groups, steps, stored
+from certflow.llm.tasks import as_bytes, give_back, groups, steps, stored
 
 BATCH_BYTES = 6 << 20
 PART_BYTES = 8 << 20
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Bytes of 64-bit integers, first all lowest bytes, then the next: the shuffle's compression then drops zero bytes."""
-    return values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(values: np.ndarray, kind: type = np.uint64) -> bytes:
+    """Bytes of integers, first all lowest bytes, then the next: the shuffle's compression then drops zero bytes."""
+    return values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+def from_planes(data: bytes, kind: type = np.uint64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 class Numbers(dict):
@@ -73,7 +73,7 @@ class Grams:
 
 
 def _grams(row: dict, order: int) -> Grams:
-    return Grams(from_planes(row["tokens"]).astype(np.int32), np.frombuffer(row["sizes"], np.int64),
+    return Grams(from_planes(row["tokens"], np.int32), np.frombuffer(row["sizes"], np.int64),
                  np.frombuffer(row["vocabulary"], np.uint64), order)
 
 
@@ -135,7 +135,7 @@ def score_documents(
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | number], pa.int64()), pa.array([ids], pa.list_(arrow_kind)),
                 pa.array([np.fromiter(map(len, texts), np.int64, len(texts)).tobytes()], pa.binary()),
-                pa.array([planes(tokens)], pa.binary()),
+                pa.array([planes(tokens, np.int32)], pa.binary()),
                 pa.array([np.fromiter(map(hashes.__getitem__, local), np.uint64, len(local)).tobytes()], pa.binary()),
                 pa.array([len(tokens)], pa.int64())], ["batch", "ids", "sizes", "tokens", "vocabulary", "n"])
 
@@ -149,8 +149,10 @@ def score_documents(
                     yield packed()
                     local = Numbers()
                     ids, texts, held, number = [], [], 0, number + 1
+                    give_back()
         if ids:
             yield packed()
+        give_back()
 
     packs = stored(source.mapInArrow(pack, f"batch long, ids array<{kind}>, sizes binary, tokens binary, vocabulary binary, n long"), "packs", "zstd")
     n_packs, total = packs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -169,6 +171,8 @@ def score_documents(
                             rows.append({"part": p * order + n - 1, "batch": row["batch"], "n": n, "hashes": planes(np.diff(grams.hashes[n - 1][at], prepend=np.uint64(0))),
                                          "counts": planes(grams.counts[n - 1][at])})
                     yield pa.RecordBatch.from_pylist(rows, _ASKED)
+                del grams, rows
+                give_back()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, "part"):
@@ -179,6 +183,8 @@ def score_documents(
             ends = np.cumsum([len(h) for h in hashes])
             for r, h, end in zip(rows, hashes, ends):
                 yield pa.RecordBatch.from_pylist([{"batch": r["batch"], "n": r["n"], "part": r["part"], "others": planes(others[end - len(h):end])}], _ANSWERED)
+            del hashes, inverse, counts, others
+            give_back()
 
     asked = packs.select("batch", "sizes", "tokens", "vocabulary").mapInArrow(explode, "part long, batch long, n int, hashes binary, counts binary")
     answers = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, "batch long, n int, part long, others binary")
@@ -202,6 +208,8 @@ def score_documents(
             logs = scores(grams, totals, len(sizes), total, backoff)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(first["ids"], arrow_kind), pa.array(sizes), pa.array(logs, mask=sizes == 0)], ["doc_id", "n_words", "log_score"])
+            del rows, first, rest, grams, totals
+            give_back()
 
     scored = both.repartition(max(1, n_packs), "batch").sortWithinPartitions("batch", "n", "part").mapInArrow(
         finish, f"doc_id {kind}, n_words long, log_score double")

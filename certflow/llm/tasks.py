@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,14 @@ def steps(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
             yield batch.slice(k, rows)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between stages, beside the JVM of their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim:
+        trim(0)
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
     """Rows of neighbouring equal `key`, gathered over batch borders; the input is sorted by it."""
     held: list[dict] = []
