@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -14,15 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from certflow.llm.tasks import groups, steps
+from certflow.llm.tasks import groups, steps, stored
 
 LEAF_CHARS = 1 << 16
+# Leaves that one task encodes or joins on average, and neighbours that one step of the tree joins.
+TASK_LEAVES = 16
+FAN = 16
 FIRST_WINDOW = 32
 WORD_CACHE = 200_000
 STEP_WORDS = 4096
 
-# Runs of ASCII white space part words, which the pre-tokenizer never joins.
+# Runs of ASCII white space part words, which the pre-tokenizer of some files never joins (see words_apart).
 _word = re.compile(r"[^\x20\x09-\x0D]+")
+_white = re.compile(r"[\x20\x09-\x0D]")
 
 
 def tokenizer_file(name: str) -> str:
@@ -40,6 +45,32 @@ def tokenizer(file: str):
     return made
 
 
+def words_apart(model) -> bool:
+    """The file's rules drop ASCII white space and look at no neighbouring word, so words can be encoded one by one."""
+    rules = json.loads(model.to_str())
+    listed = lambda part, name: (part or {}).get(name) or ([part] if part else [])
+    first = listed(rules["pre_tokenizer"], "pretokenizers")[:1]
+    kind = first[0]["type"] if first else None
+    if kind == "Split":
+        # a pattern must not look around, and its anchors would see the ends of a word as those of the text
+        pattern = "".join(first[0]["pattern"].values()).replace("[^", "")
+        drops = first[0]["behavior"] == "Removed" and not re.search(r"\(\?[=!<]|\\[bBAzZG]|\^|\$", pattern)
+    else:
+        drops = kind in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+    if not drops:
+        return False
+    for part in listed(rules["normalizer"], "normalizers"):
+        spaces = part["type"] == "Replace" and part["pattern"] == {"Regex": "\\s+"} and part["content"] == " "
+        if not spaces and part["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "BertNormalizer"):
+            return False
+    if any(_white.search(t["content"]) for t in rules["added_tokens"]):
+        return False
+    # no piece may hold white space; each kind is tried between letters and between signs
+    return not any(_white.search(text[a:b])
+                   for w in " \t\n\v\f\r" for text in (f"a{w}b", f".{w}.", f"a{w}{w}.")
+                   for _, (a, b) in model.pre_tokenizer.pre_tokenize_str(text))
+
+
 class Tokens:
     """Token ids with the character spans that they come from, for a part of a text."""
 
@@ -50,10 +81,14 @@ class Tokens:
 
 
 class Encoder:
-    """Encodes texts as tokenizers does without added special tokens; words seen before come from a bounded cache."""
+    """Encodes texts as tokenizers does without added special tokens.
+
+    Where words can be encoded one by one, those seen before come from a bounded cache; with other files, texts are encoded whole.
+    """
 
     def __init__(self, file: str):
         self.model = tokenizer(file)
+        self.apart = words_apart(self.model)
         marks = [(t.content, k) for k, t in self.model.get_added_tokens_decoder().items()
                  if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.mark = marks[0] if marks else None
@@ -63,6 +98,8 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
+        if not self.apart:
+            return [np.array(made.ids, np.int32) for made in self.model.encode_batch_fast(texts, add_special_tokens=False)]
         split = [_word.findall(x) for x in texts]
         if len(self.words) > WORD_CACHE:
             self.older, self.words = self.words, {}
@@ -164,16 +201,18 @@ def encode_texts(
     """Token ids of each whole text: columns doc_id, ids (array of int) and, if asked for, decoded.
 
     Texts up to leaf_chars code points are encoded where they lie. Longer ones are cut into
-    leaves of that size, which are dealt over all tasks and encoded there; a text's leaves then
-    meet again and are joined as a tree, with windows around each join (see `join`). `file` is
-    the path of a tokenizers JSON file that every executor can read; it is opened once a task.
+    leaves of that size, which are stored, dealt over tasks by their number and encoded there. A text's
+    nodes are then joined as a tree, in rounds of up to 16 neighbours, each in a task of its own, with windows
+    around each join (see `join`). A text and its tokens must fit in a task, as they are one row.
+    `file` is the path of a tokenizers JSON file that every executor can read; it is opened once a
+    task. Where its rules don't part words at white space, each text is encoded whole by one call.
 
     Null and empty texts have no ids. Rows are kept one for one, also repeated ones and such
     with a null doc_id; extra columns are ignored.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    long = F.char_length("text") > leaf_chars
+    long = F.char_length("text") > leaf_chars if words_apart(tokenizer(file)) else F.lit(False)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file)
@@ -197,18 +236,27 @@ def encode_texts(
                 yield pa.RecordBatch.from_arrays([
                     *batch.slice(k, 1).columns, pa.array([made.ids], pa.list_(pa.int32())),
                     pa.array([[a for a, _ in made.spans]], pa.list_(pa.int32())),
-                    pa.array([[b for _, b in made.spans]], pa.list_(pa.int32()))], ["row", "doc_id", "leaf", "text", "ids", "starts", "ends"])
+                    pa.array([[b for _, b in made.spans]], pa.list_(pa.int32()))], node_names)
 
-    def join_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file)
-        for rows in groups(batches, "row"):
-            cuts = [0]
-            leaves = []
+        for rows in groups(batches, "row", "joined"):
+            cuts, nodes = [0], []
             for r in rows:
-                leaves.append(Tokens(r["ids"], [(a + cuts[-1], b + cuts[-1]) for a, b in zip(r["starts"], r["ends"])]))
+                nodes.append(Tokens(r["ids"], [(a + cuts[-1], b + cuts[-1]) for a, b in zip(r["starts"], r["ends"])]))
                 cuts.append(cuts[-1] + len(r["text"]))
-            made = tree(encoder, "".join(r["text"] for r in rows), leaves, cuts)
-            yield finished(pa.array([rows[0]["doc_id"]], id_type), [np.array(made.ids, np.int32)], encoder)
+            text = "".join(r["text"] for r in rows)
+            made = tree(encoder, text, nodes, cuts)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([rows[0]["row"]], pa.int64()), pa.array([rows[0]["doc_id"]], id_type), pa.array([rows[0]["joined"]], pa.int32()),
+                pa.array([text], pa.string()), pa.array([made.ids], pa.list_(pa.int32())),
+                pa.array([[a for a, _ in made.spans]], pa.list_(pa.int32())),
+                pa.array([[b for _, b in made.spans]], pa.list_(pa.int32()))], node_names)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(file)
+        for step in steps(batches, 1):
+            yield finished(step.column("doc_id"), [np.array(step.column("ids")[0].as_py(), np.int32)], encoder)
 
     def finished(keys: pa.Array, ids: list[np.ndarray], encoder: Encoder) -> pa.RecordBatch:
         ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -219,16 +267,25 @@ def encode_texts(
             names.append("decoded")
         return pa.RecordBatch.from_arrays(columns, names)
 
+    node_names = ["row", "doc_id", "leaf", "text", "ids", "starts", "ends"]
     id_type = to_arrow_type(source.schema["doc_id"].dataType)
     result = f"doc_id {kind}, ids array<int>" + ", decoded string" * decoded
     short = source.where(~long).mapInArrow(encode, result)
     leaf = f"row long, doc_id {kind}, leaf int, text string"
-    whole = (source.where(long).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-             .mapInArrow(cut, leaf).repartition("row", "leaf")
-             .mapInArrow(encode_leaves, f"{leaf}, ids array<int>, starts array<int>, ends array<int>")
-             .repartition("row").sortWithinPartitions("row", "leaf")
-             .mapInArrow(join_leaves, result))
-    return short.union(whole)
+    node = f"{leaf}, ids array<int>, starts array<int>, ends array<int>"
+    leaves = stored(source.where(long).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(cut, leaf), "text-leaves")
+    size = leaves.agg(F.count("*").alias("leaves"), F.max("leaf").alias("last")).first()
+    if not size["leaves"]:
+        return short
+    # numbers, as Spark would put a few rows with much work each into one task
+    tasks = -(-size["leaves"] // TASK_LEAVES)
+    nodes = leaves.repartition(tasks, "row", "leaf").mapInArrow(encode_leaves, node)
+    width = size["last"] + 1
+    while width > 1:
+        width = -(-width // FAN)
+        nodes = (nodes.withColumn("joined", F.floor(F.col("leaf") / FAN).cast("int")).repartition(tasks, "row", "joined")
+                 .sortWithinPartitions("row", "joined", "leaf").mapInArrow(join_nodes, node))
+    return short.union(nodes.mapInArrow(finish, result))
 
 
 def decode_ids(encoded: DataFrame, file: str) -> DataFrame:

@@ -41,13 +41,13 @@ def give_back() -> None:
         trim(0)
 
 
-def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
-    """Rows of neighbouring equal `key`, gathered over batch borders; the input is sorted by it."""
+def groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
+    """Rows of neighbouring equal `keys`, gathered over batch borders; the input is sorted by them."""
     held: list[dict] = []
     for batch in batches:
         for k in range(batch.num_rows):
             row = batch.slice(k, 1).to_pylist()[0]  # one at a time: rows may be large
-            if held and row[key] != held[0][key]:
+            if held and any(row[key] != held[0][key] for key in keys):
                 yield held
                 held = []
             held.append(row)

@@ -70,3 +70,33 @@ def test_cache_turns_over(model, monkeypatch):
     for k in range(20):
         text = f"one two three{k} four{k % 3} five"
         assert encoder.ids([text])[0].tolist() == whole(model, text)
+
+
+def test_deep_tree_is_spread_over_tasks(spark, model):
+    rows = [(1, unsplit(2, 9000)), (2, "a" * 5000), (None, unsplit(3, 2500)), (3, "short"), (4, "x" * 40), (4, "x" * 41)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    made = bpe.encode_texts(frame, FILE, leaf_chars=20)
+    leaves = sum(-(-len(t) // 20) for _, t in rows if len(t) > 20)
+    tasks = -(-leaves // bpe.TASK_LEAVES)
+    plan = made._jdf.queryExecution().toString()
+    rounds = 1
+    while bpe.FAN ** rounds < max(-(-len(t) // 20) for _, t in rows):
+        rounds += 1
+    assert tasks > 40 and rounds == 3 and "hashpartitioning(row#" in plan and f", {tasks}), REPARTITION_BY_NUM" in plan
+    want = [(i, whole(model, t)) for i, t in rows]
+    assert sorted(((r["doc_id"], r["ids"]) for r in made.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_files_that_keep_white_space(spark):
+    file = bpe.tokenizer_file("byte_bpe_50k.json")
+    other = bpe.tokenizer(file)
+    assert bpe.words_apart(bpe.tokenizer(FILE)) and not bpe.words_apart(other)
+    rows = [(1, "two  words\n\nand more"), (2, None), (3, unsplit(4, 3000) + " \t end "), (4, "")]
+    made = bpe.encode_texts(spark.createDataFrame(rows, "doc_id long, text string"), file, leaf_chars=100, decoded=True)
+    assert {r["doc_id"]: (r["ids"], r["decoded"]) for r in made.collect()} == {i: (whole(other, t or ""), t or "") for i, t in rows}
+
+
+def test_a_long_text_of_over_a_megabyte(spark, model):
+    text = unsplit(5, 500_000) + " words " * 50_000 + "Ab" * 200_000
+    made = bpe.encode_texts(spark.createDataFrame([(1, text)], "doc_id long, text string"), FILE).collect()
+    assert len(text) > 1 << 20 and [r["ids"] for r in made] == [whole(model, text)]
