@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Conversations per bucket in which neighbours are found for ids that are no whole numbers.
+BUCKET = 1000
 
 HEAD, BREAK, TAIL = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -76,14 +81,27 @@ def preference_pairs(
 def swapped_answers(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Rejected conversations made of `conversations`: the last assistant turn has the text of the neighbour's.
 
-    The neighbour of conversation 2k is 2k + 1 and the other way round. Where either has no
-    assistant turn, the conversation stays as it is. Of several last turns, that with the largest text counts.
+    The neighbour of conversation 2k is 2k + 1 and the other way round. Ids of other types are hashed into
+    buckets of about 1,000 conversations with an answer, in which the first two by id are neighbours, then the
+    next two; the last of an odd number has none. Conversations without a neighbour, an assistant turn or an
+    id stay as they are. Of several last turns, that with the largest text counts.
     """
     rows = conversations.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     last = (rows.where(F.col("role") == "assistant").groupBy("conv_id")
             .agg(F.max("turn").alias("last_turn"), F.max_by("text", F.struct("turn", "text")).alias("answer")))
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("answer").alias("other_answer"), F.lit(True).alias("found"))
-    ends = last.join(other, "conv_id").select("conv_id", "last_turn", "other_answer")
+    if isinstance(rows.schema["conv_id"].dataType, T.IntegralType):
+        other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("answer").alias("other_answer"))
+        ends = last.join(other, "conv_id").select("conv_id", "last_turn", "other_answer")
+    else:
+        named = last.where(F.col("conv_id").isNotNull())
+        buckets = named.count() // BUCKET + 1
+        bucket = Window.partitionBy("bucket").orderBy("conv_id")
+        placed = (named.withColumn("bucket", F.pmod(F.xxhash64("conv_id"), F.lit(buckets)))
+                  .withColumn("place", F.row_number().over(bucket)))
+        own = F.struct("answer")
+        other = F.when(F.col("place") % 2 == 1, F.lead(own).over(bucket)).otherwise(F.lag(own).over(bucket))
+        ends = placed.withColumn("other", other).where(F.col("other").isNotNull()).select(
+            "conv_id", "last_turn", F.col("other.answer").alias("other_answer"))
     at_end = (F.col("role") == "assistant") & (F.col("turn") == F.col("last_turn"))
     return rows.join(ends, "conv_id", "left").select(
         "conv_id", "turn", "role", F.when(at_end, F.col("other_answer")).otherwise(F.col("text")).alias("text"))

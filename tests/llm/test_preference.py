@@ -54,3 +54,27 @@ def test_swapped_answers(spark):
     changed = {(r["conv_id"], r["turn"]): r["text"] for r in got} 
     want = {(i, t): x for i, t, _, x in rows} | {(0, 1): "b1", (1, 2): "a0"}
     assert changed == want and len(got) == len(rows)
+
+
+def test_swapped_answers_of_other_ids(spark):
+    rows = [(f"c{k}", t, role, f"{role} {k} {t}") for k in range(7) for t, role in enumerate(["user", "assistant", "user"])]
+    rows += [(None, 0, "assistant", "n"), ("silent", 0, "user", "s")]
+    got = swapped_answers(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()
+    changed = {(r["conv_id"], r["turn"]): r["text"] for r in got}
+    answer = {f"c{k}": f"assistant {k} 1" for k in range(7)}
+    # few conversations lie in one bucket, in order of their ids; the last of seven has no neighbour
+    want = {(i, t): x for i, t, _, x in rows} | {(f"c{k}", 1): answer[f"c{k ^ 1}"] for k in range(6)}
+    assert changed == want and len(got) == len(rows)
+    empty = spark.createDataFrame([], "conv_id string, turn long, role string, text string")
+    assert swapped_answers(empty).collect() == []
+
+
+def test_swapped_answers_over_many_buckets(spark):
+    from pyspark.sql import functions as F
+
+    n = 5001
+    frame = spark.range(n).select(F.concat(F.lit("c"), "id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"),
+                                  F.col("id").cast("string").alias("text"))
+    answer = {r["conv_id"]: r["text"] for r in swapped_answers(frame).collect()}
+    moved = {c: f"c{x}" for c, x in answer.items() if c != f"c{x}"}
+    assert len(answer) == n and all(moved[other] == c for c, other in moved.items()) and n - len(moved) <= n // 1000 + 1
