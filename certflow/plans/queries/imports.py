@@ -8,6 +8,7 @@ from certflow.functions.scalars import landed_name
 from certflow.operators.conform import conform, keep_first, keep_latest
 from certflow.operators.lifecycle import append_new, merge
 from certflow.operators.reports import import_summary, landing_summary, year_summary
+from certflow.operators.spread import tasks_for
 from certflow.operators.worklists import new_records
 from certflow.plans.queries.registry import query, table
 from certflow.session import scratch_dir
@@ -201,6 +202,23 @@ def idempotent_append(spark, sf):
     return append_new(stored, table(spark, sf, "customer"), ["c_custkey"])[1]
 
 
+def order_changes(spark, sf, where: str):
+    """Line items as changes of their orders, and the orders; both are dealt by the order's key.
+
+    Their number of rows tells the number of tasks. The join is asked to sort, which can spill: by the size of
+    a file's keys alone Spark would send millions of orders to every task.
+    """
+    items, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    n = tasks_for(items, orders)
+    orders = orders.repartition(n, "o_orderkey")
+    changes = items.where(where).repartition(n, "l_orderkey").join(
+        orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    return changes.select(
+        "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.col("l_shipdate").alias("changed"), "l_linenumber"
+    ), orders
+
+
 @query("""
 WITH incoming AS (
   SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, l_shipdate AS changed, l_linenumber
@@ -213,12 +231,7 @@ UNION ALL SELECT * FROM latest
 """)
 def merge_upsert(spark, sf):
     """Returned line items change their order; the newest change wins."""
-    orders = table(spark, sf, "orders")
-    changes = (
-        table(spark, sf, "lineitem").filter("l_returnflag = 'R'")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.col("l_shipdate").alias("changed"), "l_linenumber")
-    )
+    changes, orders = order_changes(spark, sf, "l_returnflag = 'R'")
     stored = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").alias("changed"), F.lit(None).cast("int").alias("l_linenumber")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from certflow.plans import jobs
-from certflow.plans.queries.imports import land_orders
+from certflow.plans.queries.imports import land_orders, order_changes
 from certflow.plans.queries.registry import query, table
 from certflow.schemas import IMPORTED, QUARANTINE
 from certflow.session import scratch_dir
@@ -104,9 +104,7 @@ UNION ALL SELECT * FROM latest WHERE o_orderkey % 503 <> 1
 def merge_touched(spark, sf):
     """Returned line items of few orders change a bucketed table, and some orders leave it; each batch runs twice."""
     root, orders = scratch_dir(spark, "buckets"), table(spark, sf, "orders")
-    changes = (table(spark, sf, "lineitem").where("l_returnflag = 'R' AND l_orderkey % 1009 < 3")
-               .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-               .select("o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.col("l_shipdate").alias("changed"), "l_linenumber"))
+    changes = order_changes(spark, sf, "l_returnflag = 'R' AND l_orderkey % 1009 < 3")[0]
     rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").alias("changed"))
     write_buckets(rows, root, "orders", ["o_orderkey"], 64)
     for _ in range(2):

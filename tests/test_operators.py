@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from certflow.functions.scalars import (
     energy_score, file_name_from_url, landed_name, not_blank, register_sql_functions, request_payload, whole_mb,
 )
-from certflow.operators import reports as R
+from certflow.operators import reports as R, spread
 from certflow.operators.conform import conform, keep_first
 from certflow.operators.lifecycle import append_new, archive, expire_pending, merge, purge_gone, resolve_pending
 from certflow.operators.outcomes import call_outcome, cleaning_outcome, download_outcome, extraction_outcome
@@ -15,6 +15,7 @@ from certflow.operators.reconcile import missing, shared, side_counts
 from certflow.operators.responses import call_outcomes, flatten, parse_bodies
 from certflow.operators.skew import salted_join
 from certflow.operators.worklists import gone_files, new_files, not_done, prompt_worklist, url_worklist
+from certflow.plans.queries import QUERIES
 
 
 def rows(df, *order):
@@ -290,3 +291,19 @@ def test_responses_keep_values_of_any_type(spark):
     assert status == {
         1: (1, "Success"), 2: (1, "Success"), 3: (1, "API returned data but no records saved"),
         4: (1, "API returned data but no records saved"), 5: (0, "No records found"), 6: (0, "No records found"), 7: (0, "No records found")}
+
+
+def test_merge_of_large_tables_stays_small_in_each_task(spark, root, monkeypatch):
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 500, raising=False)
+    t0 = datetime(2024, 1, 1)
+    orders = [(k, k % 7, "O", t0) for k in range(3000)] + [(None, 1, "O", t0)]
+    items = [(k, i, "R" if (k + i) % 3 == 0 else "N", t0 + timedelta(days=i)) for k in range(0, 3000, 2) for i in range(4)] + [(None, 1, "R", t0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp").write.parquet(f"{root}/orders.parquet")
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp").write.parquet(f"{root}/lineitem.parquet")
+    last = {k: t for k, _, flag, t in items if flag == "R" and k is not None}  # dates rise with the line's number
+    want = [(k, c, "X", last[k]) if k in last else (k, c, s, t) for k, c, s, t in orders]
+    merged = QUERIES["merge_upsert"](spark, root)
+    # no order goes to all tasks, and 9,002 rows make 19 tasks where the session has 8 partitions
+    assert "BroadcastHashJoin [l_orderkey" not in plan(merged) and "hashpartitioning(l_orderkey" in plan(merged)
+    assert merged.rdd.getNumPartitions() >= 19
+    assert sorted(map(str, rows(merged))) == sorted(map(str, want))
