@@ -1,6 +1,7 @@
 import random
 import re
 import time
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +63,16 @@ def test_line_rules(spark, line, result):
     assert one(spark, X.clean_text(F.col("v0")), line) == result
 
 
+def test_decomposition_holds_few_texts_at_a_time(spark):
+    made = [None, "", "plain", "ﬁne ½ CO₂", "Å" * 100_000, "A\u030a\u0327", "\U0001d400 \U0001f600 각", "\u212b\x00é"]
+    rows = spark.createDataFrame(list(enumerate(made * 100)), "i int, t string").repartition(2).select("i", "t", X.nfkd(F.col("t")).alias("c"))
+    for i, t, c in rows.collect():
+        assert c == (None if t is None else unicodedata.normalize("NFKD", t)), i
+    # an Arrow batch would be 10,000 texts, whatever their lengths
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
 def test_window_of_ten_kept_lines(spark):
     lines = ["a b c"] + [f"line {i}" for i in range(10)] + ["a b c"]
     assert one(spark, X.drop_repeated_lines(F.col("v0")), "\n".join(lines)) == "\n".join(lines)
